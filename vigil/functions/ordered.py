@@ -64,24 +64,32 @@ def prefix_sums(
     *,
     by: Sequence[str] = (),
     prefix: str = "cum_",
+    totals: bool = False,
     n_buckets: int | None = None,
 ) -> DataFrame:
     """Add ``<prefix><c>`` = running sum of ``c`` in ``order`` within ``by``.
 
     The running sum is inclusive of the current row; rows that tie on the
     whole ordering get distinct (arbitrary-order) prefixes, so callers either
-    order by a unique key or collapse ties with a ``groupBy`` first.
+    order by a unique key or collapse ties with a ``groupBy`` first. With
+    ``totals`` each row also gets ``tot_<c>``, the sum over its whole group,
+    read off the same small bucket-totals table (no extra scan).
     """
     order = list(order)
     rp = range_bucketed(df, order, by, n_buckets)
-    totals = rp.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(c) for c in sums])
+    bucket_totals = rp.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(c) for c in sums])
     before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = totals.select(
+    offsets = bucket_totals.select(
         *by,
         BUCKET,
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
+        *(
+            [F.sum(c).over(Window.partitionBy(*by)).alias(f"tot_{c}") for c in sums]
+            if totals
+            else []
+        ),
     )
     joined = rp.join(maybe_broadcast(offsets), [*by, BUCKET])
     running = Window.partitionBy(*by, BUCKET).orderBy(*[_sort_expr(c) for c in order]).rowsBetween(

@@ -88,6 +88,14 @@ def scored_ids(store: DataFrame, *, id_col: str = ID) -> DataFrame:
     return store.select(ids.alias(id_col)).where(F.col(id_col).isNotNull()).distinct()
 
 
+def store_counts(store: DataFrame, *, id_col: str = ID) -> DataFrame:
+    """Rows (duplicates included) and distinct valid ids, in one aggregate."""
+    ids = F.expr(f"try_cast(`{id_col}` AS BIGINT)")
+    return store.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(ids).alias("n_ids")
+    )
+
+
 def scored_rows(stream: DataFrame, store: DataFrame, *, id_col: str = ID) -> DataFrame:
     """Stream rows whose id was scored (semi-join, no driver-side id set)."""
     return stream.join(scored_ids(store, id_col=id_col), id_col, "left_semi")

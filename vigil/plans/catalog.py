@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators import evaluate, split, store
+from vigil.operators import contract, drift, evaluate, profile, split, store, window
 from vigil.plans.sql import CHALLENGER_SQL, CHAMPION_SQL, SLICED_CTE, STORE_CTE, TX_CTE
 from vigil.sources import testdata as td
 
@@ -178,4 +178,217 @@ def q_expected_cost(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.expected_cost_frame(_test_scored(spark, sf), 0.5, cost_ratio=10.0)
 
 
-_ = (store, TX_CTE, STORE_CTE)
+
+
+# --------------------------------------------------------------------------- #
+# helpers for SQL generation
+# --------------------------------------------------------------------------- #
+
+_TX_COLUMNS = (
+    "TransactionID", "TransactionDT", "isFraud", "amount", "k", "user_id", "hour",
+    "cat_a", "cat_b", "f_partial", "f_sparse",
+)
+_DOUBLE_COLUMNS = ("amount", "f_partial", "f_sparse")
+_CONTRACT = contract.Contract(td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, td.CHAMPION_THRESHOLD)
+_NUMERIC_CONTRACT = [c for c in td.CONTRACT_FEATURES if c not in td.CATEGORICAL_FEATURES]
+
+
+def _missing_sql(c: str) -> str:
+    return f"({c} IS NULL OR isnan({c}))" if c in _DOUBLE_COLUMNS else f"({c} IS NULL)"
+
+
+def _feature_list(cols) -> str:
+    return ", ".join(cols)
+
+
+# --------------------------------------------------------------------------- #
+# P1-P3, A21 profiling
+# --------------------------------------------------------------------------- #
+
+
+@register(
+    "p1_null_profile",
+    f"WITH {TX_CTE} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, avg(CASE WHEN {_missing_sql(c)} THEN 1.0 ELSE 0.0 END::DOUBLE) * 100.0 AS null_pct FROM tx"
+        for c in _TX_COLUMNS
+    ),
+)
+def q_null_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.null_profile(tx(spark, sf))
+
+
+@register("p2_missingness_filter", f"WITH {TX_CTE} SELECT * EXCLUDE (f_sparse) FROM tx")
+def q_missingness_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.filter_columns_by_missingness(tx(spark, sf), 50.0)
+
+
+@register(
+    "p3_dropped_columns",
+    f"WITH {TX_CTE} SELECT 'f_sparse' AS column_name, "
+    f"avg(CASE WHEN {_missing_sql('f_sparse')} THEN 1.0 ELSE 0.0 END::DOUBLE) * 100.0 AS null_pct FROM tx",
+)
+def q_dropped_columns(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.dropped_columns(tx(spark, sf), 50.0)
+
+
+_LIFT_SQL = """SELECT '{c}' AS column_name,
+  CAST(sum(CASE WHEN {m} THEN 1 ELSE 0 END) AS BIGINT) AS n_missing,
+  CAST(sum(CASE WHEN {m} THEN 0 ELSE 1 END) AS BIGINT) AS n_present,
+  round(sum(CASE WHEN {m} THEN CAST(isFraud AS DOUBLE) ELSE 0.0 END) / sum(CASE WHEN {m} THEN 1 ELSE 0 END), 9) AS rate_missing,
+  round(sum(CASE WHEN {m} THEN 0.0 ELSE CAST(isFraud AS DOUBLE) END) / sum(CASE WHEN {m} THEN 0 ELSE 1 END), 9) AS rate_present,
+  round((sum(CASE WHEN {m} THEN CAST(isFraud AS DOUBLE) ELSE 0.0 END) / sum(CASE WHEN {m} THEN 1 ELSE 0 END))
+      / (sum(CASE WHEN {m} THEN 0.0 ELSE CAST(isFraud AS DOUBLE) END) / sum(CASE WHEN {m} THEN 0 ELSE 1 END)), 9) AS lift
+FROM tx"""
+
+
+@register(
+    "a21_missingness_lift",
+    f"WITH {TX_CTE} "
+    + " UNION ALL ".join(_LIFT_SQL.format(c=c, m=_missing_sql(c)) for c in ("f_partial", "f_sparse")),
+)
+def q_missingness_lift(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.missingness_lift(tx(spark, sf), ["f_partial", "f_sparse"])
+
+
+# --------------------------------------------------------------------------- #
+# V4 completeness, V10 quarantine, P6/P7 scoring, A22
+# --------------------------------------------------------------------------- #
+
+
+@register(
+    "v4_incomplete_columns",
+    f"WITH {TX_CTE} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, bool_or({_missing_sql(c)}) AS has_missing FROM tx"
+        for c in td.CONTRACT_FEATURES
+    ),
+)
+def q_incomplete(spark: SparkSession, sf: str) -> DataFrame:
+    t = tx(spark, sf)
+    bad = set(contract.incomplete_columns(t, td.CONTRACT_FEATURES))
+    rows = [(c, c in bad) for c in td.CONTRACT_FEATURES]
+    # The aggregate ran on Spark; the per-column verdicts (schema-bounded)
+    # come back as a tiny frame.
+    return spark.createDataFrame(rows, "column_name string, has_missing boolean")
+
+
+@register(
+    "v10_quarantine",
+    f"WITH {TX_CTE}, r AS (SELECT TransactionID, concat_ws('; ', "
+    + ", ".join(f"CASE WHEN {_missing_sql(c)} THEN 'null: {c}' END" for c in td.CONTRACT_FEATURES)
+    + ") AS reasons FROM tx) SELECT TransactionID, reasons = '' AS accepted, reasons FROM r",
+)
+def q_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    t = tx(spark, sf).select(td.ID, *td.CONTRACT_FEATURES)
+    return contract.tag_rows(t, _CONTRACT).select(td.ID, "accepted", "reasons")
+
+
+def _champion_boundary(require_complete: bool = False) -> contract.ScoringBoundary:
+    return contract.ScoringBoundary(td.champion_score, _CONTRACT, require_complete=require_complete)
+
+
+@register(
+    "p7_score_stream",
+    f"""WITH {SLICED_CTE}
+SELECT TransactionID, {CHAMPION_SQL} AS score,
+       CASE WHEN {CHAMPION_SQL} >= 0.5 THEN 'block' ELSE 'allow' END AS decision, CAST(0.5 AS DOUBLE) AS threshold
+FROM sliced WHERE slice = 'stream'""",
+)
+def q_score_stream(spark: SparkSession, sf: str) -> DataFrame:
+    stream = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
+    return _champion_boundary().score(stream, keep=[td.ID])
+
+
+@register(
+    "a22_score_summary",
+    f"""WITH {SLICED_CTE}, s AS (
+  SELECT {CHAMPION_SQL} AS score, CASE WHEN {CHAMPION_SQL} >= 0.5 THEN 'block' ELSE 'allow' END AS decision
+  FROM sliced WHERE slice = 'stream')
+SELECT decision, count(*) AS n_rows, min(score) AS min_score, max(score) AS max_score FROM s GROUP BY decision""",
+)
+def q_score_summary(spark: SparkSession, sf: str) -> DataFrame:
+    stream = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
+    scored = _champion_boundary().score(stream, keep=[td.ID])
+    return scored.groupBy("decision").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("score").alias("min_score"), F.max("score").alias("max_score")
+    )
+
+
+# --------------------------------------------------------------------------- #
+# J4 partial-coverage left join (documents with labels)
+# --------------------------------------------------------------------------- #
+
+
+@register(
+    "j4_label_coverage",
+    """SELECT d.lang, count(*) AS n_docs, count(l.doc_id) AS n_labeled,
+       round(avg(CASE WHEN l.doc_id IS NULL THEN 0.0 ELSE 1.0 END::DOUBLE), 9) AS coverage,
+       round(avg(CAST(l.quality AS DOUBLE)), 9) AS quality_rate
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY d.lang""",
+)
+def q_label_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    docs = td.table(spark, sf, "documents").select("doc_id", "lang")
+    labels = td.table(spark, sf, "labels").select(F.col("doc_id").alias("l_doc_id"), "quality")
+    joined = docs.join(labels, docs.doc_id == labels.l_doc_id, "left")
+    return joined.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n_docs"),
+        F.count("l_doc_id").alias("n_labeled"),
+        F.round(F.avg(F.col("l_doc_id").isNotNull().cast("double")), 9).alias("coverage"),
+        F.round(F.avg(F.col("quality").cast("double")), 9).alias("quality_rate"),
+    )
+
+
+# --------------------------------------------------------------------------- #
+# Store: W2, A3, J2, J3, L2
+# --------------------------------------------------------------------------- #
+
+
+@register(
+    "w2_latest_scores",
+    f"""WITH {STORE_CTE}
+SELECT TransactionID, arg_max(score, batch_id) AS score, arg_max(decision, batch_id) AS decision,
+       CAST(max(batch_id) AS BIGINT) AS batch_id
+FROM store GROUP BY TransactionID""",
+)
+def q_latest(spark: SparkSession, sf: str) -> DataFrame:
+    return store.latest_scores(scored_store(spark, sf)).select(td.ID, "score", "decision", "batch_id")
+
+
+@register(
+    "a3_store_counts",
+    f"""WITH {STORE_CTE}
+SELECT count(*) AS n_rows, count(DISTINCT TransactionID) AS n_ids FROM store""",
+)
+def q_store_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return store.store_counts(scored_store(spark, sf))
+
+
+@register(
+    "j2_scored_rows",
+    f"""WITH {STORE_CTE}
+SELECT TransactionID, TransactionDT FROM tx WHERE TransactionID IN (SELECT TransactionID FROM store)""",
+)
+def q_scored_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return store.scored_rows(tx(spark, sf), scored_store(spark, sf)).select(td.ID, td.TIME)
+
+
+@register(
+    "j3_unseen_rows",
+    f"""WITH {STORE_CTE}
+SELECT TransactionID, TransactionDT FROM tx t
+WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.TransactionID = t.TransactionID)""",
+)
+def q_unseen_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return store.unseen_rows(tx(spark, sf), scored_store(spark, sf)).select(td.ID, td.TIME)
+
+
+@register(
+    "l2_next_chunk",
+    f"""WITH {STORE_CTE}
+SELECT TransactionID, TransactionDT FROM tx t
+WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.TransactionID = t.TransactionID)
+ORDER BY TransactionDT, TransactionID LIMIT 500""",
+)
+def q_next_chunk(spark: SparkSession, sf: str) -> DataFrame:
+    return store.next_chunk(tx(spark, sf), scored_store(spark, sf), 500).select(td.ID, td.TIME)
