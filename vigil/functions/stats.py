@@ -89,25 +89,32 @@ def chi2_sf_value(x: float, dof: float) -> float:
     return _gammaincc(dof / 2.0, x / 2.0)
 
 
-@F.pandas_udf("double")
-def chi2_sf(x: pd.Series, dof: pd.Series) -> pd.Series:
-    """Vectorised chi-square tail over a per-feature result table."""
+def _chi2_sf_batch(x: pd.Series, dof: pd.Series) -> pd.Series:
     return pd.Series(
         [chi2_sf_value(a, b) for a, b in zip(x.astype(float), dof.astype(float))], dtype="float64"
     )
 
 
+def chi2_sf(x: Column, dof: Column) -> Column:
+    """Vectorised chi-square tail over a per-feature result table."""
+    # Wrapped at call time: workers import this module without a session.
+    return F.pandas_udf(_chi2_sf_batch, "double")(x, dof)
+
+
 def norm_sf_value(z: float) -> float:
     """Standard normal upper tail ``0.5 * erfc(z / sqrt 2)``."""
     return 0.5 * math.erfc(z / math.sqrt(2.0))
 
 
-@F.pandas_udf("double")
-def norm_sf(z: pd.Series) -> pd.Series:
-    """Vectorised normal tail over a one-row-per-test result table."""
+def _norm_sf_batch(z: pd.Series) -> pd.Series:
     return pd.Series([norm_sf_value(v) for v in z.astype(float)], dtype="float64")
 
 
+def norm_sf(z: Column) -> Column:
+    """Vectorised normal tail over a one-row-per-test result table."""
+    return F.pandas_udf(_norm_sf_batch, "double")(z)
+
+
 def safe_pvalue(p: Column) -> Column:
     """NULL / NaN -> 1.0, then clamp to ``[0, 1]``."""
     cleaned = F.coalesce(F.nanvl(p.cast("double"), F.lit(1.0)), F.lit(1.0))

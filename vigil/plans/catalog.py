@@ -392,3 +392,254 @@ ORDER BY TransactionDT, TransactionID LIMIT 500""",
 )
 def q_next_chunk(spark: SparkSession, sf: str) -> DataFrame:
     return store.next_chunk(tx(spark, sf), scored_store(spark, sf), 500).select(td.ID, td.TIME)
+
+
+# --------------------------------------------------------------------------- #
+# Windows: M6 reference, M7 current, W3 last N, W4 trailing, L4 sample
+# --------------------------------------------------------------------------- #
+
+_FEATS = _feature_list(td.CONTRACT_FEATURES)
+_T_FEATS = ", ".join(f"t.{c}" for c in td.CONTRACT_FEATURES)
+_WINDOW_CTE = (
+    STORE_CTE
+    + f""",
+ref AS (SELECT {_FEATS}, {CHAMPION_SQL} AS score FROM sliced WHERE slice = 'train'),
+cur_all AS (SELECT t.TransactionID, {_T_FEATS}, l.score FROM latest l JOIN tx t USING (TransactionID)),
+cur AS (SELECT {_FEATS}, score FROM cur_all)"""
+)
+
+
+def reference_frame(spark: SparkSession, sf: str) -> DataFrame:
+    train = sliced(spark, sf).filter(F.col("slice") == "train").select(td.ID, *td.CONTRACT_FEATURES)
+    ref = window.build_reference(train, td.champion_score, max_rows=None)
+    return ref.select(*td.CONTRACT_FEATURES, "score")
+
+
+def current_frame(spark: SparkSession, sf: str, **kw) -> DataFrame:
+    kw.setdefault("window_rows", None)
+    return window.current_window(scored_store(spark, sf), tx(spark, sf), td.CONTRACT_FEATURES, **kw)
+
+
+@register("m6_reference", f"WITH {_WINDOW_CTE} SELECT * FROM ref")
+def q_reference(spark: SparkSession, sf: str) -> DataFrame:
+    return reference_frame(spark, sf)
+
+
+@register("m7_current_window", f"WITH {_WINDOW_CTE} SELECT * FROM cur")
+def q_current(spark: SparkSession, sf: str) -> DataFrame:
+    return current_frame(spark, sf)
+
+
+@register(
+    "w3_last_n_window",
+    f"WITH {_WINDOW_CTE} SELECT {_FEATS}, score FROM cur_all ORDER BY TransactionDT DESC, TransactionID DESC LIMIT 1000",
+)
+def q_last_n(spark: SparkSession, sf: str) -> DataFrame:
+    return current_frame(spark, sf, window_rows=1000)
+
+
+@register(
+    "w4_trailing_window",
+    f"WITH {_WINDOW_CTE} SELECT * FROM cur WHERE TransactionDT > (SELECT max(TransactionDT) FROM cur) - 259200",
+)
+def q_trailing(spark: SparkSession, sf: str) -> DataFrame:
+    return current_frame(spark, sf, window_days=3 * 86400.0)
+
+
+_SAMPLE_KEY_SQL = (
+    "(((((TransactionID % 2147483647) + 0) % 2147483647) * 48271 % 2147483647) * 48271 % 2147483647)"
+)
+
+
+@register(
+    "l4_sample",
+    f"""WITH {SLICED_CTE}
+SELECT TransactionID, TransactionDT FROM sliced WHERE slice = 'train'
+ORDER BY {_SAMPLE_KEY_SQL}, TransactionID LIMIT 1000""",
+)
+def q_sample(spark: SparkSession, sf: str) -> DataFrame:
+    train = sliced(spark, sf).filter(F.col("slice") == "train").select(td.ID, td.TIME)
+    return window.deterministic_sample(train, 1000)
+
+
+# --------------------------------------------------------------------------- #
+# Drift: A8-A14, M8
+# --------------------------------------------------------------------------- #
+
+_NUM_WITH_SCORE = [*_NUMERIC_CONTRACT, "score"]
+_KS_CTE = (
+    _WINDOW_CTE
+    + f""",
+u AS (SELECT 0 AS side, * FROM ref UNION ALL SELECT 1 AS side, * FROM cur),
+nl AS (
+  UNPIVOT (SELECT side, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUM_WITH_SCORE)} FROM u)
+  ON {", ".join(_NUM_WITH_SCORE)} INTO NAME feature VALUE value
+),
+nc AS (
+  SELECT feature, value,
+         CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS ref_n,
+         CAST(sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS BIGINT) AS cur_n
+  FROM nl WHERE NOT isnan(value) GROUP BY feature, value
+),
+ne AS (
+  SELECT feature,
+         sum(ref_n) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cr,
+         sum(cur_n) OVER (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING) AS cc,
+         sum(ref_n) OVER (PARTITION BY feature) AS tot_ref, sum(cur_n) OVER (PARTITION BY feature) AS tot_cur
+  FROM nc
+),
+nd AS (
+  SELECT feature, CAST(any_value(tot_ref) AS BIGINT) AS n_ref, CAST(any_value(tot_cur) AS BIGINT) AS n_cur,
+         max(abs(CAST(cr AS DOUBLE) / tot_ref - CAST(cc AS DOUBLE) / tot_cur)) AS d
+  FROM ne GROUP BY feature
+),
+ks AS (
+  SELECT feature, n_ref, n_cur, CASE WHEN n_ref < 2 OR n_cur < 2 THEN CAST(0.0 AS DOUBLE) ELSE d END AS statistic
+  FROM nd
+),
+ksl AS (SELECT *, sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * statistic AS lam FROM ks),
+ksp AS (
+  SELECT feature, n_ref, n_cur, statistic,
+         CASE WHEN n_ref < 2 OR n_cur < 2 OR lam < 0.2 THEN CAST(1.0 AS DOUBLE)
+              ELSE least(greatest(2.0 * list_reduce(list_transform(range(1, 101),
+                     lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(CAST(-2.0 AS DOUBLE) * k * k * lam * lam)),
+                     lambda a, b: a + b), 0.0), 1.0) END AS p_value
+  FROM ksl
+)"""
+)
+
+_CHI_CTE = """,
+cl AS (
+  UNPIVOT (SELECT side, CAST(cat_a AS VARCHAR) AS cat_a, CAST(cat_b AS VARCHAR) AS cat_b FROM u)
+  ON cat_a, cat_b INTO NAME feature VALUE category
+),
+cc AS (
+  SELECT feature, category,
+         CAST(sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS BIGINT) AS ref_n,
+         CAST(sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS BIGINT) AS cur_n
+  FROM cl GROUP BY feature, category
+),
+ct AS (SELECT feature, sum(ref_n) AS tot_ref, sum(cur_n) AS tot_cur, count(*) AS K FROM cc GROUP BY feature),
+cs AS (
+  SELECT feature, CAST(any_value(tot_ref) AS BIGINT) AS n_ref, CAST(any_value(tot_cur) AS BIGINT) AS n_cur,
+         CAST(any_value(K) - 1 AS BIGINT) AS dof,
+         sum(CASE WHEN ref_n * (CAST(tot_cur AS DOUBLE) / tot_ref) = 0 THEN CAST('inf' AS DOUBLE)
+                  ELSE power(cur_n - ref_n * (CAST(tot_cur AS DOUBLE) / tot_ref), 2) / (ref_n * (CAST(tot_cur AS DOUBLE) / tot_ref)) END) AS statistic
+  FROM cc JOIN ct USING (feature) GROUP BY feature
+),
+csp AS (
+  SELECT feature, n_ref, n_cur, statistic, dof,
+         CASE WHEN dof <= 0 THEN CAST(1.0 AS DOUBLE)
+              WHEN isinf(statistic) THEN CAST(0.0 AS DOUBLE)
+              ELSE least(greatest(exp(-statistic / 2.0) * list_sum(list_transform(range(0, CAST(dof / 2 AS BIGINT)),
+                     lambda i: power(statistic / 2.0, i) / gamma(i + 1))), 0.0), 1.0) END AS p_value
+  FROM cs
+)"""
+
+
+def drift_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return reference_frame(spark, sf), current_frame(spark, sf)
+
+
+def _rounded_metrics(m: DataFrame) -> DataFrame:
+    return m.withColumn("statistic", F.round("statistic", 9)).withColumn("p_value", F.round("p_value", 9))
+
+
+@register(
+    "a8_score_distance",
+    f"WITH {_KS_CTE} SELECT n_ref, n_cur, statistic AS score_distance FROM ks WHERE feature = 'score'",
+)
+def q_score_distance(spark: SparkSession, sf: str) -> DataFrame:
+    ref, cur = drift_inputs(spark, sf)
+    m = drift.ks_metrics(ref, cur, ["score"], kind="score")
+    return m.select("n_ref", "n_cur", F.col("statistic").alias("score_distance"))
+
+
+@register(
+    "a9_ks_features",
+    f"""WITH {_KS_CTE}
+SELECT feature, n_ref, n_cur, statistic, round(p_value, 9) AS p_value FROM ksp WHERE feature <> 'score'""",
+)
+def q_ks_features(spark: SparkSession, sf: str) -> DataFrame:
+    ref, cur = drift_inputs(spark, sf)
+    m = drift.ks_metrics(ref, cur, _NUMERIC_CONTRACT)
+    return m.select("feature", "n_ref", "n_cur", "statistic", F.round("p_value", 9).alias("p_value"))
+
+
+@register(
+    "a10_chisquare_features",
+    f"""WITH {_WINDOW_CTE}, u AS (SELECT 0 AS side, * FROM ref UNION ALL SELECT 1 AS side, * FROM cur){_CHI_CTE}
+SELECT feature, n_ref, n_cur, round(statistic, 9) AS statistic, dof, round(p_value, 9) AS p_value FROM csp""",
+)
+def q_chisquare(spark: SparkSession, sf: str) -> DataFrame:
+    ref, cur = drift_inputs(spark, sf)
+    m = drift.chisquare_metrics(ref, cur, list(td.CATEGORICAL_FEATURES))
+    return _rounded_metrics(m).drop("kind")
+
+
+_METRICS_SQL = f"""WITH {_KS_CTE}{_CHI_CTE},
+metrics AS (
+  SELECT feature, CASE WHEN feature = 'score' THEN 'score' ELSE 'ks' END AS kind, n_ref, n_cur,
+         statistic, CAST(NULL AS BIGINT) AS dof, p_value FROM ksp
+  UNION ALL
+  SELECT feature, 'chisquare' AS kind, n_ref, n_cur, statistic, dof, p_value FROM csp
+)"""
+
+
+@register(
+    "m8_drift_metrics",
+    _METRICS_SQL
+    + " SELECT feature, kind, n_ref, n_cur, round(statistic, 9) AS statistic, dof, round(p_value, 9) AS p_value FROM metrics",
+)
+def q_drift_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    ref, cur = drift_inputs(spark, sf)
+    return _rounded_metrics(drift.compute_drift(ref, cur, feature_columns=td.CONTRACT_FEATURES))
+
+
+_DECISION_SQL = """
+SELECT CAST(count(*) FILTER (WHERE kind <> 'score') AS BIGINT) AS n_features,
+       CAST(count(*) FILTER (WHERE kind <> 'score' AND p_value < 0.05) AS BIGINT) AS n_drifted,
+       CASE WHEN count(*) FILTER (WHERE kind <> 'score') > 0
+            THEN CAST(count(*) FILTER (WHERE kind <> 'score' AND p_value < 0.05) AS DOUBLE)
+                 / count(*) FILTER (WHERE kind <> 'score') ELSE 0.0 END AS feature_fraction,
+       coalesce(CAST(count(*) FILTER (WHERE kind <> 'score' AND p_value < 0.05) AS DOUBLE)
+                 / nullif(count(*) FILTER (WHERE kind <> 'score'), 0), 0.0) >= 0.1 AS feature_alarm,
+       coalesce(max(statistic) FILTER (WHERE kind = 'score'), 0.0) AS score_distance,
+       coalesce(max(statistic) FILTER (WHERE kind = 'score'), 0.0) >= 0.1 AS score_alarm,
+       (coalesce(CAST(count(*) FILTER (WHERE kind <> 'score' AND p_value < 0.05) AS DOUBLE)
+                 / nullif(count(*) FILTER (WHERE kind <> 'score'), 0), 0.0) >= 0.1)
+         OR (coalesce(max(statistic) FILTER (WHERE kind = 'score'), 0.0) >= 0.1) AS alarm
+FROM metrics"""
+
+
+@register("a12_drift_decision", _METRICS_SQL + _DECISION_SQL)
+def q_drift_decision(spark: SparkSession, sf: str) -> DataFrame:
+    ref, cur = drift_inputs(spark, sf)
+    _, decision = drift.run_drift_monitor(ref, cur, feature_columns=td.CONTRACT_FEATURES)
+    return decision
+
+
+@register(
+    "a14_no_drift_decision",
+    f"""WITH {_WINDOW_CTE},
+empty_cur AS (SELECT * FROM cur WHERE TransactionDT > (SELECT max(TransactionDT) FROM cur)),
+metrics AS (
+  SELECT f AS feature, 'none' AS kind, CAST(1.0 AS DOUBLE) AS p_value, CAST(0.0 AS DOUBLE) AS statistic
+  FROM (SELECT unnest({list(td.CONTRACT_FEATURES)}) AS f)
+  WHERE (SELECT count(*) FROM empty_cur) = 0
+  UNION ALL SELECT 'score', 'score', 1.0, 0.0
+)"""
+    + _DECISION_SQL,
+)
+def q_no_drift(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.plans.monitoring import drift_pass
+
+    ref = reference_frame(spark, sf)
+    cur = current_frame(spark, sf, window_days=0.0)  # strictly newer than the newest row: empty
+    _, decision = drift_pass(ref, cur, td.CONTRACT_FEATURES)
+    return decision
+
+
+def flagship(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship: the full drift metrics table."""
+    return q_drift_metrics(spark, sf)
