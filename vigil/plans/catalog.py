@@ -7,12 +7,25 @@ full. ``QUERIES`` maps a name to ``(spark, sf_dir) -> DataFrame``;
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.operators import contract, drift, evaluate, profile, split, store, window
+from vigil.operators import (
+    contract,
+    corpus,
+    drift,
+    evaluate,
+    leaderboard,
+    profile,
+    promote,
+    split,
+    store,
+    trigger,
+    window,
+)
 from vigil.plans.sql import CHALLENGER_SQL, CHAMPION_SQL, SLICED_CTE, STORE_CTE, TX_CTE
 from vigil.sources import testdata as td
 
@@ -20,10 +33,22 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+# Per-call memo (split cut keys): shared by the helpers while one query's
+# plan is being built, cleared around every call so queries stay independent.
+_MEMO: dict = {}
+
 
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            _MEMO.clear()
+            try:
+                return fn(spark, sf)
+            finally:
+                _MEMO.clear()
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE_SQL[name] = sql
         return fn
@@ -40,8 +65,15 @@ def tx(spark: SparkSession, sf: str) -> DataFrame:
     return td.transactions(spark, sf)
 
 
+def cuts(spark: SparkSession, sf: str) -> split.SplitCuts:
+    key = ("cuts", sf)
+    if key not in _MEMO:
+        _MEMO[key] = split.split_cuts(tx(spark, sf))
+    return _MEMO[key]
+
+
 def sliced(spark: SparkSession, sf: str) -> DataFrame:
-    return split.with_slice(tx(spark, sf))
+    return split.with_slice(tx(spark, sf), cuts=cuts(spark, sf))
 
 
 def scored_store(spark: SparkSession, sf: str) -> DataFrame:
@@ -642,4 +674,183 @@ def q_no_drift(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """The flagship: the full drift metrics table."""
-    return q_drift_metrics(spark, sf)
+    return QUERIES["m8_drift_metrics"](spark, sf)
+
+
+# --------------------------------------------------------------------------- #
+# A15/A16/W5 DeLong promotion gate
+# --------------------------------------------------------------------------- #
+
+_PLACE_SQL = """
+{p} AS (
+  SELECT v, (coalesce(nb, 0) + 0.5 * neg) / tot_neg AS pp, (coalesce(pa, 0) + 0.5 * pos) / tot_pos AS pn
+  FROM (
+    SELECT v, pos, neg,
+           sum(neg) OVER (ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS nb,
+           sum(pos) OVER (ORDER BY v ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS pa,
+           CAST(sum(pos) OVER () AS DOUBLE) AS tot_pos, CAST(sum(neg) OVER () AS DOUBLE) AS tot_neg
+    FROM (SELECT {s} AS v, sum(y) AS pos, sum(1 - y) AS neg FROM gate GROUP BY {s})
+  )
+)"""
+
+
+@register(
+    "a15_delong_gate",
+    f"""WITH {SLICED_CTE},
+gate AS (SELECT CASE WHEN isFraud = 1 THEN 1 ELSE 0 END AS y, {CHAMPION_SQL} AS a, {CHALLENGER_SQL} AS b
+         FROM sliced WHERE slice = 'test'),
+{_PLACE_SQL.format(p='pa_t', s='a')},
+{_PLACE_SQL.format(p='pb_t', s='b')},
+j AS (SELECT g.y, x.pp AS a_pp, x.pn AS a_pn, z.pp AS b_pp, z.pn AS b_pn
+      FROM gate g JOIN pa_t x ON g.a = x.v JOIN pb_t z ON g.b = z.v),
+agg AS (
+  SELECT count(*) FILTER (WHERE y = 1) AS n_pos, count(*) FILTER (WHERE y = 0) AS n_neg,
+         avg(a_pp) FILTER (WHERE y = 1) AS auc_a, avg(b_pp) FILTER (WHERE y = 1) AS auc_b,
+         var_samp(b_pp - a_pp) FILTER (WHERE y = 1) AS v10, var_samp(b_pn - a_pn) FILTER (WHERE y = 0) AS v01
+  FROM j
+),
+res AS (SELECT *, sqrt(greatest(v10 / n_pos + v01 / n_neg, 0.0)) AS se FROM agg)
+SELECT CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg,
+       round(auc_a, 9) AS auc_champion, round(auc_b, 9) AS auc_challenger, round(se, 9) AS se,
+       round(CASE WHEN se > 0 THEN (auc_b - auc_a) / se END, 6) AS z,
+       (se > 0 AND auc_b - auc_a > 0 AND (auc_b - auc_a) / se >= 1.6448536269514722) AS promote
+FROM res""",
+)
+def q_delong(spark: SparkSession, sf: str) -> DataFrame:
+    test = sliced(spark, sf).filter(F.col("slice") == "test").select(
+        td.LABEL, td.champion_score().alias("champion"), td.challenger_score().alias("challenger")
+    )
+    d = promote.delong_frame(test)
+    return d.select(
+        "n_pos",
+        "n_neg",
+        F.round("auc_champion", 9).alias("auc_champion"),
+        F.round("auc_challenger", 9).alias("auc_challenger"),
+        F.round("se", 9).alias("se"),
+        F.round("z", 6).alias("z"),
+        "promote",
+    )
+
+
+# --------------------------------------------------------------------------- #
+# P10/U1/A2/M5 corpus, A17/A18 trigger
+# --------------------------------------------------------------------------- #
+
+_LAG = 2 * 86400.0  # two days, in TransactionDT seconds
+_CORPUS_CTE = (
+    STORE_CTE
+    + f""",
+scored_stream AS (SELECT * FROM sliced WHERE slice = 'stream' AND TransactionID IN (SELECT TransactionID FROM store)),
+newest AS (SELECT max(TransactionDT) AS m FROM (SELECT TransactionDT FROM sliced WHERE slice = 'train'
+                                                UNION ALL SELECT TransactionDT FROM scored_stream)),
+corpus AS (
+  SELECT TransactionID, TransactionDT, isFraud, 'history' AS origin FROM sliced WHERE slice = 'train'
+  UNION ALL
+  SELECT TransactionID, TransactionDT, isFraud, 'revealed' AS origin FROM scored_stream
+  WHERE TransactionDT <= (SELECT m FROM newest) - {_LAG}
+)"""
+)
+
+
+def _corpus(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    t = tx(spark, sf)
+    return corpus.prepare_retraining_inputs(
+        t.withColumn("origin", F.lit("history")), scored_store(spark, sf), reveal_lag=_LAG, cuts=cuts(spark, sf)
+    )
+
+
+@register("m5_corpus_rows", f"WITH {_CORPUS_CTE} SELECT * FROM corpus")
+def q_corpus_rows(spark: SparkSession, sf: str) -> DataFrame:
+    t = tx(spark, sf)
+    c = cuts(spark, sf)
+    train, _test, stream = split.temporal_split(t, cuts=c)
+    scored = store.scored_rows(stream, scored_store(spark, sf)).withColumn("origin", F.lit("revealed"))
+    history = train.withColumn("origin", F.lit("history"))
+    out = corpus.build_retraining_corpus(history, scored, reveal_lag=_LAG)
+    return out.select(td.ID, td.TIME, td.LABEL, "origin")
+
+
+@register(
+    "m5_retraining_counts",
+    f"""WITH {_CORPUS_CTE}
+SELECT (SELECT count(*) FROM corpus) AS corpus_size,
+       (SELECT count(*) FROM sliced WHERE slice = 'test') AS shared_test_size,
+       (SELECT count(*) FROM sliced WHERE slice = 'stream') AS stream_size,
+       (SELECT m FROM newest) AS newest_time""",
+)
+def q_retraining_counts(spark: SparkSession, sf: str) -> DataFrame:
+    c, test, stream = _corpus(spark, sf)
+    sizes = (
+        c.select(F.lit("corpus").alias("part"), td.TIME)
+        .unionByName(test.select(F.lit("test").alias("part"), td.TIME))
+        .unionByName(stream.select(F.lit("stream").alias("part"), td.TIME))
+    )
+    # the corpus' newest time is the A2 "now": max over history and scored stream
+    train, _t, st = split.temporal_split(tx(spark, sf), cuts=cuts(spark, sf))
+    scored = store.scored_rows(st, scored_store(spark, sf))
+    newest = train.select(td.TIME).unionByName(scored.select(td.TIME))
+    counts = sizes.groupBy().agg(
+        F.count_if(F.col("part") == "corpus").alias("corpus_size"),
+        F.count_if(F.col("part") == "test").alias("shared_test_size"),
+        F.count_if(F.col("part") == "stream").alias("stream_size"),
+    )
+    m = newest.agg(F.max(td.TIME).alias("newest_time")).collect()[0]["newest_time"]
+    return counts.withColumn("newest_time", F.lit(m).cast("long"))
+
+
+@register(
+    "a17_retrain_trigger",
+    f"""WITH {STORE_CTE}
+SELECT CAST(greatest(count(*) - count(*) FILTER (WHERE batch_id <= 0), 0) AS BIGINT) AS volume_since_last,
+       CAST(200 AS BIGINT) AS volume_threshold,
+       greatest(count(*) - count(*) FILTER (WHERE batch_id <= 0), 0) >= 200 AS volume_triggered,
+       false AS drift_triggered,
+       greatest(count(*) - count(*) FILTER (WHERE batch_id <= 0), 0) >= 200 AS retrain
+FROM store""",
+)
+def q_trigger(spark: SparkSession, sf: str) -> DataFrame:
+    st = scored_store(spark, sf)
+    # checkpoint = the store's row count when batch 0 completed (derived state)
+    volume = F.greatest(F.count(F.lit(1)) - F.count_if(F.col("batch_id") <= 0), F.lit(0))
+    agg = st.agg(volume.alias("v"))
+    return agg.select(*trigger.trigger_columns(F.col("v"), volume_threshold=200, drift_alarm=False))
+
+
+# --------------------------------------------------------------------------- #
+# A19 best row per group, M9 expanding time folds
+# --------------------------------------------------------------------------- #
+
+
+@register(
+    "a19_best_per_group",
+    """SELECT o_orderpriority, o_orderkey, o_custkey, o_totalprice AS metric, false AS fallback
+FROM (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC, o_orderkey) AS r
+      FROM orders WHERE o_totalprice IS NOT NULL AND NOT isnan(o_totalprice))
+WHERE r = 1""",
+)
+def q_best(spark: SparkSession, sf: str) -> DataFrame:
+    orders = td.table(spark, sf, "orders")
+    return leaderboard.best_per_group(
+        orders,
+        group_cols=["o_orderpriority"],
+        metric_col="o_totalprice",
+        seq_col="o_orderkey",
+        payload=["o_orderkey", "o_custkey"],
+    )
+
+
+@register(
+    "m9_time_folds",
+    f"""WITH {TX_CTE},
+r AS (SELECT TransactionDT, row_number() OVER (ORDER BY TransactionDT, TransactionID) - 1 AS rn0,
+             count(*) OVER () AS n FROM tx),
+f AS (SELECT unnest(range(0, 5)) AS fold),
+a AS (SELECT f.fold, r.TransactionDT,
+             CASE WHEN rn0 < n - (5 - f.fold) * (n // 6) THEN 'train'
+                  WHEN rn0 < n - (5 - f.fold) * (n // 6) + (n // 6) THEN 'test' END AS role
+      FROM r, f)
+SELECT CAST(fold AS INTEGER) AS fold, role, count(*) AS n_rows, min(TransactionDT) AS min_time, max(TransactionDT) AS max_time
+FROM a WHERE role IS NOT NULL GROUP BY fold, role""",
+)
+def q_folds(spark: SparkSession, sf: str) -> DataFrame:
+    return split.time_series_folds(tx(spark, sf))
