@@ -20,9 +20,9 @@ checked, otherwise joined with a plain shuffle join.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from vigil.session import ensure_checkpoint_dir, shuffle_partitions
@@ -52,9 +52,64 @@ def range_bucketed(
     return tagged.checkpoint(eager=True)
 
 
-def maybe_broadcast(df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast-hint ``df`` only when its counted size is under ``row_limit``."""
-    return F.broadcast(df) if df.count() <= row_limit else df
+def maybe_broadcast(
+    df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, *, known_rows: int | None = None
+) -> DataFrame:
+    """Broadcast-hint ``df`` only when its size is under ``row_limit``.
+
+    ``known_rows`` is an upper bound the caller can prove (for example
+    ``groups x buckets``); without one the rows are counted first.
+    """
+    rows = known_rows if known_rows is not None else df.count()
+    return F.broadcast(df) if rows <= row_limit else df
+
+
+def bucket_sizes(rp: DataFrame) -> list[tuple[int, int]]:
+    """``[(bucket, rows)]`` of a range-bucketed frame, in bucket order.
+
+    At most one row per bucket reaches the driver (bounded by the bucket
+    count, not by the data).
+    """
+    rows = rp.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()
+    return sorted((int(r[BUCKET]), int(r["n"])) for r in rows)
+
+
+def rows_at_ranks(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    ranks: Callable[[int], Iterable[int]],
+    *,
+    n_buckets: int | None = None,
+) -> tuple[int, dict[int, Row]]:
+    """``(n, {rank: row})`` for the 1-based global ranks ``ranks(n)``.
+
+    Only the buckets holding a wanted rank are sorted (each about ``n / B``
+    rows); the rest of the data is never ordered.
+    """
+    order = list(order)
+    rp = range_bucketed(df, order, (), n_buckets)
+    sizes = bucket_sizes(rp)
+    n = sum(c for _, c in sizes)
+    wanted = sorted({int(r) for r in ranks(n) if 1 <= int(r) <= n})
+    targets: dict[int, list[tuple[int, int]]] = {}
+    start = 0
+    for b, c in sizes:
+        for r in wanted:
+            if start < r <= start + c:
+                targets.setdefault(b, []).append((r - start, r))
+        start += c
+    if not targets:
+        return n, {}
+    w = Window.partitionBy(BUCKET).orderBy(*[_sort_expr(c) for c in order])
+    local = rp.filter(F.col(BUCKET).isin(list(targets))).withColumn("_lrn", F.row_number().over(w))
+    cond = F.lit(False)
+    for b, pairs in targets.items():
+        cond = cond | ((F.col(BUCKET) == b) & F.col("_lrn").isin([lr for lr, _ in pairs]))
+    lookup = {(b, lr): r for b, pairs in targets.items() for lr, r in pairs}
+    found = {}
+    for row in local.filter(cond).collect():  # one row per wanted rank
+        found[lookup[(int(row[BUCKET]), int(row["_lrn"]))]] = row
+    return n, found
 
 
 def prefix_sums(
@@ -65,6 +120,7 @@ def prefix_sums(
     by: Sequence[str] = (),
     prefix: str = "cum_",
     totals: bool = False,
+    group_bound: int | None = None,
     n_buckets: int | None = None,
 ) -> DataFrame:
     """Add ``<prefix><c>`` = running sum of ``c`` in ``order`` within ``by``.
@@ -74,9 +130,12 @@ def prefix_sums(
     order by a unique key or collapse ties with a ``groupBy`` first. With
     ``totals`` each row also gets ``tot_<c>``, the sum over its whole group,
     read off the same small bucket-totals table (no extra scan).
+    ``group_bound`` bounds the number of ``by`` groups (no bound needed
+    without ``by``); it lets the offsets table be broadcast without counting.
     """
     order = list(order)
-    rp = range_bucketed(df, order, by, n_buckets)
+    n = n_buckets or shuffle_partitions(df.sparkSession)
+    rp = range_bucketed(df, order, by, n)
     bucket_totals = rp.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(c) for c in sums])
     before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, -1
@@ -91,7 +150,8 @@ def prefix_sums(
             else []
         ),
     )
-    joined = rp.join(maybe_broadcast(offsets), [*by, BUCKET])
+    bound = n * (group_bound if by else 1) if (group_bound or not by) else None
+    joined = rp.join(maybe_broadcast(offsets, known_rows=bound), [*by, BUCKET])
     running = Window.partitionBy(*by, BUCKET).orderBy(*[_sort_expr(c) for c in order]).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
@@ -117,6 +177,8 @@ def global_row_number(
 
 __all__ = [
     "BUCKET",
+    "bucket_sizes",
+    "rows_at_ranks",
     "global_row_number",
     "maybe_broadcast",
     "prefix_sums",

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.ordered import maybe_broadcast, prefix_sums
+from vigil.functions.ordered import prefix_sums
 
 DEFAULT_COST_RATIO = 10.0
 
@@ -36,21 +36,25 @@ def score_counts(
     )
 
 
-def _with_totals(curve: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Attach per-group totals ``P``/``N`` (a scalar literal when ungrouped)."""
-    if not by:
-        row = curve.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).collect()[0]
-        return curve.withColumn("P", F.lit(row["P"] or 0)).withColumn("N", F.lit(row["N"] or 0))
-    totals = curve.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return curve.join(maybe_broadcast(totals), list(by))
+def stack_scores(df: DataFrame, label_col: str, score_cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Long form ``(by..., scorer, label, score)`` so several scorers share one pass."""
+    return df.select(*by, label_col, *score_cols).unpivot(
+        [*by, label_col], list(score_cols), "scorer", "score"
+    )
 
 
 def ordered_score_curve(
-    df: DataFrame, label_col: str, score_col: str, by: Sequence[str] = ()
+    df: DataFrame,
+    label_col: str,
+    score_col: str,
+    by: Sequence[str] = (),
+    *,
+    group_bound: int | None = None,
 ) -> DataFrame:
-    """Distinct scores ascending with running counts ``cum_pos`` / ``cum_neg``."""
+    """Distinct scores ascending with ``cum_pos``/``cum_neg`` and group totals
+    ``tot_pos``/``tot_neg``."""
     counts = score_counts(df, label_col, score_col, by)
-    return prefix_sums(counts, ["score"], ["pos", "neg"], by=by)
+    return prefix_sums(counts, ["score"], ["pos", "neg"], by=by, totals=True, group_bound=group_bound)
 
 
 def auc_frame(
@@ -59,9 +63,10 @@ def auc_frame(
     label_col: str = "isFraud",
     score_col: str = "score",
     by: Sequence[str] = (),
+    group_bound: int | None = None,
 ) -> DataFrame:
     """``(by..., n_pos, n_neg, auc)``; ``auc`` is NULL when a class is absent."""
-    curve = ordered_score_curve(df, label_col, score_col, by)
+    curve = ordered_score_curve(df, label_col, score_col, by, group_bound=group_bound)
     credit = F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)
     agg = curve.groupBy(*by).agg(
         F.sum("pos").alias("n_pos"),
@@ -131,9 +136,9 @@ def cost_curve(
     """Cost at every distinct observed score (the threshold candidates)."""
     if cost_ratio <= 0:
         raise ValueError("cost_ratio must be positive")
-    curve = _with_totals(ordered_score_curve(df, label_col, score_col, by), by)
+    curve = ordered_score_curve(df, label_col, score_col, by)
     missed = F.col("cum_pos") - F.col("pos")  # fraud strictly below t
-    blocked = F.col("N") - (F.col("cum_neg") - F.col("neg"))  # good at or above t
+    blocked = F.col("tot_neg") - (F.col("cum_neg") - F.col("neg"))  # good at or above t
     return curve.select(
         *by,
         F.col("score").alias("threshold"),

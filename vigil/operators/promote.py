@@ -14,30 +14,33 @@ mean equals the AUC), so identical scorers give exactly ``se = 0``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.stats import norm_sf
-from vigil.operators.evaluate import ordered_score_curve
+from vigil.operators.evaluate import ordered_score_curve, stack_scores
 
 DEFAULT_ALPHA = 0.05
 
 
-def placements(df: DataFrame, *, label_col: str, score_col: str, prefix: str) -> DataFrame:
-    """Per distinct score: ``<prefix>_pp`` and ``<prefix>_pn`` placement values."""
-    curve = ordered_score_curve(df, label_col, score_col)
-    tot = curve.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).collect()[0]
-    p, n = int(tot["P"] or 0), int(tot["N"] or 0)
-    if p == 0 or n == 0:
-        raise ValueError("the test set needs at least one positive and one negative label")
+def placements(rows: DataFrame, *, label_col: str, score_cols: Sequence[str]) -> DataFrame:
+    """Per ``(scorer, distinct score)``: placement values ``pp`` and ``pn``.
+
+    All scorers go through one ordered pass (``by = scorer``).
+    """
+    curve = ordered_score_curve(
+        stack_scores(rows, label_col, score_cols), label_col, "score", ["scorer"], group_bound=len(score_cols)
+    )
     neg_below = F.col("cum_neg") - F.col("neg")
-    pos_above = F.lit(p) - F.col("cum_pos")
+    pos_above = F.col("tot_pos") - F.col("cum_pos")
     return curve.select(
-        F.col("score").alias(f"{prefix}_v"),
-        ((neg_below + F.col("neg") * 0.5) / F.lit(float(n))).alias(f"{prefix}_pp"),
-        ((pos_above + F.col("pos") * 0.5) / F.lit(float(p))).alias(f"{prefix}_pn"),
+        "scorer",
+        "score",
+        ((neg_below + F.col("neg") * 0.5) / F.col("tot_neg").cast("double")).alias("pp"),
+        ((pos_above + F.col("pos") * 0.5) / F.col("tot_pos").cast("double")).alias("pn"),
     )
 
 
@@ -61,8 +64,14 @@ def delong_frame(
         F.col(champion_col).cast("double").alias("_a"),
         F.col(challenger_col).cast("double").alias("_b"),
     )
-    pa = placements(rows, label_col="_y", score_col="_a", prefix="a")
-    pb = placements(rows, label_col="_y", score_col="_b", prefix="b")
+    both = rows.select(F.col("_y").alias("y"), F.col("_a").alias("a"), F.col("_b").alias("b"))
+    pl = placements(both, label_col="y", score_cols=["a", "b"])
+    pa = pl.filter(F.col("scorer") == "a").select(
+        F.col("score").alias("a_v"), F.col("pp").alias("a_pp"), F.col("pn").alias("a_pn")
+    )
+    pb = pl.filter(F.col("scorer") == "b").select(
+        F.col("score").alias("b_v"), F.col("pp").alias("b_pp"), F.col("pn").alias("b_pn")
+    )
     joined = rows.join(pa, rows["_a"] == pa["a_v"]).join(pb, rows["_b"] == pb["b_v"])
     pos, neg = F.col("_y") == 1, F.col("_y") == 0
     agg = joined.agg(

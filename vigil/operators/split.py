@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.ordered import global_row_number
+from vigil.functions.ordered import rows_at_ranks
 
 TRAIN_FRAC = 0.70
 TEST_FRAC = 0.15
@@ -63,16 +63,15 @@ def split_cuts(
     """Rank ``(time, id)`` globally and return the two cut keys."""
     _check(df, time_col, train_frac, test_frac)
     keys = df.select(time_col, id_col)
-    n = keys.count()
-    i_test = round(n * train_frac)
-    i_stream = round(n * (train_frac + test_frac))
-    wanted = sorted({r for r in (i_test, i_stream) if r > 0})
-    found: dict[int, tuple] = {}
-    if wanted:
-        ranked = global_row_number(keys, [time_col, id_col])
-        for row in ranked.filter(F.col("rn").isin(wanted)).collect():  # <= 2 rows
-            found[int(row["rn"])] = (row[time_col], row[id_col])
-    return SplitCuts(n, i_test, i_stream, found.get(i_test), found.get(i_stream))
+    fracs = (train_frac, train_frac + test_frac)
+    n, found = rows_at_ranks(keys, [time_col, id_col], lambda n: [round(n * f) for f in fracs])
+    i_test, i_stream = (round(n * f) for f in fracs)
+
+    def key(rank: int) -> tuple | None:
+        row = found.get(rank)
+        return None if row is None else (row[time_col], row[id_col])
+
+    return SplitCuts(n, i_test, i_stream, key(i_test), key(i_stream))
 
 
 def slice_column(cuts: SplitCuts, time_col: str = "TransactionDT", id_col: str = "TransactionID") -> Column:
@@ -142,28 +141,33 @@ def time_series_folds(
     """M9 expanding-window folds from global ``(time, id)`` ranks.
 
     With ``n`` rows and ``size = n // (n_splits + 1)``, fold ``f`` (0-based)
-    trains on ranks ``1 .. n - (n_splits - f) * size`` and tests on the next
-    ``size`` ranks. Returns one row per (fold, role) with counts and time
-    bounds; the ranks come from the shared ordered primitive.
+    trains on ranks ``1 .. s_f`` with ``s_f = n - (n_splits - f) * size`` and
+    tests on ranks ``s_f + 1 .. s_f + size``. Counts follow from ``n``; the
+    time bounds are the times at those boundary ranks, looked up with the
+    shared rank primitive (only the buckets holding them are sorted).
+    Returns one row per (fold, role).
     """
     if n_splits < 2:
         raise ValueError("n_splits must be at least 2")
-    ranked = global_row_number(df.select(time_col, id_col), [time_col, id_col])
-    n = ranked.count()
+    keys = df.select(time_col, id_col)
+
+    def boundaries(n: int) -> list[int]:
+        size = n // (n_splits + 1)
+        out = [1]
+        for f in range(n_splits):
+            s = n - (n_splits - f) * size
+            out += [s, s + 1, s + size]
+        return out
+
+    n, found = rows_at_ranks(keys, [time_col, id_col], boundaries)
     size = n // (n_splits + 1)
     if size == 0:
         raise ValueError(f"too few rows ({n}) for {n_splits} folds")
-    folds = F.explode(F.sequence(F.lit(0), F.lit(n_splits - 1))).alias("fold")
-    test_start = F.lit(n) - (F.lit(n_splits) - F.col("fold")) * F.lit(size)  # 0-based start
-    rn0 = F.col("rn") - 1
-    role = (
-        F.when(rn0 < test_start, "train")
-        .when(rn0 < test_start + F.lit(size), "test")
-        .otherwise(None)
-    )
-    per_fold = ranked.select("*", folds).withColumn("role", role).filter(F.col("role").isNotNull())
-    return per_fold.groupBy("fold", "role").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.min(time_col).alias("min_time"),
-        F.max(time_col).alias("max_time"),
-    )
+    t = {r: row[time_col] for r, row in found.items()}
+    rows = []
+    for f in range(n_splits):
+        s = n - (n_splits - f) * size
+        rows.append((f, "train", s, t[1], t[s]))
+        rows.append((f, "test", size, t[s + 1], t[s + size]))
+    schema = f"fold int, role string, n_rows long, min_time {keys.schema[time_col].dataType.simpleString()}, max_time {keys.schema[time_col].dataType.simpleString()}"
+    return df.sparkSession.createDataFrame(rows, schema)

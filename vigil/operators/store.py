@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.functions.ordered import global_row_number
+from vigil.functions.ordered import rows_at_ranks
 from vigil.session import path_exists
 
 ID = "TransactionID"
@@ -122,16 +122,11 @@ def first_rows(
     if n <= 0:
         raise ValueError(f"n must be positive, got {n!r}")
     order = list(order)
-    keys = df.select(*order)
     sort = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order]
-    ranked = global_row_number(keys, sort)
-    cut = ranked.filter(F.col("rn") <= n).agg(
-        F.count(F.lit(1)).alias("c"),
-        (F.max_by(F.struct(*order), "rn")).alias("k"),
-    ).collect()[0]
-    if cut["c"] < n:  # fewer rows than n: everything
+    total, found = rows_at_ranks(df.select(*order), sort, lambda _n: [n])
+    if total <= n:  # no more rows than n: everything
         return df
-    key = [cut["k"][c] for c in order]
+    key = [found[n][c] for c in order]
     return df.filter(_lexi_cmp(order, key, descending))
 
 

@@ -149,11 +149,14 @@ def q_auc(spark: SparkSession, sf: str) -> DataFrame:
     s = sliced(spark, sf).select(
         "slice", td.LABEL, td.champion_score().alias("a"), td.challenger_score().alias("b")
     )
-    a = evaluate.auc_frame(s, score_col="a", by=["slice"]).withColumnRenamed("auc", "auc_champion")
-    b = evaluate.auc_frame(s, score_col="b", by=["slice"]).select(
-        "slice", F.col("auc").alias("auc_challenger")
+    long = evaluate.stack_scores(s, td.LABEL, ["a", "b"], by=["slice"])
+    auc = evaluate.auc_frame(long, by=["slice", "scorer"], group_bound=6)
+    return auc.groupBy("slice").agg(
+        F.first("n_pos").alias("n_pos"),
+        F.first("n_neg").alias("n_neg"),
+        F.max(F.when(F.col("scorer") == "a", F.col("auc"))).alias("auc_champion"),
+        F.max(F.when(F.col("scorer") == "b", F.col("auc"))).alias("auc_challenger"),
     )
-    return a.join(b, "slice")
 
 
 _COUNTS_SQL = """
