@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +50,13 @@ def range_bucketed(
     n = n_buckets or shuffle_partitions(spark)
     keys = [F.col(c).asc() for c in by] + [_sort_expr(c) for c in order]
     tagged = df.repartitionByRange(n, *keys).withColumn(BUCKET, F.spark_partition_id())
-    return tagged.checkpoint(eager=True)
+    # Persist first so the checkpoint write reads the computed partitions
+    # instead of recomputing them; the checkpoint then cuts the lineage.
+    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return tagged.checkpoint(eager=True)
+    finally:
+        tagged.unpersist()
 
 
 def maybe_broadcast(

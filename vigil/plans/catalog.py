@@ -857,3 +857,203 @@ FROM a WHERE role IS NOT NULL GROUP BY fold, role""",
 )
 def q_folds(spark: SparkSession, sf: str) -> DataFrame:
     return split.time_series_folds(tx(spark, sf))
+
+
+# --------------------------------------------------------------------------- #
+# Sources and sinks: S1/S4 CSV, S3 Parquet, S5/S6 store, S7 JSON, S8, S12
+# --------------------------------------------------------------------------- #
+
+from vigil.session import work_path  # noqa: E402
+from vigil.sources import io  # noqa: E402
+
+
+@register("s1_csv_roundtrip", f"WITH {TX_CTE} SELECT * FROM tx")
+def q_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    t = tx(spark, sf)
+    path = work_path(spark, "csv")
+    io.write_csv(t, path)
+    return io.read_csv(spark, path, t.schema)
+
+
+@register(
+    "s3_features_roundtrip",
+    f"WITH {TX_CTE} SELECT * EXCLUDE (f_sparse) FROM tx",
+)
+def q_features_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    features = profile.convert_categoricals(
+        profile.filter_columns_by_missingness(tx(spark, sf)), td.CATEGORICAL_FEATURES
+    )
+    path = work_path(spark, "features")
+    io.write_parquet(features, path)
+    return io.read_parquet(spark, path)
+
+
+@register(
+    "s5_store_roundtrip",
+    f"""WITH {STORE_CTE}
+SELECT TransactionID, arg_max(score, batch_id) AS score, arg_max(decision, batch_id) AS decision,
+       CAST(max(batch_id) AS BIGINT) AS batch_id, CAST(count(*) AS BIGINT) AS n_appends
+FROM store GROUP BY TransactionID""",
+)
+def q_store_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    derived = scored_store(spark, sf)
+    path = work_path(spark, "store")
+    for b in (0, 1):
+        store.append_scores(derived.filter(F.col("batch_id") == b), path)  # next batch id
+    st = store.read_store(spark, path)
+    appends = st.groupBy(td.ID).agg(F.count(F.lit(1)).alias("n_appends"))
+    latest = store.latest_scores(st).select(td.ID, "score", "decision", "batch_id")
+    return latest.join(appends, td.ID)
+
+
+@register(
+    "s7_json_props",
+    """SELECT event_id,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+       array_to_string(list_sort(list_filter(json_keys(props), lambda x: x <> 'k')), '; ') AS unknown_keys,
+       CASE WHEN json_extract_string(props, '$.k') IS NOT NULL
+             AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NULL THEN 'k' ELSE '' END AS bad_values
+FROM events""",
+)
+def q_json_props(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    ev = td.table(spark, sf, "events")
+    schema = T.StructType([T.StructField("k", T.IntegerType())])
+    return io.parse_json_payloads(ev, "props", schema, keep=["event_id"])
+
+
+@register(
+    "s8_report_json",
+    _METRICS_SQL
+    + " SELECT feature, kind, n_ref, n_cur, round(statistic, 9) AS statistic, dof, round(p_value, 9) AS p_value FROM metrics",
+)
+def q_report_json(spark: SparkSession, sf: str) -> DataFrame:
+    ref, cur = drift_inputs(spark, sf)
+    metrics = _rounded_metrics(drift.compute_drift(ref, cur, feature_columns=td.CONTRACT_FEATURES))
+    path = work_path(spark, "drift-report")
+    io.write_report_json(metrics, path)
+    return io.read_report_json(spark, path, drift.METRICS_SCHEMA)
+
+
+@register(
+    "s12_submission",
+    f"WITH {SLICED_CTE} SELECT TransactionID, {CHAMPION_SQL} AS score FROM sliced WHERE slice = 'stream'",
+)
+def q_submission(spark: SparkSession, sf: str) -> DataFrame:
+    from pyspark.sql import types as T
+
+    unlabeled = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
+    scored = _champion_boundary().score(unlabeled, keep=[td.ID])
+    path = work_path(spark, "submission")
+    io.write_submission(scored, path)
+    schema = T.StructType([T.StructField(td.ID, T.LongType()), T.StructField("score", T.DoubleType())])
+    return io.read_csv(spark, path, schema)
+
+
+# --------------------------------------------------------------------------- #
+# ST1/ST2 streaming scoring into the store
+# --------------------------------------------------------------------------- #
+
+
+@register(
+    "st1_stream_scoring",
+    f"""WITH {SLICED_CTE}
+SELECT TransactionID, {CHAMPION_SQL} AS score,
+       CASE WHEN {CHAMPION_SQL} >= 0.5 THEN 'block' ELSE 'allow' END AS decision
+FROM sliced WHERE slice = 'stream'""",
+)
+def q_stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.streaming import scoring as st_scoring
+
+    stream_rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
+    source = work_path(spark, "replay")
+    st_scoring.write_replay_files(stream_rows, source, files=4)
+    store_path = work_path(spark, "stream-store")
+    st_scoring.run_scoring_stream(
+        spark,
+        source,
+        stream_rows.schema,
+        _champion_boundary(),
+        store_path,
+        work_path(spark, "stream-ckpt"),
+        max_files_per_trigger=1,
+    )
+    return store.latest_scores(store.read_store(spark, store_path)).select(td.ID, "score", "decision")
+
+
+# --------------------------------------------------------------------------- #
+# M10 exact medians / imputation, M3 seed champion, M4 challenger, M11
+# --------------------------------------------------------------------------- #
+
+
+@register(
+    "m10_medians",
+    f"WITH {TX_CTE} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, round(median(CAST({c} AS DOUBLE)), 9) AS median FROM tx"
+        for c in _NUMERIC_CONTRACT
+    ),
+)
+def q_medians(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.operators import models
+
+    t = tx(spark, sf)
+    rows = [(c, models.exact_median(t, c)) for c in _NUMERIC_CONTRACT]
+    out = spark.createDataFrame(rows, "column_name string, median double")
+    return out.withColumn("median", F.round("median", 9))
+
+
+@register(
+    "m10_impute_rows",
+    f"""WITH {TX_CTE}
+SELECT TransactionID, coalesce(f_partial, (SELECT median(f_partial) FROM tx)) AS f_partial,
+       CAST(f_partial IS NULL AS INTEGER) AS f_partial_missing,
+       coalesce(cat_b, 'missing') AS cat_b
+FROM tx""",
+)
+def q_impute_rows(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.operators import models
+
+    t = tx(spark, sf).select(td.ID, "f_partial", "cat_b")
+    imputed, _ = models.impute_exact(t, ["f_partial"], ["cat_b"])
+    return imputed.select(td.ID, "f_partial", "f_partial_missing", "cat_b")
+
+
+def _trained_summary(spark: SparkSession, trained) -> DataFrame:
+    return spark.createDataFrame(
+        [(trained.n_train, trained.n_test, trained.n_stream, trained.test_auc, trained.threshold, trained.expected_cost)],
+        "n_train long, n_test long, n_stream long, test_auc double, threshold double, expected_cost double",
+    )
+
+
+@register("m3_seed_champion")
+def q_seed(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.plans import training
+
+    t = tx(spark, sf)
+    trained = training.seed_champion(
+        t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params={"maxIter": 20}, model_path=work_path(spark, "seed")
+    )
+    return _trained_summary(spark, trained)
+
+
+@register("m4_challenger")
+def q_challenger(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.plans import training
+
+    c, _test, _stream = _corpus(spark, sf)
+    trained = training.train_challenger(
+        c.drop("origin"), td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params={"maxIter": 20}
+    )
+    return _trained_summary(spark, trained)
+
+
+@register("m11_baselines")
+def q_baselines(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.operators import models
+
+    s = sliced(spark, sf)
+    train = s.filter(F.col("slice") == "train")
+    valid = s.filter(F.col("slice") == "test")
+    return models.baseline_aucs(train, valid, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES)
