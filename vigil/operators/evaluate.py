@@ -177,6 +177,6 @@ def operating_threshold(
     rows = operating_threshold_frame(
         df, cost_ratio=cost_ratio, label_col=label_col, score_col=score_col
     ).collect()
-    if not rows:
+    if not rows or rows[0]["threshold"] is None:
         raise ValueError("operating_threshold requires at least one score")
     return float(rows[0]["threshold"])

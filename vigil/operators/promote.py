@@ -39,8 +39,8 @@ def placements(rows: DataFrame, *, label_col: str, score_cols: Sequence[str]) ->
     return curve.select(
         "scorer",
         "score",
-        ((neg_below + F.col("neg") * 0.5) / F.col("tot_neg").cast("double")).alias("pp"),
-        ((pos_above + F.col("pos") * 0.5) / F.col("tot_pos").cast("double")).alias("pn"),
+        F.try_divide(neg_below + F.col("neg") * 0.5, F.col("tot_neg").cast("double")).alias("pp"),
+        F.try_divide(pos_above + F.col("pos") * 0.5, F.col("tot_pos").cast("double")).alias("pn"),
     )
 
 
@@ -84,10 +84,12 @@ def delong_frame(
     )
     se = F.sqrt(F.greatest(F.col("_v10") / F.col("n_pos") + F.col("_v01") / F.col("n_neg"), F.lit(0.0)))
     diff = F.col("auc_challenger") - F.col("auc_champion")
+    both_classes = (F.col("n_pos") >= 1) & (F.col("n_neg") >= 1)
     enough = (F.col("n_pos") >= 2) & (F.col("n_neg") >= 2)
     checked = F.when(
-        ~enough, F.raise_error(F.lit("the DeLong test needs at least two positives and two negatives"))
-    )
+        ~both_classes,
+        F.raise_error(F.lit("the test set needs at least one positive and one negative label")),
+    ).when(~enough, F.raise_error(F.lit("the DeLong test needs at least two positives and two negatives")))
     out = agg.select(
         "n_pos",
         "n_neg",
