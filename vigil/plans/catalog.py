@@ -1057,3 +1057,66 @@ def q_baselines(spark: SparkSession, sf: str) -> DataFrame:
     train = s.filter(F.col("slice") == "train")
     valid = s.filter(F.col("slice") == "test")
     return models.baseline_aucs(train, valid, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES)
+
+
+# --------------------------------------------------------------------------- #
+# P8/P9 complete rows, V9 score range, W5 placement values
+# --------------------------------------------------------------------------- #
+
+_COMPLETE_SQL = " AND ".join(f"NOT {_missing_sql(c)}" for c in td.CONTRACT_FEATURES)
+
+
+@register(
+    "p8_complete_rows",
+    f"WITH {SLICED_CTE} SELECT TransactionID, TransactionDT FROM sliced WHERE slice = 'stream' AND {_COMPLETE_SQL}",
+)
+def q_complete_rows(spark: SparkSession, sf: str) -> DataFrame:
+    stream = sliced(spark, sf).filter(F.col("slice") == "stream")
+    return stream.na.drop("any", subset=list(td.CONTRACT_FEATURES)).select(td.ID, td.TIME)
+
+
+@register(
+    "p8_incomplete_count",
+    f"""WITH {SLICED_CTE}
+SELECT count(*) FILTER (WHERE NOT ({_COMPLETE_SQL})) AS n_incomplete, count(*) FILTER (WHERE {_COMPLETE_SQL}) AS n_complete
+FROM sliced WHERE slice = 'stream'""",
+)
+def q_incomplete_count(spark: SparkSession, sf: str) -> DataFrame:
+    stream = sliced(spark, sf).filter(F.col("slice") == "stream")
+    complete = F.lit(True)
+    for c in td.CONTRACT_FEATURES:
+        complete = complete & ~(F.col(c).isNull() | (F.isnan(c) if c in _DOUBLE_COLUMNS else F.lit(False)))
+    return stream.agg(F.count_if(~complete).alias("n_incomplete"), F.count_if(complete).alias("n_complete"))
+
+
+@register(
+    "v9_score_range",
+    f"""WITH {SLICED_CTE}, s AS (SELECT {CHAMPION_SQL} AS score FROM sliced WHERE slice = 'stream')
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE score IS NULL OR isnan(score) OR score < 0 OR score > 1) AS n_out_of_range,
+       min(score) AS min_score, max(score) AS max_score FROM s""",
+)
+def q_score_range(spark: SparkSession, sf: str) -> DataFrame:
+    stream = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
+    scored = _champion_boundary().score(stream, keep=[td.ID])
+    s = F.col("score")
+    bad = s.isNull() | F.isnan(s) | (s < 0) | (s > 1)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(bad).alias("n_out_of_range"),
+        F.min("score").alias("min_score"),
+        F.max("score").alias("max_score"),
+    )
+
+
+@register(
+    "w5_placements",
+    f"""WITH {SLICED_CTE},
+gate AS (SELECT CASE WHEN isFraud = 1 THEN 1 ELSE 0 END AS y, {CHAMPION_SQL} AS a FROM sliced WHERE slice = 'test'),
+{_PLACE_SQL.format(p='pa_t', s='a')}
+SELECT v AS score, pp, pn FROM pa_t""",
+)
+def q_placements(spark: SparkSession, sf: str) -> DataFrame:
+    test = sliced(spark, sf).filter(F.col("slice") == "test").select(
+        (F.col(td.LABEL) == 1).cast("int").alias("y"), td.champion_score().alias("a")
+    )
+    return promote.placements(test, label_col="y", score_cols=["a"]).select("score", "pp", "pn")
