@@ -61,23 +61,30 @@ def register(name: str, sql: str | None = None):
 # --------------------------------------------------------------------------- #
 
 
+def _memo(key, build):
+    if key not in _MEMO:
+        _MEMO[key] = build()
+    return _MEMO[key]
+
+
 def tx(spark: SparkSession, sf: str) -> DataFrame:
-    return td.transactions(spark, sf)
+    return _memo(("tx", sf), lambda: td.transactions(spark, sf))
 
 
 def cuts(spark: SparkSession, sf: str) -> split.SplitCuts:
-    key = ("cuts", sf)
-    if key not in _MEMO:
-        _MEMO[key] = split.split_cuts(tx(spark, sf))
-    return _MEMO[key]
+    return _memo(("cuts", sf), lambda: split.split_cuts(tx(spark, sf)))
 
 
 def sliced(spark: SparkSession, sf: str) -> DataFrame:
-    return split.with_slice(tx(spark, sf), cuts=cuts(spark, sf))
+    return _memo(("sliced", sf), lambda: split.with_slice(tx(spark, sf), cuts=cuts(spark, sf)))
 
 
 def scored_store(spark: SparkSession, sf: str) -> DataFrame:
     """The derived store: stream scored by the champion, errors re-scored."""
+    return _memo(("store", sf), lambda: _build_store(spark, sf))
+
+
+def _build_store(spark: SparkSession, sf: str) -> DataFrame:
     s = sliced(spark, sf).filter(F.col("slice") == "stream")
     first = s.select(
         td.ID,
