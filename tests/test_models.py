@@ -29,6 +29,11 @@ def test_exact_median(spark):
     assert models.exact_median(df, "v") == 4.0
     df = spark.createDataFrame(pd.DataFrame({"v": [5.0, 1.0, 3.0]}))
     assert models.exact_median(df, "v") == 3.0
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"a": rng.integers(0, 5, 101).astype(float), "b": list(rng.normal(0, 1, 100)) + [None], "c": [None] * 100 + [2.0]})
+    got = {r["column_name"]: r["median"] for r in models.exact_medians(spark.createDataFrame(pdf), ["a", "b", "c"]).collect()}
+    assert got["a"] == float(np.median(pdf["a"])) and got["c"] == 2.0
+    assert got["b"] == pytest.approx(float(np.median(pdf["b"].dropna())), abs=1e-15)
 
 
 def test_fit_score_save_load(spark, scratch):

@@ -31,7 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.functions.ordered import rows_at_ranks
+from vigil.functions.ordered import prefix_sums, rows_at_ranks
 from vigil.operators.contract import Contract
 from vigil.session import path_exists
 
@@ -59,12 +59,49 @@ def exact_median(df: DataFrame, column: str) -> float | None:
     return lo if lo == hi else lo + (hi - lo) * 0.5
 
 
+def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Exact medians of many columns in one ordered pass: ``(column_name, median)``.
+
+    Values are unpivoted and collapsed to ``(column, value, count)`` (partial
+    aggregation), the shared prefix sum runs per column, and each column's
+    middle rank(s) are picked by range predicates on the running count —
+    nothing per column is gathered on the driver.
+    """
+    cols = list(columns)
+    spark = df.sparkSession
+    if not cols:
+        return spark.createDataFrame([], "column_name string, median double")
+    long = (
+        df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+        .unpivot([], cols, "column_name", "v")
+        .where(F.col("v").isNotNull() & ~F.isnan("v"))
+    )
+    counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
+    cum = prefix_sums(counts, ["v"], ["c"], by=["column_name"], totals=True, group_bound=len(cols))
+    lo_rank = F.floor((F.col("tot_c") + 1) / 2)
+    hi_rank = F.floor(F.col("tot_c") / 2) + 1
+    first = F.col("cum_c") - F.col("c")  # ranks first+1 .. cum_c hold value v
+
+    def holds(rank):
+        return (first < rank) & (rank <= F.col("cum_c"))
+
+    picked = cum.where(holds(lo_rank) | holds(hi_rank)).groupBy("column_name").agg(
+        F.min_by("v", F.when(holds(lo_rank), 0).otherwise(1)).alias("lo"),
+        F.max_by("v", F.when(holds(hi_rank), 1).otherwise(0)).alias("hi"),
+    )
+    median = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(
+        F.col("lo") + (F.col("hi") - F.col("lo")) * 0.5
+    )
+    listed = spark.createDataFrame([(c,) for c in cols], "column_name string")
+    return listed.join(picked.select("column_name", median.alias("median")), "column_name", "left")
+
+
 def impute_exact(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
 ) -> tuple[DataFrame, dict[str, float | None]]:
     """Median-impute numeric columns (exact medians) with ``<c>_missing``
     indicators; categorical NULLs become the ``missing`` level."""
-    medians = {c: exact_median(df, c) for c in numeric}
+    medians = {r["column_name"]: r["median"] for r in exact_medians(df, numeric).collect()}
     out = df
     for c in numeric:
         col = F.col(f"`{c}`")

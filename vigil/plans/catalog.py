@@ -1005,9 +1005,7 @@ def q_stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
 def q_medians(spark: SparkSession, sf: str) -> DataFrame:
     from vigil.operators import models
 
-    t = tx(spark, sf)
-    rows = [(c, models.exact_median(t, c)) for c in _NUMERIC_CONTRACT]
-    out = spark.createDataFrame(rows, "column_name string, median double")
+    out = models.exact_medians(tx(spark, sf), _NUMERIC_CONTRACT)
     return out.withColumn("median", F.round("median", 9))
 
 
