@@ -60,3 +60,17 @@ def test_seed_champion_and_gate(spark, scratch):
     b = training.model_boundary(trained.model, trained.contract)
     out = b.score(df.select("TransactionDT", "amount", "cat_a"), validate_rows=False)
     assert out.columns == ["score", "decision", "threshold"]
+
+
+def test_time_series_cv(spark):
+    df = data(spark, 360)
+    out = training.time_series_cv(
+        df,
+        ["TransactionDT", "amount", "cat_a"],
+        ["cat_a"],
+        param_space={"maxDepth": [2, 3], "maxIter": [3]},
+        n_draws=2,
+        n_splits=3,
+    ).collect()
+    assert len(out) >= 1 and all(r["folds"] == 3 for r in out)
+    assert all(0.0 <= r["mean_auc"] <= 1.0 for r in out)
