@@ -54,3 +54,21 @@ def test_rows_at_ranks(spark):
     assert n == 6
     assert found[1]["v"] == 1.0 and found[6]["v"] == 9.0 and found[3]["v"] == 3.0
     assert 99 not in found
+
+
+def test_rank_selection_fast_path_and_fallback_agree(spark):
+    from vigil.functions.ordered import ranks_by_buckets
+
+    rng = np.random.default_rng(5)
+    n = 5000
+    # a hot value holding a third of the rows sits exactly where ranks are asked
+    t = np.where(rng.uniform(0, 1, n) < 0.34, 2500, rng.integers(0, 5000, n))
+    pdf = pd.DataFrame({"t": t, "id": rng.permutation(n)})
+    df = spark.createDataFrame(pdf)
+    want = lambda n: [1, 17, n // 3, n // 2, n - 1, n]
+    n1, fast = rows_at_ranks(df, ["t", "id"], want)
+    n2, exact = ranks_by_buckets(df, ["t", "id"], want)
+    srt = pdf.sort_values(["t", "id"]).reset_index(drop=True)
+    assert n1 == n2 == n
+    for r in want(n):
+        assert (fast[r]["t"], fast[r]["id"]) == (exact[r]["t"], exact[r]["id"]) == tuple(srt.iloc[r - 1])

@@ -25,6 +25,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.session import ensure_checkpoint_dir, shuffle_partitions
 
@@ -32,6 +33,11 @@ BUCKET = "_bucket"
 
 # Offsets tables up to this many rows are broadcast; larger ones shuffle-join.
 BROADCAST_ROW_LIMIT = 2_000_000
+# Rank selection: quantile grid size, sketch accuracy, and the most rows a
+# verified bracket may hold before the exact bucket path is used instead.
+QUANTILE_ACCURACY = 20_000
+MAX_ACCURACY = 2_000_000
+CANDIDATE_LIMIT = 10_000_000
 
 
 def _sort_expr(c: str | Column) -> Column:
@@ -87,9 +93,94 @@ def rows_at_ranks(
     ranks: Callable[[int], Iterable[int]],
     *,
     n_buckets: int | None = None,
+    candidate_limit: int = CANDIDATE_LIMIT,
 ) -> tuple[int, dict[int, Row]]:
     """``(n, {rank: row})`` for the 1-based global ranks ``ranks(n)``.
 
+    Fast path (no shuffle of the keys): when ``order`` is plain ascending
+    column names led by a numeric/temporal key, ``percentile_approx`` around
+    each wanted rank brackets it, one counting pass verifies each bracket, and
+    only the rows inside the brackets are ranked (one task per bracket, at
+    most ``candidate_limit`` rows). A bracket that cannot be
+    verified (one hot value holding the rank, or too many candidates) falls
+    back to :func:`ranks_by_buckets`, so the answer is always exact.
+    """
+    order = list(order)
+    if _selection_applies(df, order):
+        result = _select_by_quantiles(df, order, ranks, candidate_limit)
+        if result is not None:
+            return result
+    return ranks_by_buckets(df, order, ranks, n_buckets=n_buckets)
+
+
+def _selection_applies(df: DataFrame, order: Sequence[str | Column]) -> bool:
+    if not order or not all(isinstance(c, str) for c in order):
+        return False
+    first = df.schema[order[0]].dataType
+    return isinstance(first, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)) and not isinstance(
+        first, T.DecimalType
+    )
+
+
+def _select_by_quantiles(
+    df: DataFrame,
+    order: Sequence[str],
+    ranks: Callable[[int], Iterable[int]],
+    candidate_limit: int,
+) -> tuple[int, dict[int, Row]] | None:
+    key = order[0]
+    head = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("nn")).collect()[0]
+    n, nn = int(head["n"]), int(head["nn"])
+    wanted = sorted({int(r) for r in ranks(n) if 1 <= int(r) <= n})
+    if not wanted:
+        return n, {}
+    if nn != n:  # NULL keys sort last; keep the exact path simple
+        return None
+    # Sketch accuracy grows with n so a bracket stays near candidate_limit / 4
+    # rows; percentile_approx's rank error is at most n / accuracy.
+    accuracy = int(min(MAX_ACCURACY, max(QUANTILE_ACCURACY, 16 * n // max(candidate_limit, 1))))
+    slack = 2.0 / accuracy
+    probs = []
+    for r in wanted:
+        p = r / n
+        probs += [max(0.0, p - slack), min(1.0, p + slack)]
+    q = df.agg(F.percentile_approx(key, probs, accuracy).alias("q")).collect()[0]["q"]
+    brackets = [(r, q[2 * i], q[2 * i + 1]) for i, r in enumerate(wanted)]
+    kc = F.col(key)
+    stats = df.agg(
+        *[F.count_if(kc < F.lit(lo)).alias(f"b{i}") for i, (_, lo, _) in enumerate(brackets)],
+        *[F.count_if((kc >= F.lit(lo)) & (kc <= F.lit(hi))).alias(f"c{i}") for i, (_, lo, hi) in enumerate(brackets)],
+    ).collect()[0]
+    local = []
+    for i, (r, lo, hi) in enumerate(brackets):
+        below, cand = int(stats[f"b{i}"]), int(stats[f"c{i}"])
+        if not (below < r <= below + cand) or cand > candidate_limit:
+            return None  # unverifiable bracket: exact path
+        local.append((i, r, lo, hi, r - below))
+    parts = None
+    for i, r, lo, hi, lr in local:
+        part = df.where((kc >= F.lit(lo)) & (kc <= F.lit(hi))).select(*order).withColumn("_slot", F.lit(i))
+        parts = part if parts is None else parts.unionByName(part)
+    w = Window.partitionBy("_slot").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    hit = F.lit(False)
+    for i, r, lo, hi, lr in local:
+        hit = hit | ((F.col("_slot") == i) & (F.col("_lrn") == lr))
+    found = {}
+    slot_rank = {i: r for i, r, *_ in local}
+    for row in parts.withColumn("_lrn", F.row_number().over(w)).where(hit).collect():
+        found[slot_rank[int(row["_slot"])]] = row
+    return n, found
+
+
+def ranks_by_buckets(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    ranks: Callable[[int], Iterable[int]],
+    *,
+    n_buckets: int | None = None,
+) -> tuple[int, dict[int, Row]]:
+    """Exact rank lookup through range buckets (any key types, any skew).
+
     Only the buckets holding a wanted rank are sorted (each about ``n / B``
     rows); the rest of the data is never ordered.
     """
@@ -185,6 +276,7 @@ def global_row_number(
 __all__ = [
     "BUCKET",
     "bucket_sizes",
+    "ranks_by_buckets",
     "rows_at_ranks",
     "global_row_number",
     "maybe_broadcast",
