@@ -307,12 +307,7 @@ def q_missingness_lift(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def q_incomplete(spark: SparkSession, sf: str) -> DataFrame:
-    t = tx(spark, sf)
-    bad = set(contract.incomplete_columns(t, td.CONTRACT_FEATURES))
-    rows = [(c, c in bad) for c in td.CONTRACT_FEATURES]
-    # The aggregate ran on Spark; the per-column verdicts (schema-bounded)
-    # come back as a tiny frame.
-    return spark.createDataFrame(rows, "column_name string, has_missing boolean")
+    return contract.completeness(tx(spark, sf), td.CONTRACT_FEATURES)
 
 
 @register(
@@ -763,9 +758,12 @@ corpus AS (
 
 
 def _corpus(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    t = tx(spark, sf)
-    return corpus.prepare_retraining_inputs(
-        t.withColumn("origin", F.lit("history")), scored_store(spark, sf), reveal_lag=_LAG, cuts=cuts(spark, sf)
+    """M5 over the stand-in data: (corpus, shared test, stream)."""
+    return _memo(
+        ("corpus", sf),
+        lambda: corpus.prepare_retraining_inputs(
+            tx(spark, sf), scored_store(spark, sf), reveal_lag=_LAG, cuts=cuts(spark, sf)
+        ),
     )
 
 
@@ -790,22 +788,20 @@ SELECT (SELECT count(*) FROM corpus) AS corpus_size,
 )
 def q_retraining_counts(spark: SparkSession, sf: str) -> DataFrame:
     c, test, stream = _corpus(spark, sf)
-    sizes = (
-        c.select(F.lit("corpus").alias("part"), td.TIME)
-        .unionByName(test.select(F.lit("test").alias("part"), td.TIME))
-        .unionByName(stream.select(F.lit("stream").alias("part"), td.TIME))
+    parts = (
+        c.select(F.lit("corpus").alias("part"))
+        .unionByName(test.select(F.lit("test").alias("part")))
+        .unionByName(stream.select(F.lit("stream").alias("part")))
     )
-    # the corpus' newest time is the A2 "now": max over history and scored stream
-    train, _t, st = split.temporal_split(tx(spark, sf), cuts=cuts(spark, sf))
-    scored = store.scored_rows(st, scored_store(spark, sf))
-    newest = train.select(td.TIME).unionByName(scored.select(td.TIME))
-    counts = sizes.groupBy().agg(
+    counts = parts.agg(
         F.count_if(F.col("part") == "corpus").alias("corpus_size"),
         F.count_if(F.col("part") == "test").alias("shared_test_size"),
         F.count_if(F.col("part") == "stream").alias("stream_size"),
     )
-    m = newest.agg(F.max(td.TIME).alias("newest_time")).collect()[0]["newest_time"]
-    return counts.withColumn("newest_time", F.lit(m).cast("long"))
+    # A2: the "now" the corpus used — newest time over history and the scored stream
+    train, _t, st = split.temporal_split(tx(spark, sf), cuts=cuts(spark, sf))
+    newest = corpus.newest_time(train, store.scored_rows(st, scored_store(spark, sf)))
+    return counts.withColumn("newest_time", F.lit(newest).cast("long"))
 
 
 @register(
@@ -1049,7 +1045,7 @@ def q_challenger(spark: SparkSession, sf: str) -> DataFrame:
 
     c, _test, _stream = _corpus(spark, sf)
     trained = training.train_challenger(
-        c.drop("origin"), td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params={"maxIter": 20}
+        c, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params={"maxIter": 20}
     )
     return _trained_summary(spark, trained)
 
