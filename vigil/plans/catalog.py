@@ -1121,3 +1121,44 @@ def q_placements(spark: SparkSession, sf: str) -> DataFrame:
         (F.col(td.LABEL) == 1).cast("int").alias("y"), td.champion_score().alias("a")
     )
     return promote.placements(test, label_col="y", score_cols=["a"]).select("score", "pp", "pn")
+
+
+# --------------------------------------------------------------------------- #
+# ST4 late labels: stream-stream join within the reveal lag
+# --------------------------------------------------------------------------- #
+
+_LABEL_LAG_SECONDS = 3600  # a label counts when it arrives within one hour
+
+
+@register(
+    "st4_label_join",
+    f"""WITH {SLICED_CTE}
+SELECT TransactionID, {CHAMPION_SQL} AS score, isFraud
+FROM sliced WHERE slice = 'stream' AND k * 60 <= {_LABEL_LAG_SECONDS}""",
+)
+def q_label_join(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.streaming import labels
+
+    stream = sliced(spark, sf).filter(F.col("slice") == "stream")
+    events = labels.with_event_time(
+        stream.select(td.ID, td.TIME, td.champion_score().alias("score")), td.TIME, "event_ts"
+    ).drop(td.TIME)
+    # label events: each stream row's label arrives k minutes after the event
+    label_events = labels.with_event_time(
+        stream.select(td.ID, td.LABEL, (F.col(td.TIME) + F.col("k") * 60).alias("label_time")), "label_time", "label_ts"
+    ).drop("label_time")
+    ev_path, lab_path, out_path = (work_path(spark, n) for n in ("scored-events", "label-events", "revealed"))
+    events.write.parquet(ev_path)
+    label_events.write.parquet(lab_path)
+    ev_stream = spark.readStream.schema(events.schema).parquet(ev_path)
+    lab_stream = spark.readStream.schema(label_events.schema).parquet(lab_path)
+    joined = labels.revealed_labels(ev_stream, lab_stream, lag_seconds=_LABEL_LAG_SECONDS)
+    query = (
+        joined.writeStream.format("parquet")
+        .option("path", out_path)
+        .option("checkpointLocation", work_path(spark, "revealed-ckpt"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(joined.schema).parquet(out_path).select(td.ID, "score", td.LABEL)
