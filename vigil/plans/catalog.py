@@ -1153,12 +1153,13 @@ def q_label_join(spark: SparkSession, sf: str) -> DataFrame:
     ev_stream = spark.readStream.schema(events.schema).parquet(ev_path)
     lab_stream = spark.readStream.schema(label_events.schema).parquet(lab_path)
     joined = labels.revealed_labels(ev_stream, lab_stream, lag_seconds=_LABEL_LAG_SECONDS)
-    query = (
-        joined.writeStream.format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", work_path(spark, "revealed-ckpt"))
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with labels.state_partitions(spark, spark.sparkContext.defaultParallelism):
+        query = (
+            joined.writeStream.format("parquet")
+            .option("path", out_path)
+            .option("checkpointLocation", work_path(spark, "revealed-ckpt"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return spark.read.schema(joined.schema).parquet(out_path).select(td.ID, "score", td.LABEL)

@@ -10,10 +10,30 @@ lateness for its label, then its state is dropped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int) -> Iterator[None]:
+    """Start stateful queries with ``n`` state partitions.
+
+    A streaming query fixes its state partition count at first start (it is
+    stored in the checkpoint), from ``spark.sql.shuffle.partitions``; size it
+    to the expected state, then restore the session value.
+    """
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(int(n)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, previous)
+
+
 def with_event_time(df: DataFrame, seconds_col: str, out_col: str) -> DataFrame:
     """A timestamp column from an epoch-seconds column (for watermarks)."""
     return df.withColumn(out_col, F.timestamp_seconds(F.col(seconds_col)))
