@@ -504,9 +504,8 @@ def q_sample(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- #
 
 _NUM_WITH_SCORE = [*_NUMERIC_CONTRACT, "score"]
-_KS_CTE = (
-    _WINDOW_CTE
-    + f""",
+_KS_PART = (
+    f""",
 u AS (SELECT 0 AS side, * FROM ref UNION ALL SELECT 1 AS side, * FROM cur),
 nl AS (
   UNPIVOT (SELECT side, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUM_WITH_SCORE)} FROM u)
@@ -545,6 +544,8 @@ ksp AS (
 )"""
 )
 
+_KS_CTE = _WINDOW_CTE + _KS_PART
+
 _CHI_CTE = """,
 cl AS (
   UNPIVOT (SELECT side, CAST(cat_a AS VARCHAR) AS cat_a, CAST(cat_b AS VARCHAR) AS cat_b FROM u)
@@ -614,13 +615,14 @@ def q_chisquare(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_metrics(m).drop("kind")
 
 
-_METRICS_SQL = f"""WITH {_KS_CTE}{_CHI_CTE},
+_METRICS_PART = """,
 metrics AS (
   SELECT feature, CASE WHEN feature = 'score' THEN 'score' ELSE 'ks' END AS kind, n_ref, n_cur,
          statistic, CAST(NULL AS BIGINT) AS dof, p_value FROM ksp
   UNION ALL
   SELECT feature, 'chisquare' AS kind, n_ref, n_cur, statistic, dof, p_value FROM csp
 )"""
+_METRICS_SQL = f"WITH {_KS_CTE}{_CHI_CTE}{_METRICS_PART}"
 
 
 @register(
@@ -1163,3 +1165,86 @@ def q_label_join(spark: SparkSession, sf: str) -> DataFrame:
         )
         query.awaitTermination()
     return spark.read.schema(joined.schema).parquet(out_path).select(td.ID, "score", td.LABEL)
+
+
+
+# --------------------------------------------------------------------------- #
+# M12 monitoring pass: next unseen chunk -> store -> drift -> decision
+# --------------------------------------------------------------------------- #
+
+_M12_CTE = (
+    SLICED_CTE
+    + f""",
+ref AS (SELECT {_FEATS}, {CHAMPION_SQL} AS score FROM sliced WHERE slice = 'train'),
+cur AS (
+  SELECT {_FEATS}, {CHAMPION_SQL} AS score FROM sliced WHERE slice = 'stream'
+  ORDER BY TransactionDT, TransactionID LIMIT 500
+)"""
+    + _KS_PART
+    + _CHI_CTE
+    + _METRICS_PART
+)
+
+
+@register(
+    "m12_monitoring_pass",
+    f"WITH {_M12_CTE}" + _DECISION_SQL.replace(
+        "FROM metrics", ", CAST(500 AS BIGINT) AS n_scored, CAST(500 AS BIGINT) AS n_current FROM metrics"
+    ),
+)
+def q_monitoring_pass(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.plans import monitoring
+
+    out = monitoring.monitoring_pass(
+        tx(spark, sf),
+        _champion_boundary(),
+        work_path(spark, "monitor-store"),
+        chunk_rows=500,
+        window_rows=None,
+        reference_max_rows=None,
+        cuts=cuts(spark, sf),
+    )
+    d = out.decision
+    row = [(d["n_features"], d["n_drifted"], d["feature_fraction"], d["feature_alarm"], d["score_distance"],
+            d["score_alarm"], d["alarm"], out.n_scored, out.n_current)]
+    return spark.createDataFrame(
+        row,
+        "n_features long, n_drifted long, feature_fraction double, feature_alarm boolean, score_distance double, "
+        "score_alarm boolean, alarm boolean, n_scored long, n_current long",
+    )
+
+
+# --------------------------------------------------------------------------- #
+# M13 retraining pass: trigger -> corpus -> challenger -> DeLong gate -> state
+# --------------------------------------------------------------------------- #
+
+
+@register("m13_retraining_pass")
+def q_retraining_pass(spark: SparkSession, sf: str) -> DataFrame:
+    from vigil.plans import training
+
+    t = tx(spark, sf)
+    seed = training.seed_champion(t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params={"maxIter": 10})
+    store_path = work_path(spark, "retrain-store")
+    store.append_scores(scored_store(spark, sf), store_path)
+    out = training.retraining_pass(
+        t,
+        seed.model,
+        seed.contract,
+        store_path,
+        work_path(spark, "retrain-state"),
+        served_path=work_path(spark, "served"),
+        volume_threshold=200,
+        reveal_lag=_LAG,
+        params={"maxIter": 10},
+    )
+    d = out.decision
+    row = [(
+        out.trigger.retrain, out.trigger.volume_since_last, out.corpus_size, out.shared_test_size,
+        d.auc_champion if d else None, d.auc_challenger if d else None, d.p_value if d else None, out.promoted,
+    )]
+    return spark.createDataFrame(
+        row,
+        "retrain boolean, volume_since_last long, corpus_size long, shared_test_size long, "
+        "auc_champion double, auc_challenger double, p_value double, promoted boolean",
+    )

@@ -54,11 +54,12 @@ def monitoring_pass(
     now: float | None = None,
     id_col: str = "TransactionID",
     time_col: str = "TransactionDT",
+    cuts: split.SplitCuts | None = None,
 ) -> MonitoringOutcome:
     """One scheduled pass; returns metrics (lazy), the decision row and counts."""
     spark = transactions.sparkSession
     features = list(boundary.feature_columns)
-    train, _test, stream = split.temporal_split(transactions, time_col=time_col, id_col=id_col)
+    train, _test, stream = split.temporal_split(transactions, time_col=time_col, id_col=id_col, cuts=cuts)
     current_store = store.read_store(spark, store_path)
     chunk = store.next_chunk(stream, current_store, chunk_rows, time_col=time_col, id_col=id_col)
     scored = boundary.score(chunk.select(id_col, *features), keep=[id_col], validate_rows=False)
