@@ -1,6 +1,7 @@
 """The ordered prefix-sum primitive against pandas, including a hot key."""
 
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -17,13 +18,14 @@ def test_prefix_sums_match_pandas_with_groups(spark):
             "x": rng.integers(0, 10, n),
         }
     )
-    out = prefix_sums(spark.createDataFrame(pdf), ["k"], ["x"], by=["g"], totals=True, group_bound=3)
-    got = out.toPandas().sort_values(["g", "k"]).reset_index(drop=True)
     exp = pdf.sort_values(["g", "k"]).reset_index(drop=True)
     exp["cum_x"] = exp.groupby("g")["x"].cumsum()
     exp["tot_x"] = exp.groupby("g")["x"].transform("sum")
-    assert got["cum_x"].tolist() == exp["cum_x"].tolist()
-    assert got["tot_x"].tolist() == exp["tot_x"].tolist()
+    for small in (0, None):  # distributed bucket path, then the size-checked path
+        out = prefix_sums(spark.createDataFrame(pdf), ["k"], ["x"], by=["g"], totals=True, group_bound=3, small_rows=small)
+        got = out.toPandas().sort_values(["g", "k"]).reset_index(drop=True)
+        assert got["cum_x"].tolist() == exp["cum_x"].tolist()
+        assert got["tot_x"].tolist() == exp["tot_x"].tolist()
 
 
 def test_row_number_with_a_hot_time_value(spark):
@@ -31,7 +33,7 @@ def test_row_number_with_a_hot_time_value(spark):
     n = 3000
     t = np.where(np.arange(n) % 3 == 0, 500, np.arange(n))
     pdf = pd.DataFrame({"t": t, "id": np.arange(n)[::-1]})
-    ranked = global_row_number(spark.createDataFrame(pdf), ["t", "id"], n_buckets=8).toPandas()
+    ranked = global_row_number(spark.createDataFrame(pdf), ["t", "id"], n_buckets=8, small_rows=0).toPandas()
     exp = pdf.sort_values(["t", "id"]).reset_index(drop=True)
     exp["rn"] = np.arange(1, n + 1)
     got = ranked.sort_values("rn").reset_index(drop=True)
@@ -72,3 +74,29 @@ def test_rank_selection_fast_path_and_fallback_agree(spark):
     assert n1 == n2 == n
     for r in want(n):
         assert (fast[r]["t"], fast[r]["id"]) == (exact[r]["t"], exact[r]["id"]) == tuple(srt.iloc[r - 1])
+
+
+def test_bucket_path_for_auc_ks_and_delong(spark, monkeypatch):
+    """The distributed path (no size shortcut) gives the same statistics."""
+    import itertools
+
+    from vigil.functions import ordered
+    from vigil.operators import drift, evaluate, promote
+
+    rng = np.random.default_rng(2)
+    n = 600
+    y = rng.integers(0, 2, n)
+    a = np.round(rng.uniform(0, 1, n) + 0.3 * y, 2)
+    b = np.round(rng.uniform(0, 1, n) + 0.5 * y, 2)
+    pdf = pd.DataFrame({"isFraud": y, "score": a, "champion": a, "challenger": b})
+    df = spark.createDataFrame(pdf)
+    small = (evaluate.auc(df), drift.ks_metrics(df.filter("isFraud = 1"), df.filter("isFraud = 0"), ["score"]).first()["statistic"],
+             promote.delong_frame(df).first()["se"])
+    monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
+    big = (evaluate.auc(df), drift.ks_metrics(df.filter("isFraud = 1"), df.filter("isFraud = 0"), ["score"]).first()["statistic"],
+           promote.delong_frame(df).first()["se"])
+    pos, neg = a[y == 1], a[y == 0]
+    brute = sum((p > q) + 0.5 * (p == q) for p, q in itertools.product(pos, neg)) / (len(pos) * len(neg))
+    assert small[0] == pytest.approx(brute, abs=1e-12) and big[0] == pytest.approx(brute, abs=1e-12)
+    assert small[1] == big[1]
+    assert small[2] == pytest.approx(big[2], rel=1e-12)

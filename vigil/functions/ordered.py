@@ -38,6 +38,8 @@ BROADCAST_ROW_LIMIT = 2_000_000
 QUANTILE_ACCURACY = 20_000
 MAX_ACCURACY = 2_000_000
 CANDIDATE_LIMIT = 10_000_000
+# Ordered inputs up to this many rows use plain windows (one task per group).
+SMALL_ROWS = 2_000_000
 
 
 def _sort_expr(c: str | Column) -> Column:
@@ -220,6 +222,7 @@ def prefix_sums(
     totals: bool = False,
     group_bound: int | None = None,
     n_buckets: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<prefix><c>`` = running sum of ``c`` in ``order`` within ``by``.
 
@@ -230,10 +233,25 @@ def prefix_sums(
     read off the same small bucket-totals table (no extra scan).
     ``group_bound`` bounds the number of ``by`` groups (no bound needed
     without ``by``); it lets the offsets table be broadcast without counting.
+
+    Inputs of at most ``small_rows`` rows (counted first; default
+    ``SMALL_ROWS``) skip the buckets: one window per ``by`` group sorts at
+    most that many rows, with no range sampling or offsets join. Anything
+    larger takes the distributed bucket path. Either way the input is
+    computed once (cached for the count, then checkpointed).
     """
     order = list(order)
+    limit = SMALL_ROWS if small_rows is None else small_rows
     n = n_buckets or shuffle_partitions(df.sparkSession)
-    rp = range_bucketed(df, order, by, n)
+    # The input is computed once: cached, counted for the size check, and
+    # checkpointed (small path) or range-bucketed from the cache (large path).
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if limit > 0 and base.count() <= limit:
+            return _prefix_sums_small(base.checkpoint(eager=True), order, sums, by, prefix, totals)
+        rp = range_bucketed(base, order, by, n)
+    finally:
+        base.unpersist()
     bucket_totals = rp.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(c) for c in sums])
     before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, -1
@@ -259,6 +277,27 @@ def prefix_sums(
     return out.drop(BUCKET, *[f"_off_{c}" for c in sums])
 
 
+def _prefix_sums_small(
+    df: DataFrame,
+    order: Sequence[str | Column],
+    sums: Sequence[str],
+    by: Sequence[str],
+    prefix: str,
+    totals: bool,
+) -> DataFrame:
+    """Size-checked path: plain windows over an input of bounded row count."""
+    running = Window.partitionBy(*by).orderBy(*[_sort_expr(c) for c in order]).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    whole = Window.partitionBy(*by)
+    out = df
+    for c in sums:
+        out = out.withColumn(f"{prefix}{c}", F.sum(c).over(running))
+        if totals:
+            out = out.withColumn(f"tot_{c}", F.sum(c).over(whole))
+    return out
+
+
 def global_row_number(
     df: DataFrame,
     order: Sequence[str | Column],
@@ -266,10 +305,11 @@ def global_row_number(
     by: Sequence[str] = (),
     name: str = "rn",
     n_buckets: int | None = None,
+    small_rows: int | None = None,
 ) -> DataFrame:
     """1-based row number in ``order`` (within ``by``) without a single partition."""
     ones = df.withColumn("_one", F.lit(1).cast("long"))
-    out = prefix_sums(ones, order, ["_one"], by=by, prefix="_rn", n_buckets=n_buckets)
+    out = prefix_sums(ones, order, ["_one"], by=by, prefix="_rn", n_buckets=n_buckets, small_rows=small_rows)
     return out.withColumnRenamed("_rn_one", name).drop("_one")
 
 
