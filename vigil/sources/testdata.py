@@ -47,9 +47,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide transaction frame derived from ``events`` (see module doc)."""
     ev = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    # parse the JSON once; the later projection reads the parsed column
+    parsed = ev.select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+    )
+    k = F.col("k")
     amount = F.col("value")
-    return ev.select(
+    return parsed.select(
         F.col("event_id").alias(ID),
         F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)").alias(TIME),
         F.when(
@@ -60,7 +65,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(0)
         .alias(LABEL),
         amount.alias("amount"),
-        k.alias("k"),
+        k,
         F.col("user_id"),
         F.hour("ts").alias("hour"),
         F.col("event_type").alias("cat_a"),
