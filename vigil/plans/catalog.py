@@ -1248,3 +1248,23 @@ def q_retraining_pass(spark: SparkSession, sf: str) -> DataFrame:
         "retrain boolean, volume_since_last long, corpus_size long, shared_test_size long, "
         "auc_champion double, auc_challenger double, p_value double, promoted boolean",
     )
+
+
+# --------------------------------------------------------------------------- #
+# V3 on raw text input: CSV read as text, numeric checks row by row
+# --------------------------------------------------------------------------- #
+
+
+@register(
+    "v3_raw_text_quarantine",
+    f"WITH {TX_CTE}, r AS (SELECT TransactionID, concat_ws('; ', "
+    + ", ".join(f"CASE WHEN {c} IS NULL THEN 'null: {c}' END" for c in td.CONTRACT_FEATURES)
+    + ") AS reasons FROM tx) SELECT TransactionID, reasons = '' AS accepted, reasons FROM r",
+)
+def q_raw_text_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    t = tx(spark, sf).select(td.ID, *td.CONTRACT_FEATURES)
+    path = work_path(spark, "raw-csv")
+    io.write_csv(t, path)
+    raw = io.read_csv_text(spark, path, t.columns)  # every column as text
+    tagged = contract.tag_rows(raw, _CONTRACT)  # try_cast checks for numeric contract columns
+    return tagged.select(F.col(td.ID).cast("long").alias(td.ID), "accepted", "reasons")
