@@ -74,3 +74,5 @@ def test_time_series_cv(spark):
     ).collect()
     assert len(out) >= 1 and all(r["folds"] == 3 for r in out)
     assert all(0.0 <= r["mean_auc"] <= 1.0 for r in out)
+    assert sum(r["best"] for r in out) == 1
+    assert max(out, key=lambda r: (r["mean_auc"], -r["draw"]))["best"]

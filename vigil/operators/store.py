@@ -122,11 +122,16 @@ def first_rows(
     if n <= 0:
         raise ValueError(f"n must be positive, got {n!r}")
     order = list(order)
-    sort = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_last() for c in order]
-    total, found = rows_at_ranks(df.select(*order), sort, lambda _n: [n])
+    # Ask for an ascending rank either way (the key is unique, so the n-th
+    # largest is the (total - n + 1)-th smallest); plain column names keep
+    # the shuffle-free selection path available.
+    total, found = rows_at_ranks(
+        df.select(*order), order, lambda total: [total - n + 1 if descending else n]
+    )
     if total <= n:  # no more rows than n: everything
         return df
-    key = [found[n][c] for c in order]
+    row = found[total - n + 1 if descending else n]
+    key = [row[c] for c in order]
     return df.filter(_lexi_cmp(order, key, descending))
 
 

@@ -18,7 +18,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators import corpus, evaluate, models, promote, split, store, trigger
+from vigil.operators import corpus, evaluate, leaderboard, models, promote, split, store, trigger
 from vigil.operators.contract import Contract, ScoringBoundary
 
 
@@ -219,7 +219,14 @@ def time_series_cv(
             scored = models.score_frame(model, test.select(label_col, *features), numeric, categorical)
             results.append((d, str(params), f, evaluate.auc(scored, label_col=label_col)))
     table = spark.createDataFrame(results, "draw int, params string, fold int, auc double")
-    return table.groupBy("draw", "params").agg(F.avg("auc").alias("mean_auc"), F.count(F.lit(1)).alias("folds"))
+    per_draw = table.groupBy("draw", "params").agg(F.avg("auc").alias("mean_auc"), F.count(F.lit(1)).alias("folds"))
+    # The best draw by mean AUC (NaN-safe, ties -> earliest draw)
+    best = leaderboard.best_per_group(
+        per_draw.withColumn("_all", F.lit(1)), group_cols=["_all"], metric_col="mean_auc", seq_col="draw", payload=["draw"]
+    ).select(F.col("draw").alias("_best"))
+    return per_draw.join(best, how="left", on=per_draw["draw"] == best["_best"]).select(
+        "draw", "params", "mean_auc", "folds", F.col("_best").isNotNull().alias("best")
+    )
 
 
 __all__ = [
