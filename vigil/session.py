@@ -32,6 +32,9 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoints cut lineage for one query; drop their files once the
+        # checkpointed data is no longer referenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
