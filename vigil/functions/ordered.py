@@ -109,12 +109,29 @@ def rows_at_ranks(
     """
     order = list(order)
     if _selection_applies(df, order):
-        result = _select_by_quantiles(df, order, ranks, candidate_limit)
+        keys = df.select(*order)
+        # Keys produced by joins/aggregations are cached for the few passes of
+        # one lookup (released before returning); plain scans are re-read,
+        # which prunes columns and row groups instead of holding all keys.
+        cache = _has_shuffle_work(keys)
+        if cache:
+            keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            result = _select_by_quantiles(keys, order, ranks, candidate_limit)
+        finally:
+            if cache:
+                keys.unpersist()
         if result is not None:
             return result
     return ranks_by_buckets(df, order, ranks, n_buckets=n_buckets)
 
 
+def _has_shuffle_work(df: DataFrame) -> bool:
+    """Whether the optimized plan joins, aggregates or windows (costly to redo)."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(line.lstrip(" +-:|").startswith(("Join ", "Aggregate ", "Window ")) for line in plan.splitlines())
+
+
 def _selection_applies(df: DataFrame, order: Sequence[str | Column]) -> bool:
     if not order or not all(isinstance(c, str) for c in order):
         return False
