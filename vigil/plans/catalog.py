@@ -1189,7 +1189,8 @@ cur AS (
 @register(
     "m12_monitoring_pass",
     f"WITH {_M12_CTE}" + _DECISION_SQL.replace(
-        "FROM metrics", ", CAST(500 AS BIGINT) AS n_scored, CAST(500 AS BIGINT) AS n_current FROM metrics"
+        "FROM metrics",
+        ", (SELECT count(*) FROM cur) AS n_scored, (SELECT count(*) FROM cur) AS n_current FROM metrics",
     ),
 )
 def q_monitoring_pass(spark: SparkSession, sf: str) -> DataFrame:
