@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import exact_dedup, mixing
+from vigil.llm import exact_dedup, minhash, mixing
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash_near_dedup": lambda spark, sf_dir: minhash.query(table(spark, sf_dir, "documents")),
     "op6_exact_dedup": lambda spark, sf_dir: exact_dedup.query(table(spark, sf_dir, "documents")),
     "op10_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
 }
