@@ -7,8 +7,10 @@ unset, which is the case for local tests.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +71,28 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per context.
+
+    Functions of these modules travel by name, so workers started from another
+    folder need the package itself.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_vigil_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="vigil-package-")
+    target = os.path.join(folder, "vigil_package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for top, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(top, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(target)
+    sc._vigil_shipped = True
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme for the few driver-side path checks."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -92,6 +116,7 @@ __all__ = [
     "ensure_checkpoint_dir",
     "local_path",
     "path_exists",
+    "ship_package",
     "shuffle_partitions",
     "work_path",
 ]
