@@ -94,7 +94,7 @@ def exact_dedup(
     # task, so a hot group never gathers.
     hits = rows.join(state.filter("n > 1").select("digest"), "digest", "left_semi")
     keys = materialize(hits.select(F.xxhash64("_file", "_row").alias("k")), "dedup-hits")
-    checked = source.join(keys, F.xxhash64("_file", "_row") == keys["k"], "left_semi").select(
+    checked = source.join(keys.hint("merge"), F.xxhash64("_file", "_row") == keys["k"], "left_semi").select(
         "id", ascii_lower(F.coalesce("text", F.lit(""))).alias("norm"), "_file", "_row"
     )
     checked = checked.withColumn("digest", digest(F.col("norm")))
