@@ -32,6 +32,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Fewer rows per Arrow batch, so that long texts don't add up in a worker."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files behind a table made by ``materialize`` that is done with."""
     spark = df.sparkSession

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import textkit
-from vigil.llm.common import located, materialize
+from vigil.llm.common import located, materialize, small_batches
 from vigil.llm.graph import components
 from vigil.session import ship_package
 
@@ -183,6 +183,7 @@ def near_dedup(
     """
     spark = docs.sparkSession
     ship_package(spark)
+    small_batches(spark)
     source = located(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "near-docs")
     signed = materialize(
         source.mapInArrow(
