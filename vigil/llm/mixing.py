@@ -52,7 +52,7 @@ def source_targets(sources: DataFrame, weights: tuple[float, ...], ratio: float,
 def _boundaries(hist: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source, the bucket in which ``rest`` ends, and what is before it."""
     up = Window.partitionBy("s_null", "s").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    ends = hist.withColumn("upto", F.sum("words").over(up)).join(targets, ["s_null", "s"])
+    ends = hist.withColumn("upto", F.sum("words").over(up)).join(targets.select("s_null", "s", "rest"), ["s_null", "s"])
     first = ends.filter("upto >= rest").groupBy("s_null", "s").agg(
         F.min(F.struct("b", (F.col("upto") - F.col("words")).alias("before"))).alias("e"),
         F.first("rest").alias("rest"),
