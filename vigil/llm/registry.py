@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import exact_dedup, minhash, mixing, packing
+from vigil.llm import exact_dedup, minhash, mixing, packing, quality
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": lambda spark, sf_dir: packing.query(table(spark, sf_dir, "documents")),
     "op3_minhash_near_dedup": lambda spark, sf_dir: minhash.query(table(spark, sf_dir, "documents")),
     "op6_exact_dedup": lambda spark, sf_dir: exact_dedup.query(table(spark, sf_dir, "documents")),
+    "op8_ordinal_quality": lambda spark, sf_dir: quality.query(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    ),
     "op10_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
 }
 
