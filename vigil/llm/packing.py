@@ -10,8 +10,10 @@ padding.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,16 +31,16 @@ WIDTH, DIMENSIONS, BITS = 512, 4, 10
 #: Tokens per range partition: 32 MB of two-byte ids.
 PARTITION_TOKENS = 16_000_000
 #: Word pieces whose ids a worker remembers at once.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 800_000
 
 
 class Encoder:
     """Token ids of whole texts, piece by piece.
 
-    A text is cut where a single space stands between two non-space
-    characters. The tokenizer's own pre-splitting always cuts there too, so the
-    ids of the pieces end to end are the ids of the text; pieces recur, and
-    their ids are remembered up to a fixed number of pieces.
+    A text is cut before a single space between two non-space characters. The
+    tokenizer's own pre-splitting always cuts there too, so the ids of the
+    pieces end to end are the ids of the text; pieces recur, and their ids are
+    remembered up to a fixed number of pieces.
     """
 
     def __init__(self, path: str | None, end_id: int) -> None:
@@ -53,28 +55,34 @@ class Encoder:
             path = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.type = np.dtype("<u2" if max(self.tokenizer.get_vocab_size(), end_id) < 1 << 16 else "<u4")
-        self.end = np.array([end_id], self.type).tobytes()
-        self.cut = re.compile(r"(?<=\S)(?= \S)")
+        self.type = "H" if max(self.tokenizer.get_vocab_size(), end_id) < 1 << 16 else "I"
+        self.end = array(self.type, [end_id]).tobytes()
+        self.cut = re.compile(r"(?<=\S) (?=\S)")
         self.runs = re.compile(r"\s\s")
+        #: Ids of a space and a piece, by the piece.
         self.seen: dict[str, bytes] = {}
 
-    def pieces(self, text: str) -> list[str]:
-        if self.runs.search(text):
-            return self.cut.split(text)
-        first, *rest = text.split(" ")
-        return [first, *(" " + w for w in rest)]
+    def ids(self, texts: list[str]) -> list[bytes]:
+        return [array(self.type, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Per text its ids and the end id, little-endian."""
-        split = [self.pieces(t) if t else [] for t in texts]
+        """Per text its ids and the end id, in native unsigned integers."""
+        texts = [t or "" for t in texts]
+        split = [self.cut.split(t) if self.runs.search(t) else t.split(" ") for t in texts]
+        heads = self.ids([p[0] for p in split])
+        rest = [p[1:] for p in split]
         if len(self.seen) > CACHE_PIECES:
             self.seen.clear()
-        new = [w for w in set().union(*split) if w not in self.seen]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.seen[w] = np.array(e.ids, self.type).tobytes()
+        new = list(set().union(*rest).difference(self.seen))
+        self.seen.update(zip(new, self.ids([" " + w for w in new]), strict=True))
         get = self.seen.__getitem__
-        return [b"".join(map(get, p)) + self.end for p in split]
+        return [h + b"".join(map(get, p)) + self.end for h, p in zip(heads, rest, strict=True)]
+
+
+@functools.cache
+def encoder(path: str | None, end_id: int) -> Encoder:
+    """One per worker process, so later tasks find the pieces of earlier ones."""
+    return Encoder(path, end_id)
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -121,10 +129,10 @@ def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
 
 def _tokenise(path: str | None, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, end_id)
+        own = encoder(path, end_id)
         for part in textkit.slices(batches, "text"):
-            blobs = encoder.encode(part.column("text").to_pylist())
-            ids = [np.frombuffer(b, encoder.type) for b in blobs]
+            blobs = own.encode(part.column("text").to_pylist())
+            ids = [np.frombuffer(b, own.type) for b in blobs]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
@@ -241,12 +249,7 @@ def pack(
     parts = max(1, -(-total // partition_tokens))
     order = ["key", "id", "at"]
     ordered = tokens.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("id", "ids")
-    width = "<u2" if _vocabulary(tokenizer, end_id) < 1 << 16 else "<u4"
-    return ordered.mapInArrow(_pack(length, keep_ids, width), PIECE)
-
-
-def _vocabulary(path: str | None, end_id: int) -> int:
-    return max(Encoder(path, end_id).tokenizer.get_vocab_size(), end_id)
+    return ordered.mapInArrow(_pack(length, keep_ids, encoder(tokenizer, end_id).type), PIECE)
 
 
 def query(docs: DataFrame) -> DataFrame:
