@@ -6,20 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import exact_dedup, minhash, mixing, packing, quality
+from vigil.llm import exact_dedup, itq, minhash, mixing, packing, quality, secret_scan
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": lambda spark, sf_dir: packing.query(table(spark, sf_dir, "documents")),
     "op3_minhash_near_dedup": lambda spark, sf_dir: minhash.query(table(spark, sf_dir, "documents")),
     "op6_exact_dedup": lambda spark, sf_dir: exact_dedup.query(table(spark, sf_dir, "documents")),
+    "op7_itq_near_dedup": lambda spark, sf_dir: itq.query(table(spark, sf_dir, "embeddings")),
     "op8_ordinal_quality": lambda spark, sf_dir: quality.query(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     ),
+    "op9_secret_scan": lambda spark, sf_dir: secret_scan.query(table(spark, sf_dir, "documents")),
     "op10_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op7_itq_near_dedup": itq.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
 }
