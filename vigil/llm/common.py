@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -38,6 +40,16 @@ def small_batches(spark: SparkSession, rows: int = 512) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of frames no longer referenced.
+
+    They go when the driver collects garbage, which a long job with little
+    driver work may not do by itself for hours.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete the files behind a table made by ``materialize`` that is done with."""
     spark = df.sparkSession

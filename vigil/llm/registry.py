@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import chat, exact_dedup, itq, minhash, mixing, packing, quality, secret_scan, urls
+from vigil.llm import bwt, chat, exact_dedup, itq, minhash, mixing, packing, quality, secret_scan, urls
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_packing": lambda spark, sf_dir: packing.query(table(spark, sf_dir, "documents")),
     "op2_url_ratio": lambda spark, sf_dir: urls.query(table(spark, sf_dir, "pages")),
     "op3_minhash_near_dedup": lambda spark, sf_dir: minhash.query(table(spark, sf_dir, "documents")),
+    "op4_bwt_repeats": lambda spark, sf_dir: bwt.query(table(spark, sf_dir, "documents")),
     "op5_chat_format": lambda spark, sf_dir: chat.query(spark, table(spark, sf_dir, "conversations")),
     "op6_exact_dedup": lambda spark, sf_dir: exact_dedup.query(table(spark, sf_dir, "documents")),
     "op7_itq_near_dedup": lambda spark, sf_dir: itq.query(table(spark, sf_dir, "embeddings")),
