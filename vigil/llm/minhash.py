@@ -8,9 +8,10 @@ on full shingle sets.
 
 A band bucket is never expanded into all its pairs. First every member is
 compared with one pivot. Members that this joins need no further comparison
-among themselves; after that only members outside a bucket's largest component
-are compared with the members of other components, so no link between
-components is lost.
+among themselves. After that, in every group of classes connected by buckets,
+those outside the group's largest component are compared exactly with the
+members of other components, in blocks of bounded size that return links only,
+so no link between components is lost.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,8 @@ ROWS, BANDS = 6, 26
 SKETCH_BITS = 1024
 #: How far below the threshold the sketch's estimate may lie: five standard errors.
 SLACK = 0.15
+#: Classes on either side of a block of exact comparisons.
+BLOCK = 128
 
 
 def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,6 +126,40 @@ def _full_sets(size: int):
     return run
 
 
+def _incidence(values: np.ndarray, owner: np.ndarray, n: int, vocabulary: np.ndarray) -> np.ndarray:
+    place = np.minimum(np.searchsorted(vocabulary, values), len(vocabulary) - 1)
+    known = vocabulary[place] == values
+    out = np.zeros((n, len(vocabulary)), dtype=np.float32)
+    out[owner[known], place[known]] = 1
+    return out
+
+
+def _compare(percent: int):
+    """Exact links between the outsiders and the members of one block; two blocks' rows at most."""
+
+    def run(block: pa.Table) -> pa.Table:
+        sides = [block.filter(block.column("out")), block.filter(pc.invert(block.column("out")))]
+        sizes, values, owners = [], [], []
+        for side in sides:
+            items = side.column("items").combine_chunks()
+            sizes.append(pc.list_value_length(items).to_numpy(zero_copy_only=False).astype(np.int64))
+            values.append(pc.list_flatten(items).to_numpy(zero_copy_only=False))
+            owners.append(np.repeat(np.arange(len(items)), sizes[-1]))
+        shared = np.intersect1d(values[0], values[1])
+        common = np.zeros((len(sizes[0]), len(sizes[1])), dtype=np.float64)
+        for at in range(0, len(shared), 1 << 14):
+            part = shared[at : at + (1 << 14)]
+            common += _incidence(values[0], owners[0], len(sizes[0]), part) @ _incidence(values[1], owners[1], len(sizes[1]), part).T
+        union = sizes[0][:, None] + sizes[1][None, :] - common
+        roots = [np.array(s.column("root").to_pylist(), dtype=object) for s in sides]
+        linked = (common * 100 >= union * percent) & (roots[0][:, None] != roots[1][None, :])
+        names = [s.column("fp").to_pylist() for s in sides]
+        pairs = [tuple(sorted((names[0][i], names[1][j]))) for i, j in zip(*np.nonzero(linked), strict=True)]
+        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+
+    return run
+
+
 def _distance(a: Column, b: Column) -> Column:
     return F.aggregate(
         F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
@@ -135,6 +173,24 @@ class _Verifier:
         self.docs, self.reps, self.size, self.percent = docs, reps, size, percent
         self.limit = sketch_limit(percent / 100 - SLACK)
 
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """``(fp, items)`` of the texts whose locator hashes are ``wanted (at)``."""
+        texts = self.docs.join(wanted.hint("merge"), F.xxhash64("_file", "_row") == F.col("at"), "left_semi").select("text")
+        return materialize(texts.mapInArrow(_full_sets(self.size), "fp binary, items array<bigint>"), "near-sets")
+
+    def blocks(self, split: DataFrame) -> DataFrame:
+        """Links between components within groups: blocks of outsiders against blocks of all members."""
+        wanted = split.join(self.reps.select("fp", "at"), "fp").select("at").distinct()
+        rows = split.join(self.sets(materialize(wanted, "split-texts")), "fp")
+        spread = lambda n, salt: F.pmod(F.xxhash64("fp", F.lit(salt)), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        outside = rows.filter("root <> top").withColumn("o", spread("outside", 1)).withColumn("m", every("blocks"))
+        members = rows.withColumn("m", spread("blocks", 2)).withColumn("o", every("outside"))
+        columns = ["near", "o", "m", "out", "fp", "root", "items"]
+        both = outside.withColumn("out", F.lit(True)).select(columns).union(members.withColumn("out", F.lit(False)).select(columns))
+        found = both.groupBy("near", "o", "m").applyInArrow(_compare(self.percent), "a binary, b binary")
+        return materialize(found, "more-links").distinct()
+
     def links(self, pairs: DataFrame) -> DataFrame:
         side = lambda x: self.reps.select(
             F.col("fp").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("at").alias(f"at{x}")
@@ -151,9 +207,7 @@ class _Verifier:
         )
         near = materialize(near, "near-pairs")
         wanted = materialize(near.select("ata").union(near.select("atb")).toDF("at").distinct(), "near-texts")
-        texts = self.docs.join(wanted, F.xxhash64("_file", "_row") == F.col("at"), "left_semi").select("text")
-        sets = materialize(texts.mapInArrow(_full_sets(self.size), "fp binary, items array<bigint>"), "near-sets")
-        sets = sets if not wanted.isEmpty() else sets.limit(0)
+        sets = self.sets(wanted)
         both = (
             near.select("a", "b")
             .join(sets.select(F.col("fp").alias("a"), F.col("items").alias("ia")), "a")
@@ -211,31 +265,24 @@ def near_dedup(
     links = verify.links(star)
     found = components(links)
 
-    # what the pivots left apart: members outside the bucket's largest component
-    # against the members of its other components
-    placed = (
-        members.join(buckets.filter("n > 2").select("key"), "key")
-        .join(found.select(F.col("v").alias("fp"), "root"), "fp", "left")
-        .withColumn("root", F.coalesce("root", "fp"))
-    )
-    placed = materialize(placed, "placed")
-    counts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m"))
-    largest = materialize(
-        counts.groupBy("key").agg(F.max(F.struct("m", "root"))["root"].alias("top"), F.count(F.lit(1)).alias("k")).filter("k > 1").drop("k"),
-        "largest",
+    # what the pivots left apart: in a group of classes that share buckets,
+    # those outside its largest component against the other components' classes
+    near = components(star).withColumnRenamed("v", "fp").withColumnRenamed("root", "near")
+    placed = materialize(
+        near.join(found.withColumnRenamed("v", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "placed"
     )
-    split = materialize(placed.join(largest, "key"), "split-buckets")
-    outside = split.filter("root <> top").select("key", F.col("fp").alias("x"), F.col("root").alias("rx"))
-    apart = (
-        outside.join(split.select("key", F.col("fp").alias("y"), F.col("root").alias("ry")), "key")
-        .filter("rx <> ry")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
+    counts = placed.groupBy("near", "root").agg(F.count(F.lit(1)).alias("m"))
+    groups = materialize(
+        counts.groupBy("near")
+        .agg(F.max(F.struct("m", "root")).alias("top"), F.sum("m").alias("n"), F.count(F.lit(1)).alias("k"))
+        .filter("k > 1 and n > 2")
+        .select("near", F.col("top.root").alias("top"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"),
+                F.ceil((F.col("n") - F.col("top.m")) / BLOCK).cast("int").alias("outside")),
+        "split-groups",
     )
-    apart = materialize(apart, "apart")
-    if not apart.isEmpty():
-        more = verify.links(apart)
+    split = materialize(placed.join(groups, "near"), "split")
+    if not split.isEmpty():
+        more = verify.blocks(split)
         if not more.isEmpty():
             found = components(links.union(more))
 
