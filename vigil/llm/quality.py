@@ -28,6 +28,8 @@ FEATURE_BITS = 18
 SAMPLE_ROWS = 12_000
 #: Share of the sample that must hold a feature for the model to use it.
 RARE = 0.0025
+#: Rows of the sample that must hold a feature, however small the sample.
+LEAST_ROWS = 8
 #: Least probability of the top grade that is accepted.
 LEAST = 0.6
 
@@ -86,7 +88,7 @@ class Ordinal:
 def _normalised(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, list]:
     """Log inverse document frequencies (rare features have none) and the rows weighed by them."""
     found = np.bincount(np.concatenate([p for p, *_ in rows]), minlength=1 << FEATURE_BITS)
-    rarity = np.where(found >= max(3, RARE * len(rows)), np.log(len(rows) / np.maximum(found, 1)), 0.0)
+    rarity = np.where(found >= max(LEAST_ROWS, RARE * len(rows)), np.log(len(rows) / np.maximum(found, 1)), 0.0)
     out = []
     for places, values, grade in rows:
         weighed = values * rarity[places]
@@ -95,7 +97,7 @@ def _normalised(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndar
     return rarity.astype(np.float32), out
 
 
-def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int, epochs: int = 20, rate: float = 0.5, decay: float = 1e-5) -> Ordinal:
+def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int, epochs: int = 30, rate: float = 0.5, decay: float = 1e-5) -> Ordinal:
     """Cumulative-link regression by Adagrad on (features, values, grade) rows."""
     rarity, rows = _normalised(rows)
     weights = np.zeros(1 << FEATURE_BITS)
@@ -107,7 +109,7 @@ def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int, epo
     seen, seen_t = np.full(len(weights), 1e-6), np.full(grades - 1, 1e-6)
     order = np.random.default_rng(5)
     for _ in range(epochs):
-        for batch in np.array_split(order.permutation(len(rows)), max(1, len(rows) // 64)):
+        for batch in np.array_split(order.permutation(len(rows)), max(40, len(rows) // 64)):
             if not len(batch):
                 continue
             thresholds = np.concatenate([[first], first + np.cumsum(np.exp(steps))])
