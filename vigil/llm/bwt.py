@@ -9,15 +9,17 @@ too (smaller id, or earlier in the same document).
 2. Collapse. An occurrence of a seed with the bytes of all its windows is a
    snippet. Of equal snippets all but the earliest are repeats as a whole, so
    what is left per seed are its distinct snippets.
-3. Merge. Distinct snippets that share a seed are laid out in shards. Every
+3. Split. The windows of a snippet are dealt to halves by their distance from
+   the seed. All windows of a half share a longer core, which takes the seed's
+   place, and the halves are collapsed again; what no longer recurs drops out.
+   This is repeated for cores with more than ``GROUP`` distinct snippets, down
+   to single windows, so no task meets a group that grows with the data.
+4. Merge. Distinct snippets that share a core are laid out in shards. Every
    shard's suffixes are sorted once into its BWT. The BWTs are merged by
    refining their interleave: scanning it and dealing the shard numbers to the
    BWT's symbols sorts it by one symbol more. The round in which two neighbours
    part gives their longest common prefix, and runs that never part in
    ``length`` rounds are the repeated intervals. No suffix is sorted again.
-4. A seed with more than ``GROUP`` distinct snippets would make one task grow;
-   its windows are instead grouped by a 128-bit hash of their bytes. This path
-   is exact for any number of snippets.
 """
 
 from __future__ import annotations
@@ -35,10 +37,10 @@ from vigil.llm.common import drop_table, located, materialize, release, small_ba
 from vigil.session import ship_package
 
 LENGTH, SEED = 100, 32
-#: Distinct snippets of a seed that one task merges; beyond, windows are dealt out singly.
+#: Distinct snippets of a core that one task merges; beyond, they are split further.
 GROUP = 256
 #: Bytes of snippets merged at once, and bytes of one shard.
-MERGE_BYTES, SHARD_BYTES = 1 << 18, 1 << 15
+MERGE_BYTES, SHARD_BYTES = 1 << 16, 1 << 13
 
 
 def rolling(data: np.ndarray, size: int) -> np.ndarray:
@@ -92,37 +94,82 @@ def _anchors(length: int, seed: int):
                     pa.array(snippet.view(np.int64)),
                     part.column("id").take(take),
                     part.column("rid").take(take),
-                    pa.array((first - bounds[row]).astype(np.int32)),
-                    pa.array((last - first).astype(np.int32)),
-                    pa.array((spot - first).astype(np.int32)),
+                    pa.array(pack_place(first - bounds[row], last - first, spot - first)),
                 ],
-                names=["seed", "snippet", "id", "rid", "start", "more", "lead"],
+                names=["seed", "snippet", "id", "rid", "at"],
             )
 
     return run
 
 
-ANCHOR = "seed long, snippet long, id long, rid long, start int, more int, lead int"
+ANCHOR = "seed long, snippet long, id long, rid long, at long"
 
 
-def _cut(length: int):
-    """Bytes of the wanted snippets of each text."""
+def pack_place(start, more, lead):
+    """Start, number of further windows and distance to the seed in one number, ordered by start."""
+    return (start << 16) | (more << 8) | lead
+
+
+def unpack_place(at):
+    return at >> 16, (at >> 8) & 255, at & 255
+
+
+SNIPPET = "key binary, snippet binary, id long, rid long, at long, bytes binary"
+
+
+def _snippets(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * 6
+    types = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["key", "snippet", "id", "rid", "at", "bytes"]
+    )
+
+
+def _halves(key: bytes, id_, rid: int, at: int, raw: bytes, width: int, length: int) -> list[tuple]:
+    """The snippet's windows by ``width`` distances from the seed: their core's key and own snippet."""
+    start, more, lead = unpack_place(at)
+    out = []
+    for half in range((lead - more) // width, lead // width + 1):
+        near, far = half * width, (half + 1) * width - 1  # distances of this half
+        w0, w1 = max(0, lead - far), min(more, lead - near)
+        core = raw[lead - near : lead - far + length]
+        own = raw[w0 : w1 + length]
+        out.append(
+            (
+                hashlib.blake2b(core, digest_size=16, key=key, salt=half.to_bytes(2, "little")).digest(),
+                hashlib.blake2b(own, digest_size=16, salt=(lead - w0).to_bytes(2, "little")).digest(),
+                id_, rid, pack_place(start + w0, w1 - w0, lead - w0), own,
+            )
+        )
+    return out
+
+
+def _cut(length: int, width: int):
+    """The wanted snippets of each text, in halves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in textkit.slices(batches, "text", 4 << 20):
             out: list[tuple] = []
             for text, id_, rid, wanted in zip(*(part.column(c).to_pylist() for c in ("text", "id", "rid", "wanted")), strict=True):
                 raw = (text or "").encode()
-                out += [
-                    (w["seed"], id_, rid, w["start"], w["more"], w["lead"], raw[w["start"] : w["start"] + w["more"] + length])
-                    for w in wanted
-                ]
-            columns = list(zip(*out, strict=True)) or [[]] * 7
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                names=["seed", "id", "rid", "start", "more", "lead", "bytes"],
-            )
+                for w in wanted:
+                    start, more, _ = unpack_place(w["at"])
+                    seed = w["seed"].to_bytes(8, "little", signed=True)
+                    out += _halves(seed, id_, rid, w["at"], raw[start : start + more + length], width, length)
+            yield _snippets(out)
+
+    return run
+
+
+def _split(length: int, width: int):
+    """Snippets in smaller halves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in textkit.slices(batches, "bytes", MERGE_BYTES):
+            out: list[tuple] = []
+            for row in zip(*(part.column(c).to_pylist() for c in ("key", "id", "rid", "at", "bytes")), strict=True):
+                out += _halves(*row, width, length)
+            yield _snippets(out)
 
     return run
 
@@ -158,30 +205,30 @@ def merge_bwts(bwts: list[np.ndarray], strings: list[int], depth: int) -> tuple[
     ``interleave[p]`` is the shard of the suffix at merged rank p, and
     ``lcp[p]`` the common prefix with the suffix before it, at most ``depth``.
     """
-    joined = np.concatenate(bwts)
-    shard = np.repeat(np.arange(len(bwts), dtype=np.uint16), [len(b) for b in bwts])
-    closing = np.repeat(np.arange(len(bwts), dtype=np.uint16), strings)
+    _, dense = np.unique(np.concatenate([[0], *bwts]), return_inverse=True)
+    small = np.uint8 if dense.max() < 256 else np.uint16
+    joined = dense[1:].astype(small)
+    numbers = np.arange(len(bwts), dtype=np.uint8 if len(bwts) <= 256 else np.uint16)
+    z = np.repeat(numbers, [len(b) for b in bwts])
+    closing = np.repeat(numbers, strings)
     total = len(closing)
-    z = shard.copy()
-    block = np.zeros(len(z), np.int64)
-    lcp = np.full(len(z), depth, np.int64)
-    lcp[0] = 0
+    block = np.zeros(len(z), np.int32)
+    lcp = np.full(len(z), depth, np.int16)
+    symbol = np.empty(len(z), small)
     for h in range(depth):
-        # the next symbol of every suffix's predecessor, in interleave order
-        symbol = np.empty(len(z), joined.dtype)
+        # the symbol before every suffix, in interleave order
         symbol[np.argsort(z, kind="stable")] = joined
         order = np.argsort(symbol, kind="stable")
         s, b = symbol[order], block[order]
-        part = np.concatenate([[True], (s[1:] != s[:-1]) | (b[1:] != b[:-1])])
         z = z[order]
+        part = np.empty(len(z), bool)
+        part[1:] = (s[1:] != s[:-1]) | (b[1:] != b[:-1])
         # suffixes that start at a closing 0 are ordered by string and differ from each other
         z[:total] = closing
-        part[:total] = True
-        part[total : total + 1] = True
-        lcp = np.where(part & (lcp == depth), h, lcp)
-        part = lcp < depth
-        block = np.cumsum(part)
-    return z, lcp
+        part[: total + 1] = True
+        lcp[part & (lcp == depth)] = h
+        block = np.cumsum(part, dtype=np.int32)
+    return z, lcp.astype(np.int64)
 
 
 def repeats(strings: list[bytes], depth: int) -> np.ndarray:
@@ -238,19 +285,17 @@ def _spans(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _merged(length: int):
-    """Repeated windows of whole groups (rows come ordered by seed)."""
+    """Repeated windows of whole groups (rows come ordered by key)."""
 
     def solve(rows: list[tuple]) -> list[tuple]:
-        group = repeats([r[5] for r in rows], length)
-        sizes = np.array([len(r[5]) + 1 for r in rows])
+        group = repeats([r[4] for r in rows], length)
+        sizes = np.array([len(r[4]) + 1 for r in rows])
         first = np.concatenate([[0], np.cumsum(sizes)])
         spots = np.flatnonzero(group)
         owner = np.searchsorted(first, spots, side="right") - 1
         offset = spots - first[owner]
-        # windows of one seed are equal only at equal distance from it, so the
-        # place tells which windows are a snippet's own
         keys = [
-            (int(group[s]), rows[o][1] is not None, rows[o][1] or 0, rows[o][2], rows[o][3] + int(d))
+            (int(group[s]), rows[o][1] is not None, rows[o][1] or 0, rows[o][2], (rows[o][3] >> 16) + int(d))
             for s, o, d in zip(spots, owner, offset, strict=True)
         ]
         earliest: dict[int, tuple] = {}
@@ -264,33 +309,18 @@ def _merged(length: int):
         held: list[tuple] = []
         size = 0
         for part in textkit.slices(batches, "bytes", MERGE_BYTES):
-            for row in zip(*(part.column(c).to_pylist() for c in ("seed", "id", "rid", "start", "more", "bytes")), strict=True):
+            for row in zip(*(part.column(c).to_pylist() for c in ("key", "id", "rid", "at", "bytes")), strict=True):
                 if size > MERGE_BYTES and row[0] != held[-1][0]:
                     yield _spans(solve(held))
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5])
+                size += len(row[4])
         if held:
             yield _spans(solve(held))
 
     return run
 
 
-def _windows(length: int):
-    """Every window of a snippet with a 128-bit hash of its bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in textkit.slices(batches, "bytes", MERGE_BYTES):
-            out: list[tuple] = []
-            for id_, rid, start, more, raw in zip(*(part.column(c).to_pylist() for c in ("id", "rid", "start", "more", "bytes")), strict=True):
-                out += [(hashlib.blake2b(raw[d : d + length], digest_size=16).digest(), id_, rid, start + d) for d in range(more + 1)]
-            columns = list(zip(*out, strict=True)) or [[]] * 4
-            types = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["w", "id", "rid", "at"])
-
-    return run
-
-
 def _removed(keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "rid", "spans", "kept"]
@@ -348,6 +378,8 @@ def remove_repeats(
     id are ordered by their locator's hash. An empty table gives no rows; other
     columns aren't read.
     """
+    if length - seed > 255:
+        raise ValueError(f"length {length} and seed {seed} may differ by 255 at most")
     spark = docs.sparkSession
     ship_package(spark)
     small_batches(spark)
@@ -366,45 +398,46 @@ def remove_repeats(
     hits = materialize(anchors.join(repeated, "seed"), "repeated-anchors")
     drop_table(anchors)
     release(spark)
-    place = F.struct("id", "rid", "start")
+    place = F.struct("id", "rid", "at")
+
+    def span(rows: DataFrame) -> DataFrame:
+        start = F.shiftright("at", 16)
+        more = F.shiftright("at", 8).bitwiseAND(255)
+        return rows.select("id", "rid", start.alias("start"), (start + more + length).alias("end"))
+
     first = materialize(hits.groupBy("seed", "snippet").agg(F.min(place).alias("first")), "first-snippets")
     marked = hits.join(first, ["seed", "snippet"]).withColumn("own", F.col("first") == place)
-    whole = marked.filter(~F.col("own")).select(
-        "id", "rid", F.col("start").cast("long").alias("start"), (F.col("start") + F.col("more") + length).cast("long").alias("end")
-    )
+    found = [materialize(span(marked.filter(~F.col("own"))), "repeat-spans")]
     wanted = (
-        marked.filter("own and varied")
-        .groupBy("rid")
-        .agg(F.collect_list(F.struct("seed", "start", "more", "lead")).alias("wanted"))  # bounded by the document
+        marked.filter("own and varied").groupBy("rid").agg(F.collect_list(F.struct("seed", "at")).alias("wanted"))  # bounded by the document
     )
-    variants = materialize(
-        source.join(wanted, "rid").select("text", "id", "rid", "wanted").mapInArrow(
-            _cut(length), "seed long, id long, rid long, start int, more int, lead int, bytes binary"
-        ),
-        "snippets",
+    width = -(-(length - seed + 1) // 2)
+    parts = materialize(
+        source.join(wanted, "rid").select("text", "id", "rid", "wanted").mapInArrow(_cut(length, width), SNIPPET), "snippets"
     )
     release(spark)
-    counts = materialize(variants.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "snippet-counts")
-    few = (
-        variants.join(counts.filter(F.col("k") <= group).select("seed"), "seed", "left_semi")
-        .repartition("seed")
-        .sortWithinPartitions("seed", "id", "rid", "start")
-        .select("seed", "id", "rid", "start", "more", "bytes")
-    )
-    span = "id long, rid long, start long, end long"
-    merged = few.mapInArrow(_merged(length), span)
-    windows = materialize(
-        variants.join(counts.filter(F.col("k") > group).select("seed"), "seed", "left_semi")
-        .select("id", "rid", "start", "more", "bytes")
-        .mapInArrow(_windows(length), "w binary, id long, rid long, at long"),
-        "windows",
-    )
-    at = F.struct("id", "rid", "at")
-    earliest = materialize(windows.groupBy("w").agg(F.min(at).alias("f"), F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c"), "first-windows")
-    later = (
-        windows.join(earliest, "w").filter(F.col("f") != at).select("id", "rid", F.col("at").alias("start"), (F.col("at") + length).alias("end"))
-    )
-    spans = materialize(whole.union(merged).union(later), "repeat-spans")
+    while True:
+        kinds = materialize(parts.groupBy("key", "snippet").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")), "kinds")
+        cores = kinds.groupBy("key").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k")).filter("n > 1").drop("n")
+        decided = materialize(kinds.join(cores, "key"), "cores")
+        placed = parts.join(decided, ["key", "snippet"]).withColumn("own", F.col("first") == place)
+        placed = materialize(placed.filter("not own or k > 1").select("key", "id", "rid", "at", "k", "own", F.when(F.col("own"), F.col("bytes")).alias("bytes")), "placed")
+        found.append(span(placed.filter("not own")))
+        few = placed.filter((F.col("k") <= group) & F.col("own")).repartition("key").sortWithinPartitions("key", "id", "rid", "at")
+        found.append(
+            materialize(
+                few.select("key", "id", "rid", "at", "bytes").mapInArrow(_merged(length), "id long, rid long, start long, end long"),
+                "merged-spans",
+            )
+        )
+        many = placed.filter((F.col("k") > group) & F.col("own"))
+        if width == 1 or many.isEmpty():
+            break
+        width = -(-width // 2)
+        parts = materialize(many.mapInArrow(_split(length, width), SNIPPET), "snippets")
+    spans = found[0]
+    for more in found[1:]:
+        spans = spans.union(more)
     release(spark)
     per_doc = spans.groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # bounded by the document
     return (
