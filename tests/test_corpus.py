@@ -32,7 +32,7 @@ def test_reveal_lag(spark):
 
 def test_corpus_guards(spark):
     h, s = frames(spark)
-    with pytest.raises(ValueError, match="non-negative"):
+    with pytest.raises(ValueError, match="below 0"):
         corpus.build_retraining_corpus(h, s, reveal_lag=-1)
     with pytest.raises(ValueError, match="history"):
         corpus.build_retraining_corpus(h.drop("isFraud"), s)
@@ -48,15 +48,15 @@ def test_prepare_retraining_inputs(spark):
     assert c2.count() == 210 + len([i for i in range(255, 285) if i * 100 <= 28400 - 5000])
 
 
-def test_trigger_rule():
-    t = trigger.should_retrain(scored_volume_since_last=5000)
+def test_trigger_rule(spark):
+    t = trigger.retrain_decision(spark, 5000)
     assert t.retrain and t.volume_triggered
-    assert not trigger.should_retrain(scored_volume_since_last=4999).retrain
-    assert trigger.should_retrain(scored_volume_since_last=0, drift_alarm=True).retrain
-    with pytest.raises(ValueError, match="non-negative"):
-        trigger.should_retrain(scored_volume_since_last=-1)
-    with pytest.raises(ValueError, match="positive"):
-        trigger.should_retrain(scored_volume_since_last=1, volume_threshold=0)
+    assert not trigger.retrain_decision(spark, 4999).retrain
+    assert trigger.retrain_decision(spark, 0, drift_alarm=True).retrain
+    with pytest.raises(ValueError, match="below 0"):
+        trigger.retrain_decision(spark, -1)
+    with pytest.raises(ValueError, match="above 0"):
+        trigger.retrain_decision(spark, 1, volume_threshold=0)
 
 
 def test_volume_since_checkpoint(spark, scratch):

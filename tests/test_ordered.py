@@ -5,10 +5,11 @@ import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
-from vigil.functions.ordered import global_row_number, prefix_sums, rows_at_ranks
+from vigil.functions import ordered
+from vigil.functions.ordered import prefix_sums, rows_at_ranks
 
 
-def test_prefix_sums_match_pandas_with_groups(spark):
+def test_prefix_sums_match_pandas_with_groups(spark, monkeypatch):
     rng = np.random.default_rng(0)
     n = 2000
     pdf = pd.DataFrame(
@@ -21,8 +22,10 @@ def test_prefix_sums_match_pandas_with_groups(spark):
     exp = pdf.sort_values(["g", "k"]).reset_index(drop=True)
     exp["cum_x"] = exp.groupby("g")["x"].cumsum()
     exp["tot_x"] = exp.groupby("g")["x"].transform("sum")
-    for small in (0, None):  # distributed bucket path, then the size-checked path
-        out = prefix_sums(spark.createDataFrame(pdf), ["k"], ["x"], by=["g"], totals=True, group_bound=3, small_rows=small)
+    for rows, size in ((100, 0), (ordered.ROWS_PER_BUCKET, ordered.BROADCAST_BYTES)):  # many buckets, then one
+        monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", rows)
+        monkeypatch.setattr(ordered, "BROADCAST_BYTES", size)
+        out = prefix_sums(spark.createDataFrame(pdf), ["k"], ["x"], by=["g"], totals=True)
         got = out.toPandas().sort_values(["g", "k"]).reset_index(drop=True)
         assert got["cum_x"].tolist() == exp["cum_x"].tolist()
         assert got["tot_x"].tolist() == exp["tot_x"].tolist()
@@ -33,7 +36,8 @@ def test_row_number_with_a_hot_time_value(spark):
     n = 3000
     t = np.where(np.arange(n) % 3 == 0, 500, np.arange(n))
     pdf = pd.DataFrame({"t": t, "id": np.arange(n)[::-1]})
-    ranked = global_row_number(spark.createDataFrame(pdf), ["t", "id"], n_buckets=8, small_rows=0).toPandas()
+    ones = spark.createDataFrame(pdf).withColumn("one", F.lit(1))
+    ranked = prefix_sums(ones, ["t", "id"], ["one"], n_buckets=8).toPandas().rename(columns={"cum_one": "rn"})
     exp = pdf.sort_values(["t", "id"]).reset_index(drop=True)
     exp["rn"] = np.arange(1, n + 1)
     got = ranked.sort_values("rn").reset_index(drop=True)
@@ -58,7 +62,8 @@ def test_rows_at_ranks(spark):
     assert 99 not in found
 
 
-def test_rank_selection_fast_path_and_fallback_agree(spark):
+def test_rank_selection_fast_path_and_fallback_agree(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SORT_ROWS", 20)
     from vigil.functions.ordered import ranks_by_buckets
 
     rng = np.random.default_rng(5)
@@ -77,10 +82,9 @@ def test_rank_selection_fast_path_and_fallback_agree(spark):
 
 
 def test_bucket_path_for_auc_ks_and_delong(spark, monkeypatch):
-    """The distributed path (no size shortcut) gives the same statistics."""
+    """Many buckets give the same statistics as one."""
     import itertools
 
-    from vigil.functions import ordered
     from vigil.operators import drift, evaluate, promote
 
     rng = np.random.default_rng(2)
@@ -92,7 +96,7 @@ def test_bucket_path_for_auc_ks_and_delong(spark, monkeypatch):
     df = spark.createDataFrame(pdf)
     small = (evaluate.auc(df), drift.ks_metrics(df.filter("isFraud = 1"), df.filter("isFraud = 0"), ["score"]).first()["statistic"],
              promote.delong_frame(df).first()["se"])
-    monkeypatch.setattr(ordered, "SMALL_ROWS", 0)
+    monkeypatch.setattr(ordered, "ROWS_PER_BUCKET", 10)
     big = (evaluate.auc(df), drift.ks_metrics(df.filter("isFraud = 1"), df.filter("isFraud = 0"), ["score"]).first()["statistic"],
            promote.delong_frame(df).first()["se"])
     pos, neg = a[y == 1], a[y == 0]
@@ -100,3 +104,21 @@ def test_bucket_path_for_auc_ks_and_delong(spark, monkeypatch):
     assert small[0] == pytest.approx(brute, abs=1e-12) and big[0] == pytest.approx(brute, abs=1e-12)
     assert small[1] == big[1]
     assert small[2] == pytest.approx(big[2], rel=1e-12)
+
+
+@pytest.mark.parametrize("sort_rows", [10, 100_000])
+def test_null_keys_sort_last_and_are_never_lost(spark, monkeypatch, sort_rows):
+    from vigil.operators import split, store
+
+    monkeypatch.setattr(ordered, "SORT_ROWS", sort_rows)
+    rows = [(None if i % 10 < 3 else i // 4, None if i == 50 else i) for i in range(100)]
+    df = spark.createDataFrame(rows, "TransactionDT long, TransactionID long")
+    parts = split.temporal_split(df)
+    assert [p.count() for p in parts] == [70, 15, 15]
+    labelled = {r["slice"]: r["count"] for r in split.with_slice(df).groupBy("slice").count().collect()}
+    assert labelled == {"train": 70, "test": 15, "stream": 15}
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0))
+    newest = store.first_rows(df, 40, ["TransactionDT", "TransactionID"], descending=True)
+    assert sorted(map(tuple, newest.collect()), key=repr) == sorted(order[-40:], key=repr)
+    oldest = store.first_rows(df, 75, ["TransactionDT", "TransactionID"])
+    assert sorted(map(tuple, oldest.collect()), key=repr) == sorted(order[:75], key=repr)

@@ -73,5 +73,5 @@ def test_guards(spark):
         promote.delong_frame(frame(spark, [0, 1], [0.1, 0.2], [0.1, 0.2]), alpha=1.0)
     with pytest.raises(Exception, match="positive"):
         promote.decide_promotion(frame(spark, [0] * 10, np.arange(10), np.arange(10)))
-    with pytest.raises(Exception, match="at least two"):
+    with pytest.raises(Exception, match="fewer than two"):
         promote.decide_promotion(frame(spark, [0, 0, 1], [0.1, 0.2, 0.3], [0.1, 0.2, 0.3]))

@@ -27,7 +27,7 @@ def stream_rows(spark, n=40):
 
 def test_stream_scores_every_file_once(spark, scratch):
     rows = stream_rows(spark)
-    scoring.write_replay_files(rows, f"{scratch}/src", files=4)
+    rows.repartitionByRange(4, "TransactionDT").write.parquet(f"{scratch}/src")
     q = dict(store_path=f"{scratch}/store", quarantine_path=f"{scratch}/quarantine")
     scoring.run_scoring_stream(spark, f"{scratch}/src", rows.schema, boundary(), q["store_path"], f"{scratch}/ckpt", **q_opts(q))
     st = store.read_store(spark, q["store_path"])
@@ -75,3 +75,30 @@ def test_label_join_within_lag(spark, scratch):
     q.awaitTermination()
     got = [(r["TransactionID"], r["isFraud"]) for r in spark.read.parquet(f"{scratch}/out").collect()]
     assert got == [(1, 1)]  # label 2 arrived after the lag
+
+
+def test_streams_and_batch_appends_share_a_store(spark, scratch):
+    """A batch append, a stream, another query's stream and a replay: no row is lost or doubled."""
+    path = f"{scratch}/store"
+    batch = spark.createDataFrame([(1000, 0.5, "block")], "TransactionID long, score double, decision string")
+    assert store.append_scores(batch, path) == 1
+    rows = stream_rows(spark, 6)
+    for part in (0, 1):
+        rows.filter(F.col("TransactionID") % 2 == part).coalesce(1).write.parquet(f"{scratch}/src{part}")
+        scoring.run_scoring_stream(spark, f"{scratch}/src{part}", rows.schema, boundary(), path, f"{scratch}/ckpt{part}")
+    assert store.append_scores(batch, path) == 1
+    sink = scoring.scoring_batch_sink(boundary(), path)
+    for _ in range(2):
+        sink(rows, 0)
+    ids = [r.TransactionID for r in store.read_store(spark, path).collect()]
+    assert sorted(ids) == sorted([1000, 1000, *range(6), *range(6)])
+    assert {r.TransactionID: r.n for r in store.read_store(spark, path).groupBy("TransactionID").agg(F.count_distinct("batch_id").alias("n")).collect()}[1] == 2
+
+
+def test_an_uncommitted_batch_is_replaced(spark, scratch):
+    path = f"{scratch}/store"
+    log = scoring._BatchLog(spark, path, 3)
+    place = log.place()
+    store.append_scores(boundary().score(stream_rows(spark, 2), keep=["TransactionID", "TransactionDT"], validate_rows=False), path, batch_id=place)
+    scoring.scoring_batch_sink(boundary(), path)(stream_rows(spark, 5), 3)
+    assert store.read_store(spark, path).count() == 5

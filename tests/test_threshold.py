@@ -34,7 +34,7 @@ def test_threshold_guards(spark):
     with pytest.raises(ValueError, match="cost_ratio"):
         evaluate.operating_threshold(frame(spark, [1], [0.5]), cost_ratio=0)
     empty = frame(spark, [1], [0.5]).limit(0)
-    with pytest.raises(ValueError, match="at least one score"):
+    with pytest.raises(ValueError, match="no scores"):
         evaluate.operating_threshold(empty)
 
 

@@ -14,32 +14,32 @@ this primitive instead:
 3. per ``(by, bucket)`` totals (``groups x buckets`` rows) -> running offsets;
 4. an in-bucket window ``partitionBy(by, bucket).orderBy(order)`` plus offset.
 
-Only the offsets table is small; it is broadcast after its row count is
-checked, otherwise joined with a plain shuffle join.
+Only the offsets table is small; it is broadcast if its measured size allows. The
+bucket count follows from the counted input, so a small input takes the same
+path with one bucket.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.session import ensure_checkpoint_dir, shuffle_partitions
+from vigil.session import ensure_checkpoint_dir
 
 BUCKET = "_bucket"
 
-# Offsets tables up to this many rows are broadcast; larger ones shuffle-join.
-BROADCAST_ROW_LIMIT = 2_000_000
-# Rank selection: quantile grid size, sketch accuracy, and the most rows a
-# verified bracket may hold before the exact bucket path is used instead.
-QUANTILE_ACCURACY = 20_000
-MAX_ACCURACY = 2_000_000
-CANDIDATE_LIMIT = 10_000_000
-# Ordered inputs up to this many rows use plain windows (one task per group).
-SMALL_ROWS = 2_000_000
+# Rows per range bucket; the bucket count follows from the counted input.
+ROWS_PER_BUCKET = 1_000_000
+# Measured bytes up to which an offsets table is broadcast.
+BROADCAST_BYTES = 32 << 20
+# Rank lookup: bin edges per pass, the sketch's accuracy, and the rows that are
+# sorted once a rank's region has shrunk to them. All fixed, so state is bounded.
+EDGES, SKETCH_ACCURACY, SORT_ROWS = 100, 2_000, 100_000
 
 
 def _sort_expr(c: str | Column) -> Column:
@@ -52,31 +52,28 @@ def range_bucketed(
     by: Sequence[str] = (),
     n_buckets: int | None = None,
 ) -> DataFrame:
-    """``df`` range-partitioned on ``(*by, *order)`` with a bucket id, checkpointed."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = n_buckets or shuffle_partitions(spark)
+    """``df`` range-partitioned on ``(*by, *order)`` with a bucket id, checkpointed.
+
+    The input is computed once: cached, counted (which sets the bucket count,
+    ``ROWS_PER_BUCKET`` rows each) and checkpointed from the cache.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
     keys = [F.col(c).asc() for c in by] + [_sort_expr(c) for c in order]
-    tagged = df.repartitionByRange(n, *keys).withColumn(BUCKET, F.spark_partition_id())
-    # Persist first so the checkpoint write reads the computed partitions
-    # instead of recomputing them; the checkpoint then cuts the lineage.
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    base = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        n = n_buckets or max(1, -(-base.count() // ROWS_PER_BUCKET))
+        tagged = base.repartitionByRange(n, *keys).withColumn(BUCKET, F.spark_partition_id())
         return tagged.checkpoint(eager=True)
     finally:
-        tagged.unpersist()
-
+        base.unpersist()
 
-def maybe_broadcast(
-    df: DataFrame, row_limit: int = BROADCAST_ROW_LIMIT, *, known_rows: int | None = None
-) -> DataFrame:
-    """Broadcast-hint ``df`` only when its size is under ``row_limit``.
 
-    ``known_rows`` is an upper bound the caller can prove (for example
-    ``groups x buckets``); without one the rows are counted first.
-    """
-    rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= row_limit else df
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df`` with a broadcast hint if its measured size allows one; without, the join shuffles."""
+    text = F.length(F.concat_ws("", *[F.col(c).cast("string") for c in df.columns]))
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(text).alias("b")).first()
+    measured = size["n"] * 16 * (len(df.columns) + 1) + 4 * (size["b"] or 0)
+    return F.broadcast(df) if measured <= BROADCAST_BYTES else df
 
 
 def bucket_sizes(rp: DataFrame) -> list[tuple[int, int]]:
@@ -89,106 +86,172 @@ def bucket_sizes(rp: DataFrame) -> list[tuple[int, int]]:
     return sorted((int(r[BUCKET]), int(r["n"])) for r in rows)
 
 
+def at_or_before(cols: Sequence[str], key: Sequence) -> Column:
+    """Whether ``cols`` come at or before ``key``, ascending with NULLs last.
+
+    Plain comparisons, so scans can use them; a NULL result counts as false.
+    """
+    pred = F.lit(True)
+    for c, v in reversed(list(zip(cols, key, strict=True))):
+        col = F.col(c)
+        before = col.isNotNull() if v is None else col < F.lit(v)
+        pred = before | (col.eqNullSafe(F.lit(v)) & pred)
+    return pred
+
+
+def at_or_after(cols: Sequence[str], key: Sequence) -> Column:
+    """Whether ``cols`` come at or after ``key``, ascending with NULLs last."""
+    pred = F.lit(True)
+    for c, v in reversed(list(zip(cols, key, strict=True))):
+        col = F.col(c)
+        after = F.lit(False) if v is None else (col.isNull() | (col > F.lit(v)))
+        pred = after | (col.eqNullSafe(F.lit(v)) & pred)
+    return pred
+
+
+@dataclass(frozen=True)
+class _Region:
+    """Rows whose first keys equal ``fixed`` and whose next key is in the open interval ``(low, high)``."""
+
+    fixed: tuple = ()
+    low: object = None
+    high: object = None
+
+    def holds(self, order: Sequence[str]) -> Column:
+        pred = F.lit(True)
+        for c, v in zip(order, self.fixed, strict=False):
+            pred = pred & F.col(c).eqNullSafe(F.lit(v))
+        if len(self.fixed) < len(order):
+            key = F.col(order[len(self.fixed)])
+            if self.low is not None:
+                pred = pred & (key > F.lit(self.low))
+            if self.high is not None:
+                pred = pred & (key < F.lit(self.high))
+        return F.coalesce(pred, F.lit(False))
+
+
 def rows_at_ranks(
     df: DataFrame,
     order: Sequence[str | Column],
     ranks: Callable[[int], Iterable[int]],
     *,
-    n_buckets: int | None = None,
-    candidate_limit: int = CANDIDATE_LIMIT,
+    cache: bool = False,
 ) -> tuple[int, dict[int, Row]]:
-    """``(n, {rank: row})`` for the 1-based global ranks ``ranks(n)``.
-
-    Fast path (no shuffle of the keys): when ``order`` is plain ascending
-    column names led by a numeric/temporal key, ``percentile_approx`` around
-    each wanted rank brackets it, one counting pass verifies each bracket, and
-    only the rows inside the brackets are ranked (one task per bracket, at
-    most ``candidate_limit`` rows). A bracket that cannot be
-    verified (one hot value holding the rank, or too many candidates) falls
-    back to :func:`ranks_by_buckets`, so the answer is always exact.
+    """``(n, {rank: row})`` for the 1-based global ranks ``ranks(n)``, NULLs last.
+
+    Numeric and temporal keys are never shuffled. All wanted ranks share the
+    passes: a fixed-size quantile sketch gives each rank's region ``EDGES`` bin
+    edges, one exact count per bin finds the bin that holds the rank, and only
+    that bin is refined, over the next key once a bin is a single value. A
+    region of at most ``SORT_ROWS`` rows is sorted. Other key types go through
+    :func:`ranks_by_buckets`. ``cache`` keeps the keys for the passes of one
+    lookup; callers set it where the keys come from joins or aggregates.
     """
     order = list(order)
-    if _selection_applies(df, order):
-        keys = df.select(*order)
-        # Keys produced by joins/aggregations are cached for the few passes of
-        # one lookup (released before returning); plain scans are re-read,
-        # which prunes columns and row groups instead of holding all keys.
-        cache = _has_shuffle_work(keys)
+    if not all(isinstance(c, str) and _binnable(df, c) for c in order):
+        return ranks_by_buckets(df, order, ranks)
+    keys = df.select(*order)
+    if cache:
+        keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = keys.count()
+        wanted = sorted({int(r) for r in ranks(n) if 1 <= int(r) <= n})
+        places = {r: (_Region(), r, n) for r in wanted}  # region, rank in it, rows in it
+        while True:
+            wide = {reg for reg, _, rows in places.values() if rows > SORT_ROWS and len(reg.fixed) < len(order)}
+            if not wide:
+                return n, _sorted_rows(keys, order, places)
+            bins = {}
+            for group in _by_depth(wide):
+                bins |= _bins(keys, order, group)
+            places = {r: _narrow(bins[reg], rank) if reg in wide else (reg, rank, rows) for r, (reg, rank, rows) in places.items()}
+    finally:
         if cache:
-            keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            result = _select_by_quantiles(keys, order, ranks, candidate_limit)
-        finally:
-            if cache:
-                keys.unpersist()
-        if result is not None:
-            return result
-    return ranks_by_buckets(df, order, ranks, n_buckets=n_buckets)
-
-
-def _has_shuffle_work(df: DataFrame) -> bool:
-    """Whether the optimized plan joins, aggregates or windows (costly to redo)."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return any(line.lstrip(" +-:|").startswith(("Join ", "Aggregate ", "Window ")) for line in plan.splitlines())
-
-
-def _selection_applies(df: DataFrame, order: Sequence[str | Column]) -> bool:
-    if not order or not all(isinstance(c, str) for c in order):
-        return False
-    first = df.schema[order[0]].dataType
-    return isinstance(first, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)) and not isinstance(
-        first, T.DecimalType
+            keys.unpersist()
+
+
+def _binnable(df: DataFrame, column: str) -> bool:
+    kind = df.schema[column].dataType
+    return isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)) and not isinstance(
+        kind, T.DecimalType
     )
 
 
-def _select_by_quantiles(
-    df: DataFrame,
-    order: Sequence[str],
-    ranks: Callable[[int], Iterable[int]],
-    candidate_limit: int,
-) -> tuple[int, dict[int, Row]] | None:
-    key = order[0]
-    head = df.agg(F.count(F.lit(1)).alias("n"), F.count(key).alias("nn")).collect()[0]
-    n, nn = int(head["n"]), int(head["nn"])
-    wanted = sorted({int(r) for r in ranks(n) if 1 <= int(r) <= n})
-    if not wanted:
-        return n, {}
-    if nn != n:  # NULL keys sort last; keep the exact path simple
-        return None
-    # Sketch accuracy grows with n so a bracket stays near candidate_limit / 4
-    # rows; percentile_approx's rank error is at most n / accuracy.
-    accuracy = int(min(MAX_ACCURACY, max(QUANTILE_ACCURACY, 16 * n // max(candidate_limit, 1))))
-    slack = 2.0 / accuracy
-    probs = []
-    for r in wanted:
-        p = r / n
-        probs += [max(0.0, p - slack), min(1.0, p + slack)]
-    q = df.agg(F.percentile_approx(key, probs, accuracy).alias("q")).collect()[0]["q"]
-    brackets = [(r, q[2 * i], q[2 * i + 1]) for i, r in enumerate(wanted)]
-    kc = F.col(key)
-    stats = df.agg(
-        *[F.count_if(kc < F.lit(lo)).alias(f"b{i}") for i, (_, lo, _) in enumerate(brackets)],
-        *[F.count_if((kc >= F.lit(lo)) & (kc <= F.lit(hi))).alias(f"c{i}") for i, (_, lo, hi) in enumerate(brackets)],
-    ).collect()[0]
-    local = []
-    for i, (r, lo, hi) in enumerate(brackets):
-        below, cand = int(stats[f"b{i}"]), int(stats[f"c{i}"])
-        if not (below < r <= below + cand) or cand > candidate_limit:
-            return None  # unverifiable bracket: exact path
-        local.append((i, r, lo, hi, r - below))
-    parts = None
-    for i, r, lo, hi, lr in local:
-        part = df.where((kc >= F.lit(lo)) & (kc <= F.lit(hi))).select(*order).withColumn("_slot", F.lit(i))
-        parts = part if parts is None else parts.unionByName(part)
-    w = Window.partitionBy("_slot").orderBy(*[F.col(c).asc_nulls_last() for c in order])
+def _by_depth(regions: Iterable[_Region]) -> list[list[_Region]]:
+    groups: dict[int, list[_Region]] = {}
+    for reg in regions:
+        groups.setdefault(len(reg.fixed), []).append(reg)
+    return list(groups.values())
+
+
+def _bins(keys: DataFrame, order: Sequence[str], regions: list[_Region]) -> dict[_Region, list[tuple[_Region, int]]]:
+    """Per region its bins in order with their exact row counts (two passes, bounded results)."""
+    depth = len(regions[0].fixed)
+    key = F.col(order[depth])
+    number = F.lit(None).cast("int")
+    for i, reg in enumerate(regions):
+        number = F.when(reg.holds(order), F.lit(i)).otherwise(number)
+    inside = keys.withColumn("_reg", number).where(F.col("_reg").isNotNull())
+    probs = [i / EDGES for i in range(EDGES + 1)]
+    sketch = inside.groupBy("_reg").agg(F.percentile_approx(key, probs, SKETCH_ACCURACY).alias("e")).collect()
+    edges = {r["_reg"]: sorted(set(r["e"] or [])) for r in sketch}
+    # an even bin lies between edges, an odd one is the edge itself; NULLs come last
+    kind = keys.schema[order[depth]].dataType
+    place = F.lit(None).cast("int")
+    for i, es in edges.items():
+        if es:
+            array = F.array(*[F.lit(e).cast(kind) for e in es])
+            below = F.size(F.filter(array, lambda e: e < key))
+            spot = F.when(key.isNull(), 2 * len(es) + 2).otherwise(2 * below + F.array_contains(array, key).cast("int"))
+        else:
+            spot = F.lit(2)
+        place = F.when(F.col("_reg") == i, spot).otherwise(place)
+    cells = inside.groupBy("_reg", place.alias("_bin")).agg(F.count(F.lit(1)).alias("c")).collect()
+    out: dict[_Region, list[tuple[_Region, int]]] = {reg: [] for reg in regions}
+    for cell in sorted(cells, key=lambda c: (c["_reg"], c["_bin"])):
+        reg, es, b = regions[cell["_reg"]], edges[cell["_reg"]], cell["_bin"]
+        if b == 2 * len(es) + 2:
+            part = _Region((*reg.fixed, None))
+        elif b % 2:
+            part = _Region((*reg.fixed, es[b // 2]))
+        else:
+            part = _Region(
+                reg.fixed, es[b // 2 - 1] if b else reg.low, es[b // 2] if b // 2 < len(es) else reg.high
+            )
+        out[reg].append((part, int(cell["c"])))
+    return out
+
+
+def _narrow(bins: list[tuple[_Region, int]], rank: int) -> tuple[_Region, int, int]:
+    for part, rows in bins:
+        if rank <= rows:
+            return part, rank, rows
+        rank -= rows
+    raise ValueError("the keys changed between the passes of a rank lookup")
+
+
+def _sorted_rows(keys: DataFrame, order: Sequence[str], places: dict) -> dict[int, Row]:
+    """The wanted row of every region: sorted in the region, at most ``SORT_ROWS`` rows, or fixed whole."""
+    named = Row(*order)
+    found = {r: named(*reg.fixed) for r, (reg, _, _) in places.items() if len(reg.fixed) == len(order)}
+    regions = sorted({reg for r, (reg, _, _) in places.items() if r not in found}, key=repr)
+    if not regions:
+        return found
+    number = F.lit(None).cast("int")
+    for i, reg in enumerate(regions):
+        number = F.when(reg.holds(order) if reg != _Region() else F.lit(True), F.lit(i)).otherwise(number)
+    inside = keys.withColumn("_reg", number).where(F.col("_reg").isNotNull())
+    w = Window.partitionBy("_reg").orderBy(*[F.col(c).asc_nulls_last() for c in order])
     hit = F.lit(False)
-    for i, r, lo, hi, lr in local:
-        hit = hit | ((F.col("_slot") == i) & (F.col("_lrn") == lr))
-    found = {}
-    slot_rank = {i: r for i, r, *_ in local}
-    for row in parts.withColumn("_lrn", F.row_number().over(w)).where(hit).collect():
-        found[slot_rank[int(row["_slot"])]] = row
-    return n, found
+    for r, (reg, rank, _) in places.items():
+        if r not in found:
+            hit = hit | ((F.col("_reg") == regions.index(reg)) & (F.col("_lrn") == rank))
+    rows = {(x["_reg"], x["_lrn"]): x for x in inside.withColumn("_lrn", F.row_number().over(w)).where(hit).collect()}
+    for r, (reg, rank, _) in places.items():
+        if r not in found:
+            row = rows[regions.index(reg), rank]
+            found[r] = named(*[row[c] for c in order])
+    return found
 
 
 def ranks_by_buckets(
@@ -237,9 +300,7 @@ def prefix_sums(
     by: Sequence[str] = (),
     prefix: str = "cum_",
     totals: bool = False,
-    group_bound: int | None = None,
     n_buckets: int | None = None,
-    small_rows: int | None = None,
 ) -> DataFrame:
     """Add ``<prefix><c>`` = running sum of ``c`` in ``order`` within ``by``.
 
@@ -248,86 +309,37 @@ def prefix_sums(
     order by a unique key or collapse ties with a ``groupBy`` first. With
     ``totals`` each row also gets ``tot_<c>``, the sum over its whole group,
     read off the same small bucket-totals table (no extra scan).
-    ``group_bound`` bounds the number of ``by`` groups (no bound needed
-    without ``by``); it lets the offsets table be broadcast without counting.
-
-    Inputs of at most ``small_rows`` rows (counted first; default
-    ``SMALL_ROWS``) skip the buckets: one window per ``by`` group sorts at
-    most that many rows, with no range sampling or offsets join. Anything
-    larger takes the distributed bucket path. Either way the input is
-    computed once (cached for the count, then checkpointed).
+
+    One plan at every size: the bucket count follows from the counted input,
+    and the totals table (one row per bucket and group in it) is broadcast
+    only if its measured size allows.
     """
     order = list(order)
-    limit = SMALL_ROWS if small_rows is None else small_rows
-    n = n_buckets or shuffle_partitions(df.sparkSession)
-    # The input is computed once: cached, counted for the size check, and
-    # checkpointed (small path) or range-bucketed from the cache (large path).
-    base = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if limit > 0 and base.count() <= limit:
-            return _prefix_sums_small(base.checkpoint(eager=True), order, sums, by, prefix, totals)
-        rp = range_bucketed(base, order, by, n)
-    finally:
-        base.unpersist()
-    bucket_totals = rp.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(c) for c in sums])
-    before = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    whole = ["_whole"] if not by else []
+    groups = [*by, *whole]
+    frame = df.withColumn("_whole", F.lit(0)) if whole else df
+    rp = range_bucketed(frame, order, by, n_buckets)
+    bucket_totals = rp.groupBy(*groups, BUCKET).agg(*[F.sum(c).alias(c) for c in sums])
+    before = Window.partitionBy(*groups).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = bucket_totals.select(
-        *by,
+        *groups,
         BUCKET,
         *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"_off_{c}") for c in sums],
-        *(
-            [F.sum(c).over(Window.partitionBy(*by)).alias(f"tot_{c}") for c in sums]
-            if totals
-            else []
-        ),
+        *([F.sum(c).over(Window.partitionBy(*groups)).alias(f"tot_{c}") for c in sums] if totals else []),
     )
-    bound = n * (group_bound if by else 1) if (group_bound or not by) else None
-    joined = rp.join(maybe_broadcast(offsets, known_rows=bound), [*by, BUCKET])
-    running = Window.partitionBy(*by, BUCKET).orderBy(*[_sort_expr(c) for c in order]).rowsBetween(
+    matched = F.col(f"r.{BUCKET}") == F.col(f"o.{BUCKET}")
+    for c in groups:
+        matched = matched & F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}"))
+    added = [c for c in offsets.columns if c not in (*groups, BUCKET)]
+    small = broadcast_if_small(offsets)
+    joined = rp.alias("r").join(small.alias("o"), matched).select("r.*", *[F.col(f"o.{c}") for c in added])
+    running = Window.partitionBy(*groups, BUCKET).orderBy(*[_sort_expr(c) for c in order]).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     out = joined
     for c in sums:
         out = out.withColumn(f"{prefix}{c}", F.col(f"_off_{c}") + F.sum(c).over(running))
-    return out.drop(BUCKET, *[f"_off_{c}" for c in sums])
-
-
-def _prefix_sums_small(
-    df: DataFrame,
-    order: Sequence[str | Column],
-    sums: Sequence[str],
-    by: Sequence[str],
-    prefix: str,
-    totals: bool,
-) -> DataFrame:
-    """Size-checked path: plain windows over an input of bounded row count."""
-    running = Window.partitionBy(*by).orderBy(*[_sort_expr(c) for c in order]).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    whole = Window.partitionBy(*by)
-    out = df
-    for c in sums:
-        out = out.withColumn(f"{prefix}{c}", F.sum(c).over(running))
-        if totals:
-            out = out.withColumn(f"tot_{c}", F.sum(c).over(whole))
-    return out
-
-
-def global_row_number(
-    df: DataFrame,
-    order: Sequence[str | Column],
-    *,
-    by: Sequence[str] = (),
-    name: str = "rn",
-    n_buckets: int | None = None,
-    small_rows: int | None = None,
-) -> DataFrame:
-    """1-based row number in ``order`` (within ``by``) without a single partition."""
-    ones = df.withColumn("_one", F.lit(1).cast("long"))
-    out = prefix_sums(ones, order, ["_one"], by=by, prefix="_rn", n_buckets=n_buckets, small_rows=small_rows)
-    return out.withColumnRenamed("_rn_one", name).drop("_one")
+    return out.drop(BUCKET, *whole, *[f"_off_{c}" for c in sums])
 
 
 __all__ = [
@@ -335,8 +347,8 @@ __all__ = [
     "bucket_sizes",
     "ranks_by_buckets",
     "rows_at_ranks",
-    "global_row_number",
-    "maybe_broadcast",
+    "at_or_before",
+    "at_or_after",
     "prefix_sums",
     "range_bucketed",
 ]

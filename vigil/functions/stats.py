@@ -14,13 +14,17 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.session import ship_package
+
 # Number of terms of the Smirnov series; the tail is set to 1 below LAMBDA_MIN
 # where the alternating series converges too slowly to be useful.
 SMIRNOV_TERMS = 100
 LAMBDA_MIN = 0.2
+# Above this shape the chi-square tail comes from its normal limit, whose error is below 1e-6 there.
+LARGE_SHAPE = 1e5
 
 
 def smirnov_pvalue(d: Column, n_ref: Column, n_cur: Column) -> Column:
@@ -50,6 +54,9 @@ def _gammaincc(a: float, x: float) -> float:
         return 1.0
     if math.isinf(x):
         return 0.0
+    if a > LARGE_SHAPE:
+        # Wilson-Hilferty: the cube root of a gamma variate is nearly normal
+        return norm_sf_value((math.cbrt(x / a) - 1.0 + 1.0 / (9.0 * a)) * 3.0 * math.sqrt(a))
     log_pre = a * math.log(x) - x - math.lgamma(a)
     if x < a + 1.0:  # lower series P(a, x), then Q = 1 - P
         term = total = 1.0 / a
@@ -60,6 +67,8 @@ def _gammaincc(a: float, x: float) -> float:
             total += term
             if abs(term) < abs(total) * 1e-16:
                 break
+        else:
+            raise ArithmeticError(f"incomplete gamma series didn't converge at a={a}, x={x}")
         return max(0.0, 1.0 - total * math.exp(log_pre))
     # Lentz continued fraction for Q(a, x)
     tiny = 1e-300
@@ -77,8 +86,10 @@ def _gammaincc(a: float, x: float) -> float:
         d = 1.0 / d
         delta = d * c
         h *= delta
-        if abs(delta - 1.0) < 1e-16:
+        if abs(delta - 1.0) < 1e-15:
             break
+    else:
+        raise ArithmeticError(f"incomplete gamma fraction didn't converge at a={a}, x={x}")
     return min(1.0, math.exp(log_pre) * h)
 
 
@@ -98,6 +109,7 @@ def _chi2_sf_batch(x: pd.Series, dof: pd.Series) -> pd.Series:
 def chi2_sf(x: Column, dof: Column) -> Column:
     """Vectorised chi-square tail over a per-feature result table."""
     # Wrapped at call time: workers import this module without a session.
+    ship_package(SparkSession.active())
     return F.pandas_udf(_chi2_sf_batch, "double")(x, dof)
 
 
@@ -112,6 +124,7 @@ def _norm_sf_batch(z: pd.Series) -> pd.Series:
 
 def norm_sf(z: Column) -> Column:
     """Vectorised normal tail over a one-row-per-test result table."""
+    ship_package(SparkSession.active())
     return F.pandas_udf(_norm_sf_batch, "double")(z)
 
 

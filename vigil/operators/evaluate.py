@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.ordered import prefix_sums
@@ -28,14 +28,31 @@ DEFAULT_COST_RATIO = 10.0
 def score_counts(
     df: DataFrame, label_col: str, score_col: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per ``(by, score)``: ``pos`` (label 1) and ``neg`` (other) counts."""
-    is_pos = (F.col(label_col) == 1).cast("long")
-    return df.groupBy(*by, F.col(score_col).alias("score")).agg(
+    """One row per ``(by, score)``: ``pos`` (label 1) and ``neg`` (other) counts.
+
+    A NULL or NaN score has no rank, so the aggregate raises on one.
+    """
+    is_pos = F.coalesce((F.col(label_col) == 1).cast("long"), F.lit(0))
+    return df.groupBy(*by, checked_score(score_col).alias("score")).agg(
         F.sum(is_pos).alias("pos"),
         F.sum(1 - is_pos).alias("neg"),
     )
 
 
+def checked_score(score_col: str) -> Column:
+    """The score, or an error at run time where it is NULL or NaN."""
+    score = F.col(score_col)
+    return F.when(
+        score.isNull() | F.isnan(score.cast("double")), F.raise_error(F.lit(f"{score_col} holds a NULL or NaN score"))
+    ).otherwise(score)
+
+
+def rejected_scores(df: DataFrame, score_cols: Sequence[str]) -> DataFrame:
+    """Per score column how many rows hold no usable score."""
+    bad = lambda c: F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double")))
+    return df.agg(*[bad(c).alias(c) for c in score_cols]).unpivot([], list(score_cols), "scorer", "n_rejected")
+
+
 def stack_scores(df: DataFrame, label_col: str, score_cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Long form ``(by..., scorer, label, score)`` so several scorers share one pass."""
     return df.select(*by, label_col, *score_cols).unpivot(
@@ -48,13 +65,11 @@ def ordered_score_curve(
     label_col: str,
     score_col: str,
     by: Sequence[str] = (),
-    *,
-    group_bound: int | None = None,
 ) -> DataFrame:
     """Distinct scores ascending with ``cum_pos``/``cum_neg`` and group totals
     ``tot_pos``/``tot_neg``."""
     counts = score_counts(df, label_col, score_col, by)
-    return prefix_sums(counts, ["score"], ["pos", "neg"], by=by, totals=True, group_bound=group_bound)
+    return prefix_sums(counts, ["score"], ["pos", "neg"], by=by, totals=True)
 
 
 def auc_frame(
@@ -63,10 +78,9 @@ def auc_frame(
     label_col: str = "isFraud",
     score_col: str = "score",
     by: Sequence[str] = (),
-    group_bound: int | None = None,
 ) -> DataFrame:
     """``(by..., n_pos, n_neg, auc)``; ``auc`` is NULL when a class is absent."""
-    curve = ordered_score_curve(df, label_col, score_col, by, group_bound=group_bound)
+    curve = ordered_score_curve(df, label_col, score_col, by)
     credit = F.col("pos") * (F.col("cum_neg") - F.col("neg") * 0.5)
     agg = curve.groupBy(*by).agg(
         F.sum("pos").alias("n_pos"),
@@ -86,7 +100,7 @@ def auc(df: DataFrame, *, label_col: str = "isFraud", score_col: str = "score")
     """Exact ROC AUC as a float; raises when only one class is present."""
     row = auc_frame(df, label_col=label_col, score_col=score_col).collect()
     if not row or row[0]["auc"] is None:
-        raise ValueError("AUC needs at least one positive and one negative label")
+        raise ValueError("no AUC without both a positive and a negative label")
     return float(row[0]["auc"])
 
 
@@ -178,5 +192,5 @@ def operating_threshold(
         df, cost_ratio=cost_ratio, label_col=label_col, score_col=score_col
     ).collect()
     if not rows or rows[0]["threshold"] is None:
-        raise ValueError("operating_threshold requires at least one score")
+        raise ValueError("no scores to choose a threshold from")
     return float(rows[0]["threshold"])

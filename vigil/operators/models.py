@@ -8,15 +8,15 @@
 * M2 score: ``PipelineModel.transform`` + ``vector_to_array(probability)[1]``
   (or the raw margin for classifiers without probabilities), appended to the
   same rows — no join back.
-* S10 save/load: the fitted pipeline plus the contract JSON next to it, on the
-  cluster file system; ``resolve_model`` prefers the served model, else seed.
-* An exact median (``exact_median``) is available through the rank primitive;
-  the pipeline's own Imputer uses Spark's approximate quantile (bounded
-  memory at any scale).
+* S10 save/load: versions of the fitted pipeline with its contract JSON on the
+  cluster file system, published by a pointer written last; ``resolve_model``
+  prefers the served model, else seed.
+* Medians are exact (``exact_medians``) and go into the pipeline as a SQL stage.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -26,7 +26,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,7 +77,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         .where(F.col("v").isNotNull() & ~F.isnan("v"))
     )
     counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
-    cum = prefix_sums(counts, ["v"], ["c"], by=["column_name"], totals=True, group_bound=len(cols))
+    cum = prefix_sums(counts, ["v"], ["c"], by=["column_name"], totals=True)
     lo_rank = F.floor((F.col("tot_c") + 1) / 2)
     hi_rank = F.floor(F.col("tot_c") / 2) + 1
     first = F.col("cum_c") - F.col("c")  # ranks first+1 .. cum_c hold value v
@@ -115,7 +115,7 @@ def impute_exact(
 
 
 def preprocessing_stages(
-    numeric: Sequence[str], categorical: Sequence[str], *, one_hot: bool = False
+    numeric: Sequence[str], categorical: Sequence[str], *, medians: dict[str, float | None], one_hot: bool = False
 ) -> tuple[list, list[str]]:
     """Stages and assembled input columns for the M10 preprocessing."""
     numeric, categorical = list(numeric), list(categorical)
@@ -123,7 +123,10 @@ def preprocessing_stages(
     inputs: list[str] = []
     if numeric:
         imputed = [f"{c}__imp" for c in numeric]
-        stages.append(Imputer(inputCols=numeric, outputCols=imputed, strategy="median"))
+        filled = ", ".join(
+            f"coalesce(`{c}__num`, {'0D' if medians.get(c) is None else repr(float(medians[c])) + 'D'}) AS `{c}__imp`" for c in numeric
+        )
+        stages.append(SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"))
         inputs += imputed + [f"{c}__isna" for c in numeric]
     if categorical:
         idx = [f"{c}__idx" for c in categorical]
@@ -143,7 +146,7 @@ def with_model_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequen
     cols = {}
     for c in numeric:
         v = F.col(f"`{c}`").cast("double")
-        cols[c] = F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
+        cols[f"{c}__num"] = F.when(F.isnan(v), F.lit(None).cast("double")).otherwise(v)
         cols[f"{c}__isna"] = (v.isNull() | F.isnan(v)).cast("double")
     for c in categorical:
         cols[f"{c}__cat"] = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(MISSING_LEVEL))
@@ -181,7 +184,12 @@ def fit(
     """M1: fit ``prep + assembler + classifier`` on ``train``."""
     numeric = [c for c in contract_features if c not in set(categorical)]
     one_hot = kind in ("logreg", "svc")
-    stages, inputs = preprocessing_stages(numeric, categorical, one_hot=one_hot)
+    medians = {r["column_name"]: r["median"] for r in exact_medians(train, numeric).collect()}
+    stages, inputs = preprocessing_stages(numeric, categorical, medians=medians, one_hot=one_hot)
+    if kind in ("gbt", "rf") and categorical:
+        # trees need a bin per level: count the levels, plus the missing and the unseen one
+        levels = train.agg(*[F.count_distinct(f"`{c}`").alias(c) for c in categorical]).first()
+        params = {"maxBins": max(32, *[levels[c] + 2 for c in categorical]), **params}
     assembler = VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="keep")
     pipe = Pipeline(stages=[*stages, assembler, classifier(kind, label_col=label_col, **params)])
     data = with_model_inputs(train, numeric, categorical).withColumn(
@@ -234,7 +242,7 @@ def baseline_aucs(
         s = score_frame(model, valid.select(label_col, *contract_features), numeric, categorical)
         s = s.select(F.lit(kind).alias("model"), label_col, "score")
         scored = s if scored is None else scored.unionByName(s)
-    return auc_frame(scored, label_col=label_col, by=["model"], group_bound=len(kinds))
+    return auc_frame(scored, label_col=label_col, by=["model"])
 
 
 # --------------------------------------------------------------------------- #
@@ -243,19 +251,29 @@ def baseline_aucs(
 
 
 def save_model(spark: SparkSession, model: PipelineModel, contract: Contract, path: str) -> None:
-    """Write the pipeline and its contract (JSON) under ``path``."""
-    model.write().overwrite().save(f"{path}/pipeline")
-    spark.createDataFrame([(contract.to_json(),)], "contract string").coalesce(1).write.mode(
-        "overwrite"
-    ).text(f"{path}/contract")
+    """Publish the pipeline and its contract (JSON) as the newest version under ``path``."""
+    version = f"{path}/version-{uuid.uuid4().hex[:12]}"
+    model.write().save(f"{version}/pipeline")
+    spark.createDataFrame([(contract.to_json(),)], "contract string").coalesce(1).write.text(f"{version}/contract")
+    # pointers are only ever added, numbered, and written last: a reader sees a
+    # whole version, the old one until the new pointer is there
+    number = max([n for n, _ in _pointers(spark, path)], default=0) + 1
+    spark.createDataFrame([(version,)], "version string").coalesce(1).write.text(f"{path}/pointers/n={number}")
+
+
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    if not path_exists(spark, f"{path}/pointers"):
+        return []
+    return [(int(r["n"]), r["value"]) for r in spark.read.text(f"{path}/pointers").collect()]
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, Contract]:
-    model = PipelineModel.load(f"{path}/pipeline")
-    text = spark.read.text(f"{path}/contract").collect()[0][0]
+    version = max(_pointers(spark, path))[1]
+    model = PipelineModel.load(f"{version}/pipeline")
+    text = spark.read.text(f"{version}/contract").collect()[0][0]
     return model, Contract.from_json(text)
 
 
 def resolve_model(spark: SparkSession, served_path: str, seed_path: str) -> str:
     """The served model when it exists, otherwise the seed."""
-    return served_path if path_exists(spark, f"{served_path}/pipeline") else seed_path
+    return served_path if _pointers(spark, served_path) else seed_path

@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.stats import norm_sf
@@ -32,7 +32,7 @@ def placements(rows: DataFrame, *, label_col: str, score_cols: Sequence[str]) ->
     All scorers go through one ordered pass (``by = scorer``).
     """
     curve = ordered_score_curve(
-        stack_scores(rows, label_col, score_cols), label_col, "score", ["scorer"], group_bound=len(score_cols)
+        stack_scores(rows, label_col, score_cols), label_col, "score", ["scorer"]
     )
     neg_below = F.col("cum_neg") - F.col("neg")
     pos_above = F.col("tot_pos") - F.col("cum_pos")
@@ -72,15 +72,33 @@ def delong_frame(
     pb = pl.filter(F.col("scorer") == "b").select(
         F.col("score").alias("b_v"), F.col("pp").alias("b_pp"), F.col("pn").alias("b_pn")
     )
-    joined = rows.join(pa, rows["_a"] == pa["a_v"]).join(pb, rows["_b"] == pb["b_v"])
+    # equal rows collapse first, so a rounded score shared by many is one row here
+    cells = rows.groupBy("_y", "_a", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    joined = cells.join(pa, cells["_a"] == pa["a_v"]).join(pb, cells["_b"] == pb["b_v"])
     pos, neg = F.col("_y") == 1, F.col("_y") == 0
-    agg = joined.agg(
-        F.count_if(pos).alias("n_pos"),
-        F.count_if(neg).alias("n_neg"),
-        F.avg(F.when(pos, F.col("a_pp"))).alias("auc_champion"),
-        F.avg(F.when(pos, F.col("b_pp"))).alias("auc_challenger"),
-        F.var_samp(F.when(pos, F.col("b_pp") - F.col("a_pp"))).alias("_v10"),
-        F.var_samp(F.when(neg, F.col("b_pn") - F.col("a_pn"))).alias("_v01"),
+
+    def total(cond: Column, value: Column) -> Column:
+        return F.sum(F.when(cond, F.col("_c") * value))
+
+    sums = joined.agg(
+        F.coalesce(total(pos, F.lit(1)), F.lit(0)).alias("n_pos"),
+        F.coalesce(total(neg, F.lit(1)), F.lit(0)).alias("n_neg"),
+        total(pos, F.col("a_pp")).alias("_a1"),
+        total(pos, F.col("b_pp")).alias("_b1"),
+        *[total(c, (F.col(f"b_{k}") - F.col(f"a_{k}")) ** p).alias(f"_{k}{p}") for c, k in ((pos, "pp"), (neg, "pn")) for p in (1, 2)],
+    )
+
+    def sample_variance(k: str, n: str) -> Column:
+        spread = F.col(f"_{k}2") - F.col(f"_{k}1") * F.col(f"_{k}1") / F.col(n)
+        return F.try_divide(F.greatest(spread, F.lit(0.0)), F.col(n) - 1)
+
+    agg = sums.select(
+        "n_pos",
+        "n_neg",
+        F.try_divide("_a1", "n_pos").alias("auc_champion"),
+        F.try_divide("_b1", "n_pos").alias("auc_challenger"),
+        sample_variance("pp", "n_pos").alias("_v10"),
+        sample_variance("pn", "n_neg").alias("_v01"),
     )
     se = F.sqrt(F.greatest(F.col("_v10") / F.col("n_pos") + F.col("_v01") / F.col("n_neg"), F.lit(0.0)))
     diff = F.col("auc_challenger") - F.col("auc_champion")
@@ -88,8 +106,8 @@ def delong_frame(
     enough = (F.col("n_pos") >= 2) & (F.col("n_neg") >= 2)
     checked = F.when(
         ~both_classes,
-        F.raise_error(F.lit("the test set needs at least one positive and one negative label")),
-    ).when(~enough, F.raise_error(F.lit("the DeLong test needs at least two positives and two negatives")))
+        F.raise_error(F.lit("no comparison without both a positive and a negative label")),
+    ).when(~enough, F.raise_error(F.lit("no variance with fewer than two positives or two negatives")))
     out = agg.select(
         "n_pos",
         "n_neg",

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.ordered import rows_at_ranks
+from vigil.functions.ordered import at_or_before, rows_at_ranks
 
 TRAIN_FRAC = 0.70
 TEST_FRAC = 0.15
@@ -35,21 +35,15 @@ class SplitCuts:
 
 
 def _key_at_or_before(time_col: str, id_col: str, key: tuple | None) -> Column:
-    """Predicate ``(time, id) <= key`` in lexicographic order (nulls sort last)."""
-    if key is None:
-        return F.lit(False)
-    t, i = key
-    tc, ic = F.col(time_col), F.col(id_col)
-    return tc.isNotNull() & ((tc < F.lit(t)) | ((tc == F.lit(t)) & (ic <= F.lit(i))))
+    """Rows up to and including ``key`` in ``(time, id)`` order, NULLs last."""
+    return F.lit(False) if key is None else at_or_before([time_col, id_col], key)
 
 
 def _check(df: DataFrame, time_col: str, train_frac: float, test_frac: float) -> None:
     if time_col not in df.columns:
-        raise ValueError(f"Missing time column {time_col!r}; cannot split chronologically")
-    if train_frac + test_frac >= 1.0:
-        raise ValueError("train_frac + test_frac must be < 1.0 to leave a production stream")
-    if train_frac < 0 or test_frac < 0:
-        raise ValueError("fractions must be non-negative")
+        raise ValueError(f"no column {time_col!r} to order the rows by")
+    if min(train_frac, test_frac) < 0 or train_frac + test_frac >= 1.0:
+        raise ValueError(f"slice shares {train_frac} and {test_frac} must not be negative and must leave rows for the stream")
 
 
 def split_cuts(
@@ -114,10 +108,12 @@ def temporal_split(
     )
     in_train = _key_at_or_before(time_col, id_col, cuts.key_test)
     in_first_two = _key_at_or_before(time_col, id_col, cuts.key_stream)
+    # a predicate that is NULL for a row doesn't hold, so its negation does
+    after = lambda pred: ~F.coalesce(pred, F.lit(False))
     return (
         df.filter(in_train),
-        df.filter(~in_train & in_first_two),
-        df.filter(~in_first_two),
+        df.filter(after(in_train) & in_first_two),
+        df.filter(after(in_first_two)),
     )
 
 

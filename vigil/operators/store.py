@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.functions.ordered import rows_at_ranks
+from vigil.functions.ordered import at_or_after, at_or_before, rows_at_ranks
 from vigil.session import path_exists
 
 ID = "TransactionID"
+#: Where streaming batches note their place in the append order (hidden from scans).
+LOG = "_batches"
 STORE_COLUMNS = ("TransactionID", "score", "decision")
 STORE_SCHEMA = T.StructType(
     [
@@ -41,17 +43,23 @@ def read_store(spark: SparkSession, store_path: str) -> DataFrame:
 
 
 def next_batch_id(spark: SparkSession, store_path: str) -> int:
-    """One past the newest ``batch_id`` (partition values only, no data scan)."""
+    """One past the newest ``batch_id``, those of streaming batches under way included."""
     if not path_exists(spark, store_path):
         return 0
-    row = read_store(spark, store_path).agg(F.max("batch_id").alias("m")).collect()[0]
-    return 0 if row["m"] is None else int(row["m"]) + 1
+    newest = read_store(spark, store_path).agg(F.max("batch_id").alias("m")).collect()[0]["m"]
+    log = f"{store_path}/{LOG}"
+    taken = spark.read.parquet(log).agg(F.max("store_batch").alias("m")).collect()[0]["m"] if path_exists(spark, log) else None
+    return max(-1 if newest is None else int(newest), -1 if taken is None else int(taken)) + 1
 
 
 def append_scores(
     scored: DataFrame, store_path: str, *, batch_id: int | None = None
 ) -> int:
-    """Append ``(TransactionID, score, decision)`` rows; returns rows appended."""
+    """Append ``(TransactionID, score, decision)`` rows as one batch; returns rows appended.
+
+    Batches are numbered in the order of the appends, whoever makes them. A
+    ``batch_id`` that is given again replaces that batch's rows.
+    """
     spark = scored.sparkSession
     missing = [c for c in STORE_COLUMNS if c not in scored.columns]
     if missing:
@@ -62,11 +70,10 @@ def append_scores(
         F.col("score").cast("double").alias("score"),
         F.col("decision").cast("string").alias("decision"),
         F.monotonically_increasing_id().alias("seq"),
-        F.lit(b).cast("long").alias("batch_id"),
     )
-    rows.write.mode("append").partitionBy("batch_id").parquet(store_path)
-    # Count what landed in this batch's partition (pruned read of one folder).
-    return read_store(spark, store_path).filter(F.col("batch_id") == b).count()
+    folder = f"{store_path}/batch_id={b}"
+    rows.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder).count()
 
 
 def latest_scores(store: DataFrame, *, id_col: str = ID) -> DataFrame:
@@ -126,26 +133,13 @@ def first_rows(
     # largest is the (total - n + 1)-th smallest); plain column names keep
     # the shuffle-free selection path available.
     total, found = rows_at_ranks(
-        df.select(*order), order, lambda total: [total - n + 1 if descending else n]
+        df.select(*order), order, lambda total: [total - n + 1 if descending else n], cache=True
     )
     if total <= n:  # no more rows than n: everything
         return df
     row = found[total - n + 1 if descending else n]
     key = [row[c] for c in order]
-    return df.filter(_lexi_cmp(order, key, descending))
-
-
-def _lexi_cmp(cols: Sequence[str], key: Sequence, descending: bool):
-    """``cols`` at or before ``key`` in lexicographic (asc or desc) order."""
-    pred = None
-    for i in range(len(cols) - 1, -1, -1):
-        c, v = F.col(cols[i]), F.lit(key[i])
-        strict = (c > v) if descending else (c < v)
-        if pred is None:
-            pred = (c >= v) if descending else (c <= v)
-        else:
-            pred = strict | ((c == v) & pred)
-    return F.coalesce(pred, F.lit(False))
+    return df.filter((at_or_after if descending else at_or_before)(order, key))
 
 
 def next_chunk(

@@ -157,7 +157,7 @@ def q_auc(spark: SparkSession, sf: str) -> DataFrame:
         "slice", td.LABEL, td.champion_score().alias("a"), td.challenger_score().alias("b")
     )
     long = evaluate.stack_scores(s, td.LABEL, ["a", "b"], by=["slice"])
-    auc = evaluate.auc_frame(long, by=["slice", "scorer"], group_bound=6)
+    auc = evaluate.auc_frame(long, by=["slice", "scorer"])
     return auc.groupBy("slice").agg(
         F.first("n_pos").alias("n_pos"),
         F.first("n_neg").alias("n_neg"),
@@ -973,7 +973,7 @@ def q_stream_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
     stream_rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
     source = work_path(spark, "replay")
-    st_scoring.write_replay_files(stream_rows, source, files=4)
+    stream_rows.write.parquet(source)
     store_path = work_path(spark, "stream-store")
     st_scoring.run_scoring_stream(
         spark,
@@ -1036,7 +1036,7 @@ def q_seed(spark: SparkSession, sf: str) -> DataFrame:
 
     t = tx(spark, sf)
     trained = training.seed_champion(
-        t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params={"maxIter": 20}, model_path=work_path(spark, "seed")
+        t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, model_path=work_path(spark, "seed")
     )
     return _trained_summary(spark, trained)
 
@@ -1047,7 +1047,7 @@ def q_challenger(spark: SparkSession, sf: str) -> DataFrame:
 
     c, _test, _stream = _corpus(spark, sf)
     trained = training.train_challenger(
-        c, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params={"maxIter": 20}
+        c, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES
     )
     return _trained_summary(spark, trained)
 
@@ -1178,7 +1178,6 @@ _M12_CTE = (
 ref AS (SELECT {_FEATS}, {CHAMPION_SQL} AS score FROM sliced WHERE slice = 'train'),
 cur AS (
   SELECT {_FEATS}, {CHAMPION_SQL} AS score FROM sliced WHERE slice = 'stream'
-  ORDER BY TransactionDT, TransactionID LIMIT 500
 )"""
     + _KS_PART
     + _CHI_CTE
@@ -1190,7 +1189,8 @@ cur AS (
     "m12_monitoring_pass",
     f"WITH {_M12_CTE}" + _DECISION_SQL.replace(
         "FROM metrics",
-        ", (SELECT count(*) FROM cur) AS n_scored, (SELECT count(*) FROM cur) AS n_current FROM metrics",
+        ", (SELECT count(*) FROM cur) AS n_scored, (SELECT count(*) FROM cur) AS n_current, "
+        "(SELECT count(*) FROM ref) AS n_reference, alarm AS triggered_retraining FROM metrics",
     ),
 )
 def q_monitoring_pass(spark: SparkSession, sf: str) -> DataFrame:
@@ -1200,18 +1200,18 @@ def q_monitoring_pass(spark: SparkSession, sf: str) -> DataFrame:
         tx(spark, sf),
         _champion_boundary(),
         work_path(spark, "monitor-store"),
-        chunk_rows=500,
-        window_rows=None,
-        reference_max_rows=None,
+        report_path=work_path(spark, "monitor-report"),
+        on_alarm=lambda: None,
         cuts=cuts(spark, sf),
     )
     d = out.decision
     row = [(d["n_features"], d["n_drifted"], d["feature_fraction"], d["feature_alarm"], d["score_distance"],
-            d["score_alarm"], d["alarm"], out.n_scored, out.n_current)]
+            d["score_alarm"], d["alarm"], out.n_scored, out.n_current, out.n_reference, out.triggered_retraining)]
     return spark.createDataFrame(
         row,
         "n_features long, n_drifted long, feature_fraction double, feature_alarm boolean, score_distance double, "
-        "score_alarm boolean, alarm boolean, n_scored long, n_current long",
+        "score_alarm boolean, alarm boolean, n_scored long, n_current long, "
+        "n_reference long, triggered_retraining boolean",
     )
 
 
@@ -1225,7 +1225,7 @@ def q_retraining_pass(spark: SparkSession, sf: str) -> DataFrame:
     from vigil.plans import training
 
     t = tx(spark, sf)
-    seed = training.seed_champion(t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params={"maxIter": 10})
+    seed = training.seed_champion(t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES)
     store_path = work_path(spark, "retrain-store")
     store.append_scores(scored_store(spark, sf), store_path)
     out = training.retraining_pass(
@@ -1237,7 +1237,6 @@ def q_retraining_pass(spark: SparkSession, sf: str) -> DataFrame:
         served_path=work_path(spark, "served"),
         volume_threshold=200,
         reveal_lag=_LAG,
-        params={"maxIter": 10},
     )
     d = out.decision
     row = [(

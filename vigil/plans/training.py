@@ -15,11 +15,12 @@ from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from vigil.operators import corpus, evaluate, leaderboard, models, promote, split, store, trigger
 from vigil.operators.contract import Contract, ScoringBoundary
+from vigil.session import written
 
 
 @dataclass(frozen=True)
@@ -111,7 +112,7 @@ def model_boundary(model: PipelineModel, contract: Contract, *, require_complete
 
 @dataclass(frozen=True)
 class RetrainingOutcome:
-    trigger: trigger.RetrainTrigger
+    trigger: Row
     corpus_size: int
     shared_test_size: int
     decision: promote.PromotionDecision | None
@@ -142,18 +143,18 @@ def retraining_pass(
     st = store.read_store(spark, store_path)
     store_rows = st.count()
     last = trigger.last_store_row_count(trigger.read_state(spark, state_path))
-    trig = trigger.should_retrain(
-        scored_volume_since_last=max(store_rows - last, 0),
-        volume_threshold=volume_threshold,
-        drift_alarm=drift_alarm,
+    trig = trigger.retrain_decision(
+        spark, max(store_rows - last, 0), volume_threshold=volume_threshold, drift_alarm=drift_alarm
     )
     if not trig.retrain:
         return RetrainingOutcome(trig, 0, 0, None, False)
     features = list(champion_contract.feature_columns)
     categorical = list(champion_contract.categorical_columns)
-    corpus_df, shared_test, _stream = corpus.prepare_retraining_inputs(
+    revealed, shared_test, _stream = corpus.prepare_retraining_inputs(
         transactions, st, reveal_lag=reveal_lag, now=now, id_col=id_col, label_col=label_col
     )
+    # split, fit, score and count all read the corpus: write it once
+    corpus_df = written(revealed, "corpus")
     challenger = train_challenger(
         corpus_df, features, categorical, cost_ratio=cost_ratio, label_col=label_col, kind=kind, params=params
     )

@@ -12,7 +12,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -59,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="vigil-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -93,9 +95,11 @@ def ship_package(spark: SparkSession) -> None:
     sc._vigil_shipped = True
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few driver-side path checks."""
-    return path[len("file:"):] if path.startswith("file:") else path
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -114,9 +118,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 __all__ = [
     "build_session",
     "ensure_checkpoint_dir",
-    "local_path",
     "path_exists",
     "ship_package",
     "shuffle_partitions",
     "work_path",
+    "written",
 ]

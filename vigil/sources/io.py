@@ -13,14 +13,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.errors import ContractError
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Header CSV with a declared schema (malformed fields -> NULL)."""
+    """Header CSV with a declared schema, columns matched by name.
+
+    The header may list the columns in any order; a missing or extra column
+    raises :class:`ContractError`. Malformed fields come out NULL.
+    """
+    declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    header = spark.read.option("header", True).csv(path).columns
+    absent, extra = [c for c in declared.names if c not in header], [c for c in header if c not in declared.names]
+    if absent or extra:
+        raise ContractError(f"CSV header of {path}: columns absent {absent}, not declared {extra}")
     return (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType([declared[c] for c in header]))
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .csv(path)
+        .select(*[f"`{c}`" for c in declared.names])
     )
 
 
@@ -55,12 +68,14 @@ def parse_json_payloads(
     schema: T.StructType,
     *,
     keep: Sequence[str] = (),
+    findings: bool = False,
 ) -> DataFrame:
     """JSON objects -> typed columns plus contract findings.
 
     Adds ``unknown_keys`` (keys outside the schema, ``; ``-joined), and
     ``bad_values`` (fields present in the text but not parsable to the
-    declared type). Missing fields simply come out NULL.
+    declared type). With ``findings`` it also adds ``missing_keys`` (schema
+    fields the text lacks) and ``malformed`` (text that is no JSON object).
     """
     names = [f.name for f in schema.fields]
     parsed = F.from_json(F.col(json_col), schema)
@@ -80,6 +95,14 @@ def parse_json_payloads(
         *[parsed[n].alias(n) for n in names],
         F.concat_ws("; ", F.array_sort(unknown)).alias("unknown_keys"),
         F.concat_ws("; ", bad).alias("bad_values"),
+        *(
+            [
+                F.concat_ws("; ", F.array_except(F.array(*[F.lit(n) for n in names]), keys)).alias("missing_keys"),
+                (F.col(json_col).isNotNull() & keys.isNull()).alias("malformed"),
+            ]
+            if findings
+            else []
+        ),
     )
 
 

@@ -1,12 +1,12 @@
-"""ST1-ST3, ST5: incremental scoring on Structured Streaming.
+"""ST1, ST3, ST5: incremental scoring on Structured Streaming.
 
-A file source replays the production slice (``maxFilesPerTrigger`` sets the
+A file source feeds the production slice (``maxFilesPerTrigger`` sets the
 chunk size); each micro-batch is quarantined (V10), scored (stateless) and
-appended to the score store with its micro-batch id as ``batch_id``. The
-query checkpoint replaces the batch-mode anti-join (J3): a file is processed
-once. The sink is idempotent — a replayed micro-batch whose ``batch_id``
-partition already exists is skipped — so a restart after a failure between
-the store write and the checkpoint commit does not duplicate rows.
+appended to the score store in the store's own append order. The query
+checkpoint replaces the batch-mode anti-join (J3): a file is processed once.
+The sink is idempotent: a micro-batch replayed after a failure takes the same
+place in the store and replaces its rows, and one that was committed is not
+written again.
 """
 
 from __future__ import annotations
@@ -23,34 +23,34 @@ from vigil.operators import store, trigger
 from vigil.session import path_exists
 
 
-def write_replay_files(
-    stream_slice: DataFrame,
-    out_dir: str,
-    *,
-    files: int,
-    features: Sequence[str] | None = None,
-    time_col: str = "TransactionDT",
-    id_col: str = "TransactionID",
-) -> None:
-    """ST2: the slice as ``files`` Parquet files, each a contiguous time range.
+class _BatchLog:
+    """Which store batch a query's micro-batch got, and whether it is whole.
 
-    With ``features`` set, only complete rows over those columns are written
-    (P8/P9, the replay's complete-row rule). Range partitioning keeps each
-    file a time range; rows inside a file are sorted by ``(time, id)``.
+    Micro-batch numbers start at 0 for every query, so a note is kept per query
+    id and micro-batch. The place in the store's append order is noted before
+    the rows are written and the commit after them; a replay before the commit
+    takes the same place and replaces what was there. One writer at a time.
     """
-    df = stream_slice
-    if features:
-        df = df.na.drop("any", subset=list(features))
-    (
-        df.repartitionByRange(files, time_col, id_col)
-        .sortWithinPartitions(time_col, id_col)
-        .write.mode("overwrite")
-        .parquet(out_dir)
-    )
 
+    def __init__(self, spark: SparkSession, store_path: str, batch_id: int) -> None:
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+        self.spark, self.store_path = spark, store_path
+        self.query = query
+        self.note = f"{store_path}/{store.LOG}/query={query}/micro_batch={batch_id}"
+        self.done = f"{store_path}/_commits/query={query}/micro_batch={batch_id}"
+
+    def committed(self) -> bool:
+        return path_exists(self.spark, f"{self.done}/_SUCCESS")
 
-def _batch_written(spark: SparkSession, store_path: str, batch_id: int) -> bool:
-    return path_exists(spark, f"{store_path}/batch_id={batch_id}")
+    def place(self) -> int:
+        if path_exists(self.spark, f"{self.note}/_SUCCESS"):
+            return int(self.spark.read.parquet(self.note).first()["store_batch"])
+        number = store.next_batch_id(self.spark, self.store_path)
+        self.spark.createDataFrame([(number,)], "store_batch long").write.mode("overwrite").parquet(self.note)
+        return number
+
+    def commit(self, rows: int) -> None:
+        self.spark.createDataFrame([(rows,)], "n_rows long").write.mode("overwrite").parquet(self.done)
 
 
 def scoring_batch_sink(
@@ -64,12 +64,14 @@ def scoring_batch_sink(
     triggers_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: quarantine, score, append, volume check."""
-    features = list(boundary.feature_columns)
+    features = list(boundary.contract.feature_columns)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        if _batch_written(spark, store_path, batch_id):
-            return  # replayed micro-batch: already in the store
+        log = _BatchLog(spark, store_path, batch_id)
+        if log.committed():
+            return
+        place = log.place()
         batch = batch.persist()
         try:
             rows = batch.select(id_col, *features)
@@ -77,11 +79,9 @@ def scoring_batch_sink(
                 rows, boundary.contract, require_complete=boundary.require_complete
             )
             if quarantine_path is not None:
-                rejected.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("append").parquet(
-                    quarantine_path
-                )
+                rejected.write.mode("overwrite").parquet(f"{quarantine_path}/query={log.query}/batch_id={batch_id}")
             scored = boundary.score(accepted, keep=[id_col], validate_rows=False)
-            store.append_scores(scored, store_path, batch_id=batch_id)
+            appended = store.append_scores(scored, store_path, batch_id=place)
         finally:
             batch.unpersist()
         if state_path is not None and triggers_path is not None:
@@ -90,9 +90,10 @@ def scoring_batch_sink(
                 trigger.read_state(spark, state_path)
             )
             if volume >= volume_threshold:
-                spark.createDataFrame(
-                    [(int(batch_id), int(volume))], "batch_id long, volume long"
-                ).write.mode("append").parquet(triggers_path)
+                spark.createDataFrame([(int(volume),)], "volume long").write.mode("overwrite").parquet(
+                    f"{triggers_path}/query={log.query}/batch_id={batch_id}"
+                )
+        log.commit(appended)
 
     return sink
 
