@@ -20,16 +20,6 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
-def nan_to_null(df: DataFrame) -> DataFrame:
-    """Normalise NaN to NULL in every floating column (ingest-time rule)."""
-    out = df
-    for f in df.schema.fields:
-        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-            c = F.col(f"`{f.name}`")
-            out = out.withColumn(f.name, F.when(F.isnan(c), F.lit(None).cast(f.dataType)).otherwise(c))
-    return out
-
-
 def is_numeric_type(dtype: T.DataType) -> bool:
     """Numeric and not boolean (Spark's BooleanType is not a NumericType anyway)."""
     return isinstance(dtype, T.NumericType) and not isinstance(dtype, T.BooleanType)

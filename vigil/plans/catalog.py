@@ -1268,3 +1268,118 @@ def q_raw_text_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     raw = io.read_csv_text(spark, path, t.columns)  # every column as text
     tagged = contract.tag_rows(raw, _CONTRACT)  # try_cast checks for numeric contract columns
     return tagged.select(F.col(td.ID).cast("long").alias(td.ID), "accepted", "reasons")
+
+
+# --------------------------------------------------------------------------- #
+# checks of whole flows: CSV score job, shared store, NULL times, rejected scores
+# --------------------------------------------------------------------------- #
+
+_BAD_AMOUNT = "CASE WHEN TransactionID % 97 = 0 THEN 'n/a' WHEN TransactionID % 89 = 0 THEN 'NaN' END"
+
+
+@register(
+    "s4_csv_score_job",
+    f"""WITH {SLICED_CTE}, r AS (
+  SELECT TransactionID, {CHAMPION_SQL} AS score,
+         TransactionID % 97 <> 0 AND TransactionID % 89 <> 0 AND amount IS NOT NULL
+         {''.join(f' AND {c} IS NOT NULL' for c in td.CONTRACT_FEATURES)} AS ok
+  FROM sliced WHERE slice = 'stream')
+SELECT TransactionID, score, CASE WHEN score >= 0.5 THEN 'block' ELSE 'allow' END AS decision FROM r WHERE ok""",
+)
+def q_csv_score_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw CSV with its columns in another order and bad amounts -> scored CSV and store."""
+    from vigil.plans.scoring_job import score_csv
+
+    rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
+    bad = F.expr(_BAD_AMOUNT)
+    text = rows.select(*reversed([F.col(c).cast("string").alias(c) for c in rows.columns]))
+    text = text.withColumn("amount", F.coalesce(bad, F.col("amount")))
+    source, store_path = work_path(spark, "job-in"), work_path(spark, "job-store")
+    io.write_csv(text, source)
+    score_csv(spark, source, work_path(spark, "job-out"), _champion_boundary(require_complete=True), store_path)
+    return store.read_store(spark, store_path).select(td.ID, "score", "decision")
+
+
+@register(
+    "st3_shared_store",
+    f"""WITH {SLICED_CTE}
+SELECT TransactionID, {CHAMPION_SQL} AS score, 2 AS n_appends, 2 AS n_batches FROM sliced WHERE slice = 'stream'""",
+)
+def q_shared_store(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch append, then the same rows by a stream, and its last micro-batch replayed, in one store."""
+    from vigil.streaming import scoring as st_scoring
+
+    boundary = _champion_boundary()
+    rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
+    source, path = work_path(spark, "shared-in"), work_path(spark, "shared-store")
+    rows.write.parquet(source)
+    store.append_scores(boundary.score(rows, keep=[td.ID], validate_rows=False), path)
+    for _ in range(2):  # the second start finds nothing new
+        st_scoring.run_scoring_stream(
+            spark, source, rows.schema, boundary, path, f"{path}-checkpoint", max_files_per_trigger=1000
+        )
+    appends = store.read_store(spark, path)
+    counts = appends.groupBy(td.ID).agg(F.count(F.lit(1)).alias("n_appends"), F.count_distinct("batch_id").alias("n_batches"))
+    return store.latest_scores(appends).select(td.ID, "score").join(counts, td.ID)
+
+
+@register(
+    "w1_null_times",
+    f"""WITH {TX_CTE}, t AS (
+  SELECT TransactionID, CASE WHEN TransactionID % 10 < 3 THEN NULL ELSE TransactionDT END AS TransactionDT FROM tx
+), n AS (SELECT count(*) AS n FROM t), r AS (
+  SELECT *, row_number() OVER (ORDER BY TransactionDT NULLS LAST, TransactionID) AS k FROM t
+)
+SELECT CASE WHEN k <= round_even(n * 0.7, 0) THEN 'train' WHEN k <= round_even(n * (0.7 + 0.15), 0) THEN 'test' ELSE 'stream' END AS slice,
+       count(*) AS n_rows, count(TransactionDT) AS n_times
+FROM r, n GROUP BY 1""",
+)
+def q_null_times(spark: SparkSession, sf: str) -> DataFrame:
+    """The split where three rows in ten have no time: those rows come last and none is lost."""
+    rows = tx(spark, sf).select(
+        td.ID, F.when(F.col(td.ID) % 10 >= 3, F.col(td.TIME)).alias(td.TIME)
+    )
+    return split.with_slice(rows).groupBy("slice").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(td.TIME).alias("n_times")
+    )
+
+
+@register(
+    "a4_rejected_scores",
+    f"""WITH {SLICED_CTE}
+SELECT 'score' AS scorer, count(*) FILTER (TransactionID % 13 < 2) AS n_rejected FROM sliced""",
+)
+def q_rejected_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores that can't be ranked, NULL or NaN, are counted; ranking them raises."""
+    score = F.when(F.col(td.ID) % 13 == 0, F.lit(None).cast("double")).when(
+        F.col(td.ID) % 13 == 1, F.lit(float("nan"))
+    ).otherwise(td.champion_score().cast("double"))
+    return evaluate.rejected_scores(sliced(spark, sf).select(score.alias("score")), ["score"])
+
+
+@register(
+    "a18_volume_trigger",
+    f"""WITH {STORE_CTE}, v AS (SELECT count(*) AS n, count(*) // 3 AS seen FROM store)
+SELECT n - seen AS volume_since_last, seen AS last_count, n - seen >= 5000 AS retrain FROM v""",
+)
+def q_volume_trigger(spark: SparkSession, sf: str) -> DataFrame:
+    """Volume since the newest checkpoint row of the state table."""
+    st, state = scored_store(spark, sf), work_path(spark, "retrain-state")
+    total = st.count()
+    trigger.write_state(spark, state, store_row_count=total // 3)
+    volume = trigger.accumulated_volume(st, trigger.read_state(spark, state))
+    row = trigger.retrain_decision(spark, volume)
+    return spark.createDataFrame(
+        [(row.volume_since_last, total // 3, row.retrain)], "volume_since_last long, last_count long, retrain boolean"
+    )
+
+
+@register(
+    "p5_features_and_label",
+    f"""WITH {TX_CTE}
+SELECT isFraud, count(*) AS n_rows, round(sum(amount), 2) AS amount FROM tx GROUP BY 1""",
+)
+def q_features_and_label(spark: SparkSession, sf: str) -> DataFrame:
+    """Features and label stay on their rows; absent columns to drop don't matter."""
+    features, label = profile.prepare_data(profile.drop_present(tx(spark, sf), [td.TIME, "not there"]))
+    return features.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("amount"), 2).alias("amount"))
