@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def every(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names hold."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import ascii_lower, located, materialize
+from vigil.llm.common import ascii_lower, every, located, materialize
 from vigil.session import work_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -86,7 +86,7 @@ def exact_dedup(
     )
     rows = materialize(texts.select("digest", "id", "_file", "_row"), "dedup-rows")
     if not rows.inputFiles():
-        return _decided(rows, spark_empty_state(rows))
+        return _decided(rows, _empty_state(rows))
     state = _keyed_state(rows)
 
     # Full bytes of every hit: the rows of a digest are equal if the least and
@@ -114,7 +114,7 @@ def exact_dedup(
     return _decided(plain, state).unionByName(_result(apart))
 
 
-def spark_empty_state(rows: DataFrame) -> DataFrame:
+def _empty_state(rows: DataFrame) -> DataFrame:
     return rows.groupBy("digest").agg(
         F.max(F.struct("id", "_file", "_row")).alias("keep"), F.count(F.lit(1)).alias("n")
     )
@@ -143,13 +143,12 @@ def keep_rows(docs: DataFrame, **options) -> DataFrame:
     except Exception:  # not a scan of files: give its rows a place first
         docs = materialize(docs, "dedup-input")
     dropped = exact_dedup(docs, **options).filter(~F.col("kept")).select("_file", "_row")
-    columns = docs.columns
     rows = docs.select(
-        *columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
+        *every(docs), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
     )
     return rows.join(
         dropped, (rows["__file"] == dropped["_file"]) & (rows["__row"] == dropped["_row"]), "left_anti"
-    ).select(*columns)
+    ).select(*every(docs))
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import textkit
-from vigil.llm.common import located, materialize, small_batches
+from vigil.llm.common import every, located, materialize, small_batches
 from vigil.llm.graph import components
 from vigil.session import ship_package
 
@@ -317,11 +317,11 @@ def keep_rows(docs: DataFrame, **options) -> DataFrame:
         docs = materialize(docs, "near-input")
     dropped = near_dedup(docs, **options).filter(~F.col("kept")).select("_file", "_row")
     rows = docs.select(
-        *docs.columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
+        *every(docs), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
     )
     return rows.join(
         dropped, (rows["__file"] == dropped["_file"]) & (rows["__row"] == dropped["_row"]), "left_anti"
-    ).select(*docs.columns)
+    ).select(*every(docs))
 
 
 def query(docs: DataFrame) -> DataFrame:

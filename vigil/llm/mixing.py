@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import WORD, materialize, running_rank
+from vigil.llm.common import WORD, every, materialize, running_rank
 
 #: Bits of the document hash, and bits resolved per histogram level.
 HASH_BITS, LEVEL_BITS = 60, 12
@@ -129,7 +129,7 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     names |= {k: v for k, v in options.items() if k in names}
     limits = materialize(mix(docs, **options).select("s_null", "s", "full", "below").distinct(), "mix-applied")
     keyed = docs.select(
-        F.struct(*docs.columns).alias("row"),
+        F.struct(*every(docs)).alias("row"),
         F.col(names["source_col"]).isNull().alias("s_null"),
         F.coalesce(F.col(names["source_col"]).cast("string"), F.lit("")).alias("s"),
         document_hash(F.col(names["id_col"])).alias("h"),

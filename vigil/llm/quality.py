@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import textkit
-from vigil.llm.common import materialize, small_batches
+from vigil.llm.common import every, materialize, small_batches
 from vigil.session import ship_package
 
 #: Hashed feature space; its weights are all that is sent to the executors.
@@ -233,7 +233,7 @@ def judge(docs: DataFrame, model: Ordinal | None, *, text_col: str = "text", lea
 def keep_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The accepted rows of ``docs``, all columns as they were."""
     judged = judge(docs, fit(docs, grade_column(labels)), prefix="_quality_")
-    return judged.filter(F.col("_quality_accepted")).select(*docs.columns)
+    return judged.filter(F.col("_quality_accepted")).select(*every(docs))
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:

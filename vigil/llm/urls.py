@@ -25,6 +25,8 @@ RULES = (
 )
 ORDER = 4
 START, END = "\x02", "\x03"
+#: One URL in so many is held out for calibration.
+HELD = 5
 #: Scores are calibrated in steps of 1/STEPS between -LIMIT and LIMIT.
 STEPS, LIMIT = 200, 8
 
@@ -129,7 +131,7 @@ def judge_urls(
     )
     urls = materialize(
         # one URL in five is held out for calibration, the same wherever it recurs
-        urls.withColumn("held", F.pmod(F.xxhash64("chars"), F.lit(5)) == 0), "urls"
+        urls.withColumn("held", F.conv(F.substring(F.md5("chars"), 1, 8), 16, 10).cast("long") % HELD == 0), "urls"
     )
     known = {r["label"] for r in urls.filter("label is not null").select("label").distinct().collect()}
     if known < {"allow", "block"}:
@@ -152,4 +154,66 @@ def judge_urls(
 
 
 def query(pages: DataFrame) -> DataFrame:
-    return judge_urls(pages).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "score")
+    return judge_urls(pages).select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+def _oracle() -> str:
+    """The same models as one SQL statement, an order of the models per step."""
+    fits = "\n".join(
+        f"WHEN (host = '{rule[: rule.index('/')]}' OR ends_with(host, '.{rule[: rule.index('/')]}')) "
+        f"AND starts_with(path, '{rule[rule.index('/'):]}') THEN ['{rule}', '{verdict}']"
+        for verdict, rule in sorted(RULES, key=lambda r: -len(r[1]))
+    )
+    steps = []
+    for m in range(ORDER + 1):
+        low = f"JOIN p{m - 1} AS low ON right(c.g, {m}) = low.g" if m else "CROSS JOIN (SELECT 1 / 256.0::DOUBLE AS la, 1 / 256.0::DOUBLE AS lr) AS low"
+        steps.append(f"""c{m} AS (SELECT right(gram, {m + 1}) AS g, sum(a) AS a, sum(r) AS r FROM grams GROUP BY 1),
+x{m} AS (SELECT left(g, {m}) AS c, sum(a) AS na, sum(r) AS nr, count(*) FILTER (a > 0) AS ta, count(*) FILTER (r > 0) AS tr FROM c{m} GROUP BY 1),
+p{m} AS (SELECT c.g, CASE WHEN na > 0 THEN (a + ta * la) / (na + ta) ELSE la END AS la,
+  CASE WHEN nr > 0 THEN (r + tr * lr) / (nr + tr) ELSE lr END AS lr
+  FROM c{m} AS c JOIN x{m} AS x ON left(c.g, {m}) = x.c {low})""")
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH rest AS (
+  SELECT row_number() OVER () AS n, page_id,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT n, page_id, {lower.format("regexp_extract(rest, '^([^/?#]*)', 1)")} AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest
+), ruled AS (
+  SELECT *, CASE {fits} END AS fit,
+         repeat(chr(2), {ORDER}) || lower(host || path) || chr(3) AS chars FROM split
+), urls AS (
+  SELECT *, fit[1] AS rule, fit[2] AS label, ('0x' || substr(md5(chars), 1, 8))::BIGINT % {HELD} = 0 AS held FROM ruled
+), known AS (
+  SELECT count(DISTINCT label) = 2 AS two_classes FROM urls
+), spots AS (
+  SELECT n, label, held, substr(chars, i, {ORDER + 1}) AS gram
+  FROM (SELECT *, unnest(range(1, length(chars) - {ORDER} + 1)) AS i FROM urls)
+), grams AS (
+  SELECT gram, count(*) FILTER (label = 'allow' AND NOT held) AS a, count(*) FILTER (label = 'block' AND NOT held) AS r
+  FROM spots GROUP BY 1
+), {", ".join(steps)}, scores AS (
+  SELECT n, avg(ln(la) - ln(lr)) AS score FROM spots JOIN p{ORDER} ON gram = g WHERE label IS NULL OR held GROUP BY 1
+), cells AS (
+  SELECT round(greatest(-{LIMIT}, least({LIMIT}, score)) * {STEPS})::INT AS cell,
+         count(*) FILTER (label = 'allow') AS a, count(*) FILTER (label = 'block') AS r
+  FROM scores JOIN urls USING (n) WHERE label IS NOT NULL GROUP BY 1
+  UNION ALL SELECT {LIMIT * STEPS + 1}, 0, 0
+), sums AS (
+  SELECT cell, coalesce(lag(cell) OVER w, {-LIMIT * STEPS}) AS before, sum(a) OVER () AS accepted, sum(r) OVER () AS rejected,
+         sum(a) OVER w - a AS left_a, sum(r) OVER w - r AS left_r
+  FROM cells WINDOW w AS (ORDER BY cell)
+), best AS (
+  SELECT CASE WHEN accepted = 0 OR rejected = 0 THEN 0.0::DOUBLE
+              ELSE (least(cell, {LIMIT * STEPS}) + before) / 2.0::DOUBLE / {STEPS} END AS cut
+  FROM sums ORDER BY (accepted - left_a) / accepted + left_r / rejected DESC, cell LIMIT 1
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN label IS NOT NULL THEN label WHEN NOT two_classes THEN 'allow'
+            WHEN score >= (SELECT cut FROM best) THEN 'allow' ELSE 'block' END AS verdict
+FROM urls CROSS JOIN known LEFT JOIN scores USING (n)
+"""
+
+
+ORACLE_SQL = _oracle()
