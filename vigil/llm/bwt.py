@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import textkit
-from vigil.llm.common import drop_table, located, materialize, release, small_batches
+from vigil.llm.common import drop_tables, located, materialize, release, small_batches
 from vigil.session import ship_package
 
 LENGTH, SEED = 100, 32
@@ -396,7 +396,7 @@ def remove_repeats(
     )
     release(spark)
     hits = materialize(anchors.join(repeated, "seed"), "repeated-anchors")
-    drop_table(anchors)
+    drop_tables(anchors, repeated)
     release(spark)
     place = F.struct("id", "rid", "at")
 
@@ -415,13 +415,16 @@ def remove_repeats(
     parts = materialize(
         source.join(wanted, "rid").select("text", "id", "rid", "wanted").mapInArrow(_cut(length, width), SNIPPET), "snippets"
     )
+    drop_tables(hits, first)
     release(spark)
     while True:
         kinds = materialize(parts.groupBy("key", "snippet").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")), "kinds")
         cores = kinds.groupBy("key").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("k")).filter("n > 1").drop("n")
         decided = materialize(kinds.join(cores, "key"), "cores")
         placed = parts.join(decided, ["key", "snippet"]).withColumn("own", F.col("first") == place)
+        old = (parts, kinds, decided)
         placed = materialize(placed.filter("not own or k > 1").select("key", "id", "rid", "at", "k", "own", F.when(F.col("own"), F.col("bytes")).alias("bytes")), "placed")
+        drop_tables(*old)
         found.append(span(placed.filter("not own")))
         few = placed.filter((F.col("k") <= group) & F.col("own")).repartition("key").sortWithinPartitions("key", "id", "rid", "at")
         found.append(

@@ -55,16 +55,17 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def drop_table(df: DataFrame) -> None:
-    """Delete the files behind a table made by ``materialize`` that is done with."""
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/").split(":")[-1]
-    jvm = spark.sparkContext._jvm
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if base in parent and "/tables/" in parent:
-            path = jvm.org.apache.hadoop.fs.Path(parent)
-            fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-            fs.delete(path, True)
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete the files behind tables made by ``materialize`` that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        base = ensure_checkpoint_dir(spark).rstrip("/").split(":")[-1]
+        jvm = spark.sparkContext._jvm
+        for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if base in parent and "/tables/" in parent:
+                path = jvm.org.apache.hadoop.fs.Path(parent)
+                fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+                fs.delete(path, True)
 
 
 def ascii_lower(text: Column) -> Column:

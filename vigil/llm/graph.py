@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import drop_table, materialize
+from vigil.llm.common import drop_tables, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -37,9 +37,9 @@ def components(edges: DataFrame) -> DataFrame:
         state = newer.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("v", "f").cast("decimal(38,0)"))
         ).first()
-        for old in (grand, parent):
-            drop_table(old)
+        drop_tables(grand, parent)
         parent = newer
         if state == seen:
+            drop_tables(both)
             return parent.select("v", F.col("f").alias("root"))
         seen = state

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import textkit
-from vigil.llm.common import every, located, materialize, small_batches
+from vigil.llm.common import drop_tables, every, located, materialize, small_batches
 from vigil.llm.graph import components
 from vigil.session import ship_package
 
@@ -180,8 +180,9 @@ class _Verifier:
 
     def blocks(self, split: DataFrame) -> DataFrame:
         """Links between components within groups: blocks of outsiders against blocks of all members."""
-        wanted = split.join(self.reps.select("fp", "at"), "fp").select("at").distinct()
-        rows = split.join(self.sets(materialize(wanted, "split-texts")), "fp")
+        wanted = materialize(split.join(self.reps.select("fp", "at"), "fp").select("at").distinct(), "split-texts")
+        sets = self.sets(wanted)
+        rows = split.join(sets, "fp")
         spread = lambda n, salt: F.pmod(F.xxhash64("fp", F.lit(salt)), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         outside = rows.filter("root <> top").withColumn("o", spread("outside", 1)).withColumn("m", every("blocks"))
@@ -189,7 +190,9 @@ class _Verifier:
         columns = ["near", "o", "m", "out", "fp", "root", "items"]
         both = outside.withColumn("out", F.lit(True)).select(columns).union(members.withColumn("out", F.lit(False)).select(columns))
         found = both.groupBy("near", "o", "m").applyInArrow(_compare(self.percent), "a binary, b binary")
-        return materialize(found, "more-links").distinct()
+        links = materialize(found, "more-links")
+        drop_tables(wanted, sets)
+        return links.distinct()
 
     def links(self, pairs: DataFrame) -> DataFrame:
         side = lambda x: self.reps.select(
@@ -215,7 +218,9 @@ class _Verifier:
             .withColumn("common", F.size(F.array_intersect("ia", "ib")))
             .withColumn("union", F.size("ia") + F.size("ib") - F.col("common"))
         )
-        return materialize(both.filter(F.col("common") * 100 >= F.col("union") * self.percent).select("a", "b"), "links").distinct()
+        links = materialize(both.filter(F.col("common") * 100 >= F.col("union") * self.percent).select("a", "b"), "links")
+        drop_tables(near, wanted, sets)
+        return links.distinct()
 
 
 def near_dedup(
@@ -286,12 +291,14 @@ def near_dedup(
         if not more.isEmpty():
             found = components(links.union(more))
 
+    drop_tables(reps, buckets, star, placed, groups, split)
     rooted = materialize(
         signed.select("id", "_file", "_row", "n", "fp")
         .join(found.select(F.col("v").alias("fp"), "root"), "fp", "left")
         .withColumn("root", F.coalesce("root", "fp", F.concat(F.lit("row "), F.col("_file"), F.col("_row")).cast("binary"))),
         "rooted",
     )
+    drop_tables(signed)
     least = materialize(
         rooted.groupBy("root").agg(
             F.min("id").alias("component_id"),
