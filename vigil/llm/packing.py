@@ -32,6 +32,8 @@ WIDTH, DIMENSIONS, BITS = 512, 4, 10
 PARTITION_TOKENS = 16_000_000
 #: Word pieces whose ids a worker remembers at once.
 CACHE_PIECES = 800_000
+#: New pieces the tokenizer gets as one text.
+GROUP_WORDS = 512
 
 
 class Encoder:
@@ -61,20 +63,48 @@ class Encoder:
         self.runs = re.compile(r"\s\s")
         #: Ids of a space and a piece, by the piece.
         self.seen: dict[str, bytes] = {}
+        self.space = re.compile(r"\s")
+        # pieces may only be encoded apart where splitting is byte-level
+        self.splits = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line = line[0] if len(line) == 1 else None
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [array(self.type, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def pieces(self, words: list[str]) -> list[bytes]:
+        """Ids of a space and each word.
+
+        Words without white space are encoded in one go, a line break between
+        them: it is a token of its own there, and none of the words has one.
+        """
+        plain = [w for w in words if w and not self.space.search(w)] if self.line is not None else []
+        groups = [plain[i : i + GROUP_WORDS] for i in range(0, len(plain), GROUP_WORDS)]
+        joined = ["\n".join(" " + w for w in g) for g in groups]
+        known: dict[str, bytes] = {}
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, self.type)
+            breaks = np.flatnonzero(ids == self.line) * ids.itemsize
+            if len(breaks) == len(group) - 1:
+                raw, size = ids.tobytes(), ids.itemsize
+                starts, ends = [0, *(breaks + size).tolist()], [*breaks.tolist(), len(raw)]
+                known.update((w, raw[x:y]) for w, x, y in zip(group, starts, ends, strict=True))
+        rest = [w for w in words if w not in known]
+        known.update(zip(rest, self.ids([" " + w for w in rest]), strict=True))
+        return [known[w] for w in words]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Per text its ids and the end id, in native unsigned integers."""
         texts = [t or "" for t in texts]
+        if not self.splits:
+            return [i + self.end for i in self.ids(texts)]
         split = [self.cut.split(t) if self.runs.search(t) else t.split(" ") for t in texts]
         heads = self.ids([p[0] for p in split])
         rest = [p[1:] for p in split]
         if len(self.seen) > CACHE_PIECES:
             self.seen.clear()
         new = list(set().union(*rest).difference(self.seen))
-        self.seen.update(zip(new, self.ids([" " + w for w in new]), strict=True))
+        self.seen.update(zip(new, self.pieces(new), strict=True))
         get = self.seen.__getitem__
         return [h + b"".join(map(get, p)) + self.end for h, p in zip(heads, rest, strict=True)]
 
