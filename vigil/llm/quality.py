@@ -11,6 +11,7 @@ lowest hashes of the ids); every document is scored.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -181,13 +182,28 @@ def fit(docs: DataFrame, graded: DataFrame, *, grades: int = 3, sample_rows: int
         F.broadcast(sample), "doc_id"  # sample_rows rows at most
     )
     # a repeated id adds rows; the sample stays bounded
-    rows = rows.select("grade", "text").mapInArrow(
-        _sample_features, "grade int, places array<int>, values array<float>"
+    got = (
+        rows.select("grade", "text")
+        .mapInArrow(_sample_features, "grade int, places array<int>, values array<float>")
+        .limit(2 * sample_rows)
+        .toArrow()
+        .combine_chunks()
     )
-    got = rows.limit(2 * sample_rows).toArrow()
-    lists = zip(got.column("places").to_pylist(), got.column("values").to_pylist(), got.column("grade").to_pylist(), strict=True)
-    examples = sorted(((np.array(p, np.int64), np.array(v), g) for p, v, g in lists), key=lambda r: (r[2], len(r[0]), r[0].tobytes()))
-    return fit_ordinal(examples, grades) if examples else None
+    if not got.num_rows:
+        return None
+    examples = _examples(got)
+    del got
+    return fit_ordinal(examples, grades)
+
+
+def _examples(sample: pa.Table) -> list[tuple[np.ndarray, np.ndarray, int]]:
+    """Feature places, values and grade of each row, views of the Arrow buffers, in an order of their content."""
+    lists = [sample.column(c).chunk(0) for c in ("places", "values")]
+    ends = lists[0].offsets.to_numpy()
+    places, values = (x.values.to_numpy() for x in lists)
+    grades = sample.column("grade").to_numpy()
+    rows = [(places[a:b], values[a:b], int(g)) for a, b, g in zip(ends[:-1], ends[1:], grades, strict=True)]
+    return sorted(rows, key=lambda r: (r[2], len(r[0]), zlib.crc32(r[0].tobytes()), zlib.crc32(r[1].tobytes())))
 
 
 def score_column(spark, model: Ordinal, text: Column) -> Column:
