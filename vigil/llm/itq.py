@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,9 +31,9 @@ SAMPLE_ROWS = 10_000
 def learn(sample: np.ndarray, seed: int, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection): signs of (x - mean) @ projection are the code's bits."""
     mean = sample.mean(axis=0)
-    _, _, axes = np.linalg.svd(sample - mean, full_matrices=True)
-    bits = min(TABLES and CHUNKS * CHUNK_BITS, sample.shape[1])
-    axes = axes[:bits].T
+    _, axes = np.linalg.eigh((sample - mean).T @ (sample - mean))  # by rising variance
+    bits = min(CHUNKS * CHUNK_BITS, sample.shape[1])
+    axes = axes[:, ::-1][:, :bits]
     low = (sample - mean) @ axes
     turn = np.linalg.qr(np.random.default_rng(seed).standard_normal((bits, bits)))[0]
     for _ in range(rounds):
@@ -110,13 +111,13 @@ def near_vectors(
     usable = rows.filter("v is not null and label is not null and size(v) > 0 and exists(v, x -> x <> 0)").filter(
         "forall(v, x -> x is not null and abs(x) < double('Infinity') and not isnan(x))"
     )
-    sample = usable.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow().column("v").to_pylist()
+    got = usable.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("v").toArrow().column("v").combine_chunks()
     models: list = []
     dim = 0
-    if sample:
-        lengths, counts = np.unique([len(v) for v in sample], return_counts=True)
+    if len(got):
+        lengths, counts = np.unique(pc.list_value_length(got).to_numpy(), return_counts=True)
         dim = int(lengths[counts.argmax()])
-        x = np.array([v for v in sample if len(v) == dim])
+        x = pc.list_flatten(got.filter(pc.equal(pc.list_value_length(got), dim))).to_numpy().reshape(-1, dim).copy()
         x /= np.abs(x).max(axis=1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
         models = [learn(x, seed) for seed in range(TABLES)]
