@@ -270,7 +270,7 @@ def _runs(marks: list[tuple]) -> list[tuple]:
     """(id, rid, start, end) of repeated windows, neighbours joined."""
     out: list[tuple] = []
     for id_, rid, at, length in marks:
-        if out and out[-1][1] == rid and out[-1][2] <= at <= out[-1][3]:
+        if out and out[-1][:2] == (id_, rid) and out[-1][2] <= at <= out[-1][3]:
             out[-1] = (id_, rid, out[-1][2], max(out[-1][3], at + length))
         else:
             out.append((id_, rid, at, at + length))
@@ -303,7 +303,7 @@ def _merged(length: int):
             if key[0] not in earliest or key[1:] < earliest[key[0]]:
                 earliest[key[0]] = key[1:]
         later = [(rows[o][1], rows[o][2], k[4], length) for k, o in zip(keys, owner, strict=True) if earliest[k[0]] != k[1:]]
-        return _runs(sorted(later, key=lambda m: (m[1], m[2])))
+        return _runs(sorted(later, key=lambda m: (m[1], m[0] is not None, m[0] or 0, m[2])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -360,6 +360,12 @@ RESULT = (
 )
 
 
+def _with_rows(source: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """``source`` with what was found in its rows; id and locator hash together tell rows apart."""
+    found = found.withColumnRenamed("id", "_id").withColumnRenamed("rid", "_rid")
+    return source.join(found, (source["rid"] == found["_rid"]) & source["id"].eqNullSafe(found["_id"]), how)
+
+
 def remove_repeats(
     docs: DataFrame,
     *,
@@ -409,11 +415,11 @@ def remove_repeats(
     marked = hits.join(first, ["seed", "snippet"]).withColumn("own", F.col("first") == place)
     found = [materialize(span(marked.filter(~F.col("own"))), "repeat-spans")]
     wanted = (
-        marked.filter("own and varied").groupBy("rid").agg(F.collect_list(F.struct("seed", "at")).alias("wanted"))  # bounded by the document
+        marked.filter("own and varied").groupBy("id", "rid").agg(F.collect_list(F.struct("seed", "at")).alias("wanted"))  # bounded by the document
     )
     width = -(-(length - seed + 1) // 2)
     parts = materialize(
-        source.join(wanted, "rid").select("text", "id", "rid", "wanted").mapInArrow(_cut(length, width), SNIPPET), "snippets"
+        _with_rows(source, wanted, "inner").select("text", "id", "rid", "wanted").mapInArrow(_cut(length, width), SNIPPET), "snippets"
     )
     drop_tables(hits, first)
     release(spark)
@@ -442,9 +448,9 @@ def remove_repeats(
     for more in found[1:]:
         spans = spans.union(more)
     release(spark)
-    per_doc = spans.groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # bounded by the document
+    per_doc = spans.groupBy("id", "rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # bounded by the document
     return (
-        source.join(per_doc, "rid", "left").select("text", "id", "rid", "spans").mapInArrow(_removed(keep_text), RESULT)
+        _with_rows(source, per_doc, "left").select("text", "id", "rid", "spans").mapInArrow(_removed(keep_text), RESULT)
     )
 
 
