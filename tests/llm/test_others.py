@@ -273,6 +273,16 @@ def test_secret_rows_and_discoveries(spark, docs, no_docs):
     assert secret_scan.query(no_docs).count() == 0
 
 
+def test_secret_found_without_long_words(spark):
+    """Tables whose words are all short, and one without any word."""
+    token = "".join(np.random.default_rng(8).choice(list(secret_scan.ALPHABETS[9]), 40))
+    for rows in ([(i, prose(i, 100)) for i in range(60)], [(i, "密码" * 30) for i in range(60)]):
+        frame = spark.createDataFrame([*rows, (1000, f"see {token} here")], "doc_id long, text string")
+        got = {r.id: r for r in secret_scan.scan_secrets(frame).collect()}
+        assert [(s["start"], s["kind"], s["end"]) for s in got[1000].spans] == [(4, 3, 44)]
+        assert not any(got[i].spans for i in range(60))
+
+
 def test_mix_targets_and_takes(spark, docs, no_docs):
     rows = [(i, prose(i, 5 + i % 40), f"s{0 if i % 3 == 0 else i % 7}") for i in range(900)] + [(901, None, None), (902, "a b c", None), (902, "a b c", None)]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, target int")

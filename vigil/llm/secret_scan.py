@@ -3,16 +3,18 @@
 Every long token gets an inferred encoding (an alphabet), and three tests of
 "its symbols are independent and uniform": chi-squared over the alphabet, runs
 about the middle, lag-one serial correlation. Fisher's method combines them.
-Words made of letters only are the ordinary population: what share of them, of
-the same length class or shorter, looks as random as a token is that token's
-p-value, and Benjamini-Hochberg in each length class keeps the share of false
-discoveries below ``rate``. The histograms behind it are over all documents.
+The ordinary population is ordinary text: each document's words too short to be
+tokens, joined and cut to the length classes. What share of it, in the token's
+class, looks as random as a token is that token's p-value, and
+Benjamini-Hochberg in each length class keeps the share of false discoveries
+below ``rate``. The histograms behind it are over all documents.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +37,16 @@ KINDS = ("assign", "access", "hex", "random")
 #: Tokens the battery looks at, and the length classes' lower bounds.
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 CLASSES = (20, 28, 40, 64, 128)
+#: Ordinary words: letters only, too short to be a token, no part of one.
+WORD = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z]{1,19}(?![A-Za-z0-9+/_=-])")
+#: Its pieces from every place are counted besides the documents', for tables with few or no such words.
+ORDINARY = (
+    "the harbour lay quiet under a grey morning sky and the first boats came in before anyone on the quay had lit a "
+    "lamp their crews spoke little as they carried baskets of fish up the worn steps where old women sorted the catch "
+    "by size and kind later when the market opened people from the hills brought cheese wool and apples and stayed to "
+    "hear news of the war which had moved further north during the winter nobody knew what it would bring them but "
+    "most agreed that prices could not rise much longer without some help from the town"
+)
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Alphabets, from the narrowest; a token's encoding is the first that holds all its symbols.
@@ -110,56 +122,91 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def joined_pieces(text: str) -> list[str]:
+    """The text's ordinary words, joined and cut to the length classes in turn, from a turn its letters decide."""
+    letters = "".join(WORD.findall(text))
+    out, at, turn = [], 0, zlib.crc32(letters.encode())
+    while len(letters) - at >= CLASSES[0]:
+        size = CLASSES[turn % len(CLASSES)]
+        turn += 1
+        if at + size <= len(letters):
+            out.append(letters[at : at + size])
+            at += size
+    return out
+
+
+def _levels(tokens: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per token its encoding, level and length class."""
+    encoding, p = battery(tokens)
+    level = np.minimum(np.floor(-10 * np.log10(np.maximum(p, 1e-25))), WORST).astype(int)
+    return encoding, level, np.searchsorted(CLASSES, [len(t) for t in tokens], side="right") - 1
+
+
+def _histogram(pieces: list[str], step: int = 4096) -> np.ndarray:
+    """(class, level) counts of the pieces."""
+    out = np.zeros(len(CLASSES) * (WORST + 1), dtype=np.int64)
+    for at in range(0, len(pieces), step):
+        _, level, length_class = _levels(pieces[at : at + step])
+        out += np.bincount(length_class * (WORST + 1) + level, minlength=len(out))
+    return out.reshape(len(CLASSES), WORST + 1)
+
+
 _SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
 _TOKEN = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("level", pa.int32()), ("length_class", pa.int32()), ("word", pa.bool_())])
+_CELL = pa.struct([("length_class", pa.int32()), ("level", pa.int32()), ("n", pa.int64())])
 SCANNED = (
     "id long, base array<struct<start: bigint, kind: int, end: bigint>>, "
-    "tokens array<struct<start: bigint, end: bigint, level: int, length_class: int, word: boolean>>"
+    "tokens array<struct<start: bigint, end: bigint, level: int, length_class: int, word: boolean>>, "
+    "ordinary array<struct<length_class: int, level: int, n: bigint>>"
 )
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in textkit.slices(batches, "text", 4 << 20):
-        base, found, tokens = [], [], []
+        base, found, tokens, pieces = [], [], [], []
         for row, text in enumerate(part.column("text").to_pylist()):
             text = text or ""
             base.append(base_spans(text))
             found += [(row, m.start(), m.end()) for m in TOKEN.finditer(text)]
             tokens += [m for m in TOKEN.findall(text)]
+            pieces += joined_pieces(text)
         own: list[list[dict]] = [[] for _ in base]
         if tokens:
-            encoding, p = battery(tokens)
-            level = np.minimum(np.floor(-10 * np.log10(np.maximum(p, 1e-25))), WORST).astype(int)
-            length_class = np.searchsorted(CLASSES, [len(t) for t in tokens], side="right") - 1
+            encoding, level, length_class = _levels(tokens)
             for (row, a, b), e, v, c in zip(found, encoding.tolist(), level.tolist(), length_class.tolist(), strict=True):
                 covered = any(s < b and a < t for s, _, t in base[row])
                 if not covered:
                     own[row].append({"start": a, "end": b, "level": v, "length_class": c, "word": e in LETTERS_ONLY})
+        # the slice's histogram goes with its first row
+        cells = _histogram(pieces)
+        ordinary = [{"length_class": c, "level": v, "n": cells[c, v]} for c, v in np.argwhere(cells).tolist()]
         yield pa.RecordBatch.from_arrays(
             [
                 part.column("id"),
                 pa.array([[{"start": s, "kind": k, "end": t} for s, k, t in x] for x in base], pa.list_(_SPAN)),
                 pa.array(own, pa.list_(_TOKEN)),
+                pa.array([ordinary, *[[]] * (len(base) - 1)][: len(base)], pa.list_(_CELL)),
             ],
-            names=["id", "base", "tokens"],
+            names=["id", "base", "tokens", "ordinary"],
         )
 
 
-def discovery_levels(tokens: DataFrame, rate: float) -> list[int]:
+def discovery_levels(tokens: DataFrame, ordinary: DataFrame, rate: float) -> list[int]:
     """Per length class the highest level still a discovery at ``rate``, or -1.
 
-    ``tokens`` has ``length_class, level, word``. Only the histogram, at most
-    classes x levels x 2 cells, reaches the driver.
+    ``tokens`` has ``length_class, level, word``, ``ordinary`` has
+    ``length_class, level, n``. Only the histograms, at most classes x levels
+    cells each, reach the driver.
     """
-    cells = tokens.groupBy("length_class", "level", "word").count().collect()
-    words = np.zeros((len(CLASSES), WORST + 1))
+    null = _histogram([text[i : i + n] for n in CLASSES for text in [ORDINARY.replace(" ", "")] for i in range(len(text) - n + 1)])
+    for c in ordinary.groupBy("length_class", "level").agg(F.sum("n").alias("n")).collect():
+        null[c["length_class"], c["level"]] += c["n"]
     others = np.zeros((len(CLASSES), WORST + 1))
-    for c in cells:
-        (words if c["word"] else others)[c["length_class"], c["level"]] += c["count"]
+    for c in tokens.filter(~F.col("word")).groupBy("length_class", "level").count().collect():
+        others[c["length_class"], c["level"]] += c["count"]
     out = []
     for k in range(len(CLASSES)):
-        ordinary = words[: k + 1].sum(axis=0)
-        p = (1 + np.cumsum(ordinary)) / (1 + ordinary.sum())
+        p = (1 + np.cumsum(null[k])) / (1 + null[k].sum())
         seen = np.cumsum(others[k])
         good = np.flatnonzero((seen > 0) & (p * others[k].sum() <= rate * seen))
         out.append(int(good.max()) if len(good) else -1)
@@ -179,7 +226,8 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     scanned = materialize(rows.mapInArrow(_scan, SCANNED), "secret-spans")
-    levels = discovery_levels(scanned.select(F.explode("tokens").alias("t")).select("t.*"), rate)
+    each = lambda c: scanned.select(F.explode(c).alias("t")).select("t.*")
+    levels = discovery_levels(each("tokens"), each("ordinary"), rate)
     limits = F.array(*[F.lit(x) for x in levels])
     random = F.transform(
         F.filter("tokens", lambda t: ~t["word"] & (t["level"] <= F.element_at(limits, t["length_class"] + 1))),
