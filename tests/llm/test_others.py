@@ -283,6 +283,20 @@ def test_secret_found_without_long_words(spark):
         assert not any(got[i].spans for i in range(60))
 
 
+def test_secrets_of_letters_only_are_found(spark):
+    """Random words among ordinary long ones, in numbers, and a token with digits beside them."""
+    rng = np.random.default_rng(9)
+    letters = [rng.choice(list(secret_scan.ALPHABETS[e]), 64) for e in (3, 4, 8) for _ in range(20)]
+    token = "".join(rng.choice(list(secret_scan.ALPHABETS[9]), 64))
+    rows = [(i, prose(i, 100)) for i in range(60)] + [(100 + i, word(i, 70)) for i in range(60)]
+    rows += [(1000 + i, "see " + "".join(x)) for i, x in enumerate(letters)] + [(2000, f"see {token}")]
+    got = {r.id: r for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found = [i for i in range(len(letters)) if [(s["start"], s["kind"], s["end"]) for s in got[1000 + i].spans] == [(4, 3, 68)]]
+    assert len(found) >= 30 and all(any(e <= i < e + 20 for i in found) for e in (0, 20, 40))
+    assert sum(len(got[100 + i].spans) for i in range(60)) <= 6
+    assert [(s["start"], s["kind"], s["end"]) for s in got[2000].spans] == [(4, 3, 68)]
+
+
 def test_mix_targets_and_takes(spark, docs, no_docs):
     rows = [(i, prose(i, 5 + i % 40), f"s{0 if i % 3 == 0 else i % 7}") for i in range(900)] + [(901, None, None), (902, "a b c", None), (902, "a b c", None)]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, target int")

@@ -7,7 +7,9 @@ The ordinary population is ordinary text: each document's words too short to be
 tokens, joined and cut to the length classes. What share of it, in the token's
 class, looks as random as a token is that token's p-value, and
 Benjamini-Hochberg in each length class keeps the share of false discoveries
-below ``rate``. The histograms behind it are over all documents.
+below ``rate``, for tokens of letters only and for the others by themselves: long
+ordinary words, which are many, don't raise the bar for the others. The
+histograms behind it are over all documents.
 """
 
 from __future__ import annotations
@@ -192,24 +194,25 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def discovery_levels(tokens: DataFrame, ordinary: DataFrame, rate: float) -> list[int]:
-    """Per length class the highest level still a discovery at ``rate``, or -1.
+    """The highest level still a discovery at ``rate``, or -1, per length class: of tokens with other symbols, of letters only.
 
     ``tokens`` has ``length_class, level, word``, ``ordinary`` has
     ``length_class, level, n``. Only the histograms, at most classes x levels
-    cells each, reach the driver.
+    x 3 cells, reach the driver.
     """
     null = _histogram([text[i : i + n] for n in CLASSES for text in [ORDINARY.replace(" ", "")] for i in range(len(text) - n + 1)])
     for c in ordinary.groupBy("length_class", "level").agg(F.sum("n").alias("n")).collect():
         null[c["length_class"], c["level"]] += c["n"]
-    others = np.zeros((len(CLASSES), WORST + 1))
-    for c in tokens.filter(~F.col("word")).groupBy("length_class", "level").count().collect():
-        others[c["length_class"], c["level"]] += c["count"]
+    counts = np.zeros((len(CLASSES), 2, WORST + 1))
+    for c in tokens.groupBy("length_class", "level", "word").count().collect():
+        counts[c["length_class"], int(c["word"]), c["level"]] += c["count"]
     out = []
     for k in range(len(CLASSES)):
         p = (1 + np.cumsum(null[k])) / (1 + null[k].sum())
-        seen = np.cumsum(others[k])
-        good = np.flatnonzero((seen > 0) & (p * others[k].sum() <= rate * seen))
-        out.append(int(good.max()) if len(good) else -1)
+        for own in counts[k]:
+            seen = np.cumsum(own)
+            good = np.flatnonzero((seen > 0) & (p * own.sum() <= rate * seen))
+            out.append(int(good.max()) if len(good) else -1)
     return out
 
 
@@ -230,7 +233,7 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     levels = discovery_levels(each("tokens"), each("ordinary"), rate)
     limits = F.array(*[F.lit(x) for x in levels])
     random = F.transform(
-        F.filter("tokens", lambda t: ~t["word"] & (t["level"] <= F.element_at(limits, t["length_class"] + 1))),
+        F.filter("tokens", lambda t: t["level"] <= F.element_at(limits, 2 * t["length_class"] + t["word"].cast("int") + 1)),
         lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")),
     )
     return scanned.select("id", "base", F.array_sort(F.concat("base", random)).alias("spans"))
