@@ -100,6 +100,32 @@ def test_near_awkward_rows(docs, no_docs):
     assert minhash.near_dedup(no_docs).count() == 0
 
 
+def test_pairs_at_082_are_near_but_not_to_the_query(spark):
+    """40 pairs with 163 of 198 shingles in common: linked from 0.8, op3's own threshold is 0.85."""
+    rows = []
+    for i in range(40):
+        words = prose(300 + i, 190).split()
+        other = list(words)
+        for at in (20, 80, 140):
+            other[at] = f"changed{at}"
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other + ["more", "of", "it", "here", "now"]))]
+    ratios = [len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b)) for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True)]
+    assert 0.81 < min(ratios) and max(ratios) < 0.84
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    import corpus_pipeline
+
+    kept = corpus_pipeline.near_duplicates(spark, frame, "")
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 80, 2))
+    assert minhash.query(frame).filter("kept").count() == 80
+
+
+def test_bands_miss_few_pairs_at_any_threshold():
+    assert minhash.band_shape(0.85) == (6, 26) and minhash.band_shape(0.8) == (5, 31)
+    for percent in range(50, 100):
+        rows, bands = minhash.band_shape(percent / 100)
+        assert (1 - (percent / 100) ** rows) ** bands <= minhash.MISS and rows * bands <= 156
+
+
 def test_odd_sketch_estimates_similarity():
     rng = np.random.default_rng(0)
     for similarity in (0.8, 0.9, 0.97):

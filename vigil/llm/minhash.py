@@ -31,10 +31,12 @@ from vigil.llm.common import drop_tables, every, located, materialize, small_bat
 from vigil.llm.graph import components
 from vigil.session import ship_package
 
-#: Rows per band and bands: at similarity 0.85 a pair shares no band with probability 5e-6.
+#: Most rows per band, and bands then: at similarity 0.85 a pair shares no band with probability 5e-6.
 ROWS, BANDS = 6, 26
+#: The greatest such probability at the threshold; lower thresholds have fewer rows per band.
+MISS = 1e-5
 SKETCH_BITS = 1024
-#: How far below the threshold the sketch's estimate may lie: five standard errors.
+#: How far below a threshold of 0.85 the sketch's estimate may lie: five standard errors.
 SLACK = 0.15
 #: Classes on either side of a block of exact comparisons.
 BLOCK = 128
@@ -54,10 +56,19 @@ def minhash(values: np.ndarray, firsts: np.ndarray, count: int) -> np.ndarray:
     return out.T
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    key = np.zeros((len(samples), BANDS), dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64)
-    parts = samples.reshape(len(samples), BANDS, ROWS)
-    for r in range(ROWS):
+def band_shape(similarity: float) -> tuple[int, int]:
+    """Rows per band and bands, out of ROWS * BANDS samples, that miss a pair at ``similarity`` with MISS at most."""
+    for rows in range(ROWS, 1, -1):
+        bands = ROWS * BANDS // rows
+        if (1 - similarity**rows) ** bands <= MISS:
+            return rows, bands
+    return 1, ROWS * BANDS
+
+
+def band_keys(samples: np.ndarray, rows: int = ROWS, bands: int = BANDS) -> np.ndarray:
+    key = np.zeros((len(samples), bands), dtype=np.uint64) + np.arange(bands, dtype=np.uint64)
+    parts = samples[:, : rows * bands].reshape(len(samples), bands, rows)
+    for r in range(rows):
         key = textkit.mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, r])
     return key.view(np.int64)
 
@@ -80,7 +91,9 @@ def _fingerprint(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def _signatures(size: int):
+def _signatures(size: int, percent: int):
+    shape = band_shape(percent / 100)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in textkit.slices(batches, "text"):
             sets = textkit.shingles(*textkit.text_bytes(part.column("text")), size)
@@ -92,7 +105,7 @@ def _signatures(size: int):
             if len(full):
                 firsts = np.concatenate([[0], np.cumsum(lengths[full])[:-1]])
                 samples = minhash(np.concatenate([sets[i] for i in full]), firsts, ROWS * BANDS)
-                keys, odd = band_keys(samples), odd_sketch(samples)
+                keys, odd = band_keys(samples, *shape), odd_sketch(samples)
                 for j, i in enumerate(full):
                     bands[i], sketches[i], prints[i] = keys[j], odd[j], _fingerprint(sets[i])
             yield pa.RecordBatch.from_arrays(
@@ -171,7 +184,8 @@ class _Verifier:
 
     def __init__(self, docs: DataFrame, reps: DataFrame, size: int, percent: int) -> None:
         self.docs, self.reps, self.size, self.percent = docs, reps, size, percent
-        self.limit = sketch_limit(percent / 100 - SLACK)
+        least = percent / 100
+        self.limit = sketch_limit(least - SLACK * math.sqrt(least * (1 - least) / (0.85 * 0.15)))
 
     def sets(self, wanted: DataFrame) -> DataFrame:
         """``(fp, items)`` of the texts whose locator hashes are ``wanted (at)``."""
@@ -246,7 +260,7 @@ def near_dedup(
     source = located(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "near-docs")
     signed = materialize(
         source.mapInArrow(
-            _signatures(size),
+            _signatures(size, percent),
             "id long, _file string, _row long, n long, fp binary, bands array<bigint>, sketch array<bigint>",
         ),
         "signatures",
@@ -316,13 +330,13 @@ def near_dedup(
     )
 
 
-def keep_rows(docs: DataFrame, **options) -> DataFrame:
+def keep_rows(docs: DataFrame, *, percent: int = 80, **options) -> DataFrame:
     """``docs`` with one row of each near-duplicate component, all columns as they were."""
     try:
         docs.select("_metadata.file_path")
     except Exception:  # not a scan of files: give its rows a place first
         docs = materialize(docs, "near-input")
-    dropped = near_dedup(docs, **options).filter(~F.col("kept")).select("_file", "_row")
+    dropped = near_dedup(docs, percent=percent, **options).filter(~F.col("kept")).select("_file", "_row")
     rows = docs.select(
         *every(docs), F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row")
     )
@@ -332,7 +346,7 @@ def keep_rows(docs: DataFrame, **options) -> DataFrame:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return near_dedup(docs).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+    return near_dedup(docs, percent=85).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
 #: A brute-force join over all shingles: for small tables only.
