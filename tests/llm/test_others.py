@@ -197,6 +197,26 @@ def test_near_vectors_against_brute_force(spark):
     assert itq.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_near_vectors_with_a_strong_mean_and_other_lengths(spark):
+    """Pairs at cosine 0.93 to 0.94 of vectors with a squared mean norm of 0.7, and a few of another length."""
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    n = 300
+    base = unit(np.sqrt(0.7) * unit(rng.standard_normal(64)) + np.sqrt(0.3) * unit(rng.standard_normal((n, 64))))
+    step = rng.standard_normal((n, 64))
+    step = unit(step - (step * base).sum(axis=1, keepdims=True) * base)
+    cosines = rng.uniform(0.931, 0.94, (n, 1))
+    other = cosines * base + np.sqrt(1 - cosines**2) * step
+    rows = [(2 * i + j, v.tolist(), i) for i in range(n) for j, v in enumerate((base[i], other[i]))]
+    short = rng.standard_normal(10)
+    rows += [(5000, short.tolist(), 0), (5001, short.tolist(), 0), (5002, (short + 0.01).tolist(), 0), (5003, (-short).tolist(), 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.id: r for r in itq.near_vectors(frame).collect()}
+    assert sum(got[2 * i + 1].component_id == 2 * i for i in range(n)) >= 0.95 * n
+    assert [got[i].component_id for i in range(5000, 5004)] == [5000, 5000, 5000, 5003]
+    assert [got[i].n_links for i in range(5000, 5004)] == [2, 2, 2, 0]
+
+
 def test_rotation_balances_bits():
     x = np.random.default_rng(1).standard_normal((3000, 32))
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
