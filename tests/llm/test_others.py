@@ -252,6 +252,24 @@ def test_quality_on_held_out_grades(spark):
     assert quality.query(docs.limit(0), marks).count() == 0
 
 
+def test_words_of_a_rare_grade_count():
+    """A worst grade of 0.2 % of the rows, told by three words of its own among ordinary ones."""
+    rng = np.random.default_rng(7)
+
+    def row(grade):
+        places = rng.choice(400, 30, replace=False) + 10
+        own = np.array([[0, 1, 2], [3, 4, 5], [6, 7, 8]][grade])
+        return np.concatenate([own, places]), np.full(33, math.log(2)), grade
+
+    model = quality.fit_ordinal([row(0 if i % 500 == 0 else 1 + (i % 5 > 0)) for i in range(5000)], 3)
+    for grade, most in ((0, 0.2), (1, 0.2), (2, 1.0)):
+        rows = [row(grade) for _ in range(100)]
+        owner = np.repeat(np.arange(100), 33)
+        scores = model.scores(owner, np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows]), 100)
+        accepted = (1 / (1 + np.exp(model.thresholds[-1] - scores)) >= quality.LEAST).mean()
+        assert accepted <= most and (grade < 2 or accepted > 0.9)
+
+
 def test_thresholds_stay_ordered():
     rng = np.random.default_rng(0)
     rows = [(np.array([g, 3]), np.array([1.0, 1.0]), g) for g in rng.integers(0, 3, 300)]

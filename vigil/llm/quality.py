@@ -27,10 +27,10 @@ from vigil.session import ship_package
 FEATURE_BITS = 18
 #: Labelled rows the fit may use.
 SAMPLE_ROWS = 12_000
-#: Share of the sample that must hold a feature for the model to use it.
-RARE = 0.0025
-#: Rows of the sample that must hold a feature, however small the sample.
-LEAST_ROWS = 8
+#: Rows of the sample that must hold a feature, however large the sample.
+LEAST_ROWS = 3
+#: Squared standard deviations from its share of some grade at which a feature has half its rarity's weight.
+HALF_EVIDENCE = 10
 #: Least probability of the top grade that is accepted.
 LEAST = 0.6
 
@@ -86,10 +86,23 @@ class Ordinal:
         return np.bincount(texts, weighed * self.weights[places], n) / np.maximum(norm, 1e-9)
 
 
-def _normalised(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndarray, list]:
-    """Log inverse document frequencies (rare features have none) and the rows weighed by them."""
-    found = np.bincount(np.concatenate([p for p, *_ in rows]), minlength=1 << FEATURE_BITS)
-    rarity = np.where(found >= max(LEAST_ROWS, RARE * len(rows)), np.log(len(rows) / np.maximum(found, 1)), 0.0)
+def _normalised(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int) -> tuple[np.ndarray, list]:
+    """Rarities and the rows weighed by them.
+
+    A feature's rarity is its log inverse document frequency, the smaller the
+    less its rows differ from all rows in their grades: words of one grade
+    count however rare that grade is, and the many rare words that stand for
+    none don't blur a text.
+    """
+    held = np.zeros((grades, 1 << FEATURE_BITS))
+    for places, _, grade in rows:
+        held[grade, places] += 1  # a row has a feature once
+    found = held.sum(axis=0)
+    share = np.bincount([g for *_, g in rows], minlength=grades)[:, None] / len(rows)
+    evidence = ((held - found * share) ** 2 / (found * share * (1 - share) + 1)).max(axis=0)
+    rarity = np.where(
+        found >= LEAST_ROWS, np.log(len(rows) / np.maximum(found, 1)) * evidence / (evidence + HALF_EVIDENCE), 0.0
+    )
     out = []
     for places, values, grade in rows:
         weighed = values * rarity[places]
@@ -100,7 +113,7 @@ def _normalised(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> tuple[np.ndar
 
 def fit_ordinal(rows: list[tuple[np.ndarray, np.ndarray, int]], grades: int, epochs: int = 30, rate: float = 0.5, decay: float = 1e-5) -> Ordinal:
     """Cumulative-link regression by Adagrad on (features, values, grade) rows."""
-    rarity, rows = _normalised(rows)
+    rarity, rows = _normalised(rows, grades)
     weights = np.zeros(1 << FEATURE_BITS)
     counts = np.bincount([g for *_, g in rows], minlength=grades).astype(float) + 1
     upto = np.cumsum(counts)[:-1] / counts.sum()
