@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.llm import bwt, chat, exact_dedup, itq, minhash, mixing, packing, quality, secret_scan, urls
+from vigil.llm import bwt, chat, decontaminate, exact_dedup, itq, minhash, mixing, negatives, packing, quality, secret_scan, spelling, urls
 from vigil.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op9_secret_scan": lambda spark, sf_dir: secret_scan.query(table(spark, sf_dir, "documents")),
     "op10_mixing": lambda spark, sf_dir: mixing.query(table(spark, sf_dir, "documents")),
+    "op11_trie_spelling": lambda spark, sf_dir: spelling.query(table(spark, sf_dir, "documents")),
+    "op12_sorted_negatives": lambda spark, sf_dir: negatives.query(table(spark, sf_dir, "embeddings")),
+    "op13_automaton_decontamination": lambda spark, sf_dir: decontaminate.query(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ),
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -29,4 +34,7 @@ ORACLE_SQL: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
     "op7_itq_near_dedup": itq.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
+    "op11_trie_spelling": spelling.ORACLE_SQL,
+    "op12_sorted_negatives": negatives.ORACLE_SQL,
+    "op13_automaton_decontamination": decontaminate.ORACLE_SQL,
 }

@@ -66,9 +66,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of every word, in order."""
-    space = SPACE[data]
+def words(data: np.ndarray, bounds: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of every word, in order; ``between`` marks bytes outside words."""
+    space = between[data]
     edge = np.zeros(len(data) + 1, dtype=bool)
     edge[bounds] = True
     starts = ~space
