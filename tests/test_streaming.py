@@ -1,6 +1,7 @@
 """ST1/ST2 streaming scoring into the store, idempotent replay, ST4 label join."""
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from vigil.operators import contract, store
@@ -45,7 +46,7 @@ def q_opts(q):
 
 
 def test_replayed_batch_is_skipped(spark, scratch):
-    sink = scoring.scoring_batch_sink(boundary(), f"{scratch}/store")
+    sink = scoring.scoring_batch_sink(boundary(), f"{scratch}/store", writer="one")
     batch = stream_rows(spark, 5)
     sink(batch, 0)
     sink(batch, 0)  # the same micro-batch again (restart before commit)
@@ -54,7 +55,7 @@ def test_replayed_batch_is_skipped(spark, scratch):
 
 def test_volume_trigger_in_sink(spark, scratch):
     sink = scoring.scoring_batch_sink(
-        boundary(), f"{scratch}/store", state_path=f"{scratch}/state", volume_threshold=3, triggers_path=f"{scratch}/trig"
+        boundary(), f"{scratch}/store", state_path=f"{scratch}/state", volume_threshold=3, triggers_path=f"{scratch}/trig", writer="one"
     )
     sink(stream_rows(spark, 5), 0)
     assert spark.read.parquet(f"{scratch}/trig").first()["volume"] == 5
@@ -87,7 +88,7 @@ def test_streams_and_batch_appends_share_a_store(spark, scratch):
         rows.filter(F.col("TransactionID") % 2 == part).coalesce(1).write.parquet(f"{scratch}/src{part}")
         scoring.run_scoring_stream(spark, f"{scratch}/src{part}", rows.schema, boundary(), path, f"{scratch}/ckpt{part}")
     assert store.append_scores(batch, path) == 1
-    sink = scoring.scoring_batch_sink(boundary(), path)
+    sink = scoring.scoring_batch_sink(boundary(), path, writer="direct")
     for _ in range(2):
         sink(rows, 0)
     ids = [r.TransactionID for r in store.read_store(spark, path).collect()]
@@ -97,8 +98,26 @@ def test_streams_and_batch_appends_share_a_store(spark, scratch):
 
 def test_an_uncommitted_batch_is_replaced(spark, scratch):
     path = f"{scratch}/store"
-    log = scoring._BatchLog(spark, path, 3)
-    place = log.place()
-    store.append_scores(boundary().score(stream_rows(spark, 2), keep=["TransactionID", "TransactionDT"], validate_rows=False), path, batch_id=place)
-    scoring.scoring_batch_sink(boundary(), path)(stream_rows(spark, 5), 3)
+    store.stage_scores(boundary().score(stream_rows(spark, 2), keep=["TransactionID", "TransactionDT"], validate_rows=False), path)
+    scoring.scoring_batch_sink(boundary(), path, writer="one")(stream_rows(spark, 5), 3)
     assert store.read_store(spark, path).count() == 5
+
+
+def test_sinks_outside_queries_need_names(spark, scratch):
+    path = f"{scratch}/store"
+    with pytest.raises(ValueError, match="writer name"):
+        scoring.scoring_batch_sink(boundary(), path)(stream_rows(spark, 2), 0)
+    for name in ("a", "b"):
+        scoring.scoring_batch_sink(boundary(), path, writer=name)(stream_rows(spark, 2), 0)
+    assert store.read_store(spark, path).count() == 4
+
+
+def test_trigger_comes_after_a_crash_between_commit_and_check(spark, scratch):
+    path = f"{scratch}/store"
+    scoring.scoring_batch_sink(boundary(), path, writer="one")(stream_rows(spark, 5), 0)
+    checked = scoring.scoring_batch_sink(
+        boundary(), path, state_path=f"{scratch}/state", volume_threshold=3, triggers_path=f"{scratch}/trig", writer="one"
+    )
+    checked(stream_rows(spark, 5), 0)
+    assert spark.read.parquet(f"{scratch}/trig").first()["volume"] == 5
+    assert store.row_count(spark, path) == 5

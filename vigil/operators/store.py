@@ -4,9 +4,9 @@ S5 append (zero rows append nothing, returns the row count), S6 read (empty
 with schema when absent), W2 newest append per id, A3 distinct valid ids, J2
 semi-join / J3 anti-join against the store, L2 next unseen chunk.
 
-The store is Parquet partitioned by ``batch_id``; each row also carries a
-``seq`` fixed at write time, so "newest append wins" has an explicit order
-(Spark has no physical row order to rely on).
+Batches are ordered by a commit log (``manifest``): a batch's number is its
+version there. Each row also carries a ``seq`` fixed at write time, so "newest
+append wins" has an explicit order (Spark has no physical row order to rely on).
 """
 
 from __future__ import annotations
@@ -18,11 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.ordered import at_or_after, at_or_before, rows_at_ranks
-from vigil.session import path_exists
+from vigil.operators.manifest import COMPACT_EVERY, Manifest
 
 ID = "TransactionID"
-#: Where streaming batches note their place in the append order (hidden from scans).
-LOG = "_batches"
 STORE_COLUMNS = ("TransactionID", "score", "decision")
 STORE_SCHEMA = T.StructType(
     [
@@ -35,45 +33,76 @@ STORE_SCHEMA = T.StructType(
 )
 
 
-def read_store(spark: SparkSession, store_path: str) -> DataFrame:
-    """The store as a DataFrame; an empty frame with the schema when absent."""
-    if not path_exists(spark, store_path):
+def read_store(spark: SparkSession, store_path: str, *, version: int | None = None) -> DataFrame:
+    """The store, or its snapshot at ``version``; an empty frame with the schema when absent."""
+    parts, fresh = Manifest(spark, store_path).snapshot(version)
+    return _rows_of(spark, store_path, parts, fresh)
+
+
+def _rows_of(spark: SparkSession, store_path: str, parts: Sequence[str], fresh: dict[str, int]) -> DataFrame:
+    """Rows of compacted folders, which carry their batch, and of folders that are a batch."""
+    folders = [f"{store_path}/{f}" for f in [*parts, *fresh]]
+    if not folders:
         return spark.createDataFrame([], STORE_SCHEMA)
-    return spark.read.schema(STORE_SCHEMA).parquet(store_path)
+    rows = spark.read.schema(STORE_SCHEMA).parquet(*folders)
+    if not fresh:
+        return rows
+    pairs = [F.lit(x) for folder, version in fresh.items() for x in (folder, version)]
+    folder = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    batch = F.coalesce("batch_id", F.try_element_at(F.create_map(*pairs), folder).cast("long"))
+    return rows.withColumn("batch_id", batch)
 
 
-def next_batch_id(spark: SparkSession, store_path: str) -> int:
-    """One past the newest ``batch_id``, those of streaming batches under way included."""
-    if not path_exists(spark, store_path):
-        return 0
-    newest = read_store(spark, store_path).agg(F.max("batch_id").alias("m")).collect()[0]["m"]
-    log = f"{store_path}/{LOG}"
-    taken = spark.read.parquet(log).agg(F.max("store_batch").alias("m")).collect()[0]["m"] if path_exists(spark, log) else None
-    return max(-1 if newest is None else int(newest), -1 if taken is None else int(taken)) + 1
+def row_count(spark: SparkSession, store_path: str) -> int:
+    """Rows appended so far, duplicates included, from the newest log entry."""
+    return Manifest(spark, store_path).latest().total
 
 
 def append_scores(
-    scored: DataFrame, store_path: str, *, batch_id: int | None = None
+    scored: DataFrame,
+    store_path: str,
+    *,
+    writer: str | None = None,
+    micro_batch: int = -1,
+    compact_every: int = COMPACT_EVERY,
 ) -> int:
     """Append ``(TransactionID, score, decision)`` rows as one batch; returns rows appended.
 
-    Batches are numbered in the order of the appends, whoever makes them. A
-    ``batch_id`` that is given again replaces that batch's rows.
+    Batches are numbered in the order of the commits, whoever makes them. A
+    ``writer`` numbers its own batches by ``micro_batch``; one that is committed
+    already is not appended again. The cost doesn't grow with the store, but for
+    a merge of the last batches after every ``compact_every`` of them.
     """
     spark = scored.sparkSession
     missing = [c for c in STORE_COLUMNS if c not in scored.columns]
     if missing:
-        raise ValueError(f"scored rows must have columns {list(STORE_COLUMNS)}; missing {missing}")
-    b = next_batch_id(spark, store_path) if batch_id is None else int(batch_id)
+        raise ValueError(f"a score to store needs {', '.join(STORE_COLUMNS)}; this frame lacks {', '.join(missing)}")
+    log = Manifest(spark, store_path)
+    if writer is not None and log.committed(writer, micro_batch):
+        return 0
+    folder, rows = stage_scores(scored, store_path)
+    if not rows and writer is None:
+        return 0
+    entry = log.commit(folder, rows, writer, micro_batch)
+    if entry is not None and log.behind(entry) >= compact_every:
+        compact(spark, store_path)
+    return rows if entry is not None else 0
+
+
+def stage_scores(scored: DataFrame, store_path: str) -> tuple[str, int]:
+    """Write a batch's rows without committing them: the folder and the row count."""
     rows = scored.select(
         F.col(ID).cast("long").alias(ID),
         F.col("score").cast("double").alias("score"),
         F.col("decision").cast("string").alias("decision"),
         F.monotonically_increasing_id().alias("seq"),
     )
-    folder = f"{store_path}/batch_id={b}"
-    rows.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder).count()
+    return Manifest(scored.sparkSession, store_path).stage(rows)
+
+
+def compact(spark: SparkSession, store_path: str) -> bool:
+    """Merge the batches since the last compaction into one folder; batch numbers stay."""
+    return Manifest(spark, store_path).compact(lambda fresh: _rows_of(spark, store_path, [], fresh)) is not None
 
 
 def latest_scores(store: DataFrame, *, id_col: str = ID) -> DataFrame:

@@ -26,7 +26,8 @@ from vigil.operators import (
     trigger,
     window,
 )
-from vigil.plans.sql import CHALLENGER_SQL, CHAMPION_SQL, SLICED_CTE, STORE_CTE, TX_CTE
+from vigil.operators.manifest import Manifest
+from vigil.plans.sql import CHALLENGER_SQL, CHAMPION_SQL, NORMAL_TAIL, SLICED_CTE, STORE_CTE, TX_CTE, ks_tail
 from vigil.sources import testdata as td
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -532,16 +533,8 @@ nd AS (
 ks AS (
   SELECT feature, n_ref, n_cur, CASE WHEN n_ref < 2 OR n_cur < 2 THEN CAST(0.0 AS DOUBLE) ELSE d END AS statistic
   FROM nd
-),
-ksl AS (SELECT *, sqrt(CAST(n_ref AS DOUBLE) * n_cur / (n_ref + n_cur)) * statistic AS lam FROM ks),
-ksp AS (
-  SELECT feature, n_ref, n_cur, statistic,
-         CASE WHEN n_ref < 2 OR n_cur < 2 OR lam < 0.2 THEN CAST(1.0 AS DOUBLE)
-              ELSE least(greatest(2.0 * list_reduce(list_transform(range(1, 101),
-                     lambda k: (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(CAST(-2.0 AS DOUBLE) * k * k * lam * lam)),
-                     lambda a, b: a + b), 0.0), 1.0) END AS p_value
-  FROM ksl
 )"""
+    + ks_tail("ks", "feature")
 )
 
 _KS_CTE = _WINDOW_CTE + _KS_PART
@@ -604,6 +597,32 @@ def q_ks_features(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("feature", "n_ref", "n_cur", "statistic", F.round("p_value", 9).alias("p_value"))
 
 
+@register(
+    "a9_ks_exact_windows",
+    f"""WITH {SLICED_CTE},
+r AS (
+  SELECT hour, CAST(amount AS DOUBLE) AS value, CASE WHEN slice = 'train' THEN 1 ELSE 0 END AS a
+  FROM sliced WHERE slice <> 'test' AND amount IS NOT NULL AND NOT isnan(CAST(amount AS DOUBLE))
+),
+c AS (SELECT hour, value, sum(a) AS x, sum(1 - a) AS y FROM r GROUP BY hour, value),
+e AS (
+  SELECT hour, sum(x) OVER w AS cx, sum(y) OVER w AS cy, sum(x) OVER (PARTITION BY hour) AS tx, sum(y) OVER (PARTITION BY hour) AS ty
+  FROM c WINDOW w AS (PARTITION BY hour ORDER BY value ROWS UNBOUNDED PRECEDING)
+),
+g AS (
+  SELECT hour, CAST(any_value(tx) AS BIGINT) AS n_ref, CAST(any_value(ty) AS BIGINT) AS n_cur,
+         CASE WHEN any_value(tx) < 2 OR any_value(ty) < 2 THEN 0.0 ELSE max(abs(cx / CAST(tx AS DOUBLE) - cy / CAST(ty AS DOUBLE))) END AS statistic
+  FROM e GROUP BY hour
+){ks_tail("g", "hour")}
+SELECT hour, n_ref, n_cur, round(statistic, 9) AS statistic, round(p_value, 9) AS p_value FROM ksp""",
+)
+def q_ks_exact_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """The amounts of each hour of day, train against stream, with exact tails for small windows."""
+    rows = sliced(spark, sf).select("hour", "amount", "slice")
+    found = drift.ks_by_group(rows.filter("slice = 'train'"), rows.filter("slice = 'stream'"), "amount", ["hour"])
+    return found.select("hour", "n_ref", "n_cur", F.round("statistic", 9).alias("statistic"), F.round("p_value", 9).alias("p_value"))
+
+
 @register(
     "a10_chisquare_features",
     f"""WITH {_WINDOW_CTE}, u AS (SELECT 0 AS side, * FROM ref UNION ALL SELECT 1 AS side, * FROM cur){_CHI_CTE}
@@ -720,6 +739,7 @@ res AS (SELECT *, sqrt(greatest(v10 / n_pos + v01 / n_neg, 0.0)) AS se FROM agg)
 SELECT CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg,
        round(auc_a, 9) AS auc_champion, round(auc_b, 9) AS auc_challenger, round(se, 9) AS se,
        round(CASE WHEN se > 0 THEN (auc_b - auc_a) / se END, 6) AS z,
+       round(CASE WHEN se = 0 OR auc_b <= auc_a THEN 1.0 ELSE {NORMAL_TAIL.format(z="(auc_b - auc_a) / se")} END, 9) AS p_value,
        (se > 0 AND auc_b - auc_a > 0 AND (auc_b - auc_a) / se >= 1.6448536269514722) AS promote
 FROM res""",
 )
@@ -735,6 +755,7 @@ def q_delong(spark: SparkSession, sf: str) -> DataFrame:
         F.round("auc_challenger", 9).alias("auc_challenger"),
         F.round("se", 9).alias("se"),
         F.round("z", 6).alias("z"),
+        F.round("p_value", 9).alias("p_value"),
         "promote",
     )
 
@@ -1275,48 +1296,124 @@ def q_raw_text_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 # --------------------------------------------------------------------------- #
 
 _BAD_AMOUNT = "CASE WHEN TransactionID % 97 = 0 THEN 'n/a' WHEN TransactionID % 89 = 0 THEN 'NaN' END"
+_BAD_ID = "CASE WHEN TransactionID % 83 = 0 THEN 'abc' WHEN TransactionID % 79 = 0 THEN '' WHEN TransactionID % 73 = 0 THEN ' ' END"
+
+
+def _score_job(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Raw CSV with its columns in another order, bad amounts and bad ids -> (store, rejects)."""
+    from vigil.plans.scoring_job import score_csv
+
+    rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
+    text = rows.select(*reversed([F.col(c).cast("string").alias(c) for c in rows.columns]))
+    text = text.withColumns(
+        {"amount": F.coalesce(F.expr(_BAD_AMOUNT), F.col("amount")), td.ID: F.coalesce(F.expr(_BAD_ID.replace(td.ID, f"cast({td.ID} as bigint)")), F.col(td.ID))}
+    )
+    source, store_path, rejects = (work_path(spark, n) for n in ("job-in", "job-store", "job-rejects"))
+    io.write_csv(text, source)
+    boundary = _champion_boundary(require_complete=True)
+    score_csv(spark, source, work_path(spark, "job-out"), boundary, store_path, rejects=rejects)
+    columns = [td.ID, *td.CONTRACT_FEATURES, "reasons"]
+    return store.read_store(spark, store_path), io.read_csv_text(spark, rejects, columns)
 
 
 @register(
     "s4_csv_score_job",
     f"""WITH {SLICED_CTE}, r AS (
   SELECT TransactionID, {CHAMPION_SQL} AS score,
-         TransactionID % 97 <> 0 AND TransactionID % 89 <> 0 AND amount IS NOT NULL
+         TransactionID % 97 <> 0 AND TransactionID % 89 <> 0 AND TransactionID % 83 <> 0 AND TransactionID % 79 <> 0
+         AND TransactionID % 73 <> 0
          {''.join(f' AND {c} IS NOT NULL' for c in td.CONTRACT_FEATURES)} AS ok
   FROM sliced WHERE slice = 'stream')
 SELECT TransactionID, score, CASE WHEN score >= 0.5 THEN 'block' ELSE 'allow' END AS decision FROM r WHERE ok""",
 )
 def q_csv_score_job(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw CSV with its columns in another order and bad amounts -> scored CSV and store."""
-    from vigil.plans.scoring_job import score_csv
+    return _score_job(spark, sf)[0].select(td.ID, "score", "decision")
 
-    rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
-    bad = F.expr(_BAD_AMOUNT)
-    text = rows.select(*reversed([F.col(c).cast("string").alias(c) for c in rows.columns]))
-    text = text.withColumn("amount", F.coalesce(bad, F.col("amount")))
-    source, store_path = work_path(spark, "job-in"), work_path(spark, "job-store")
-    io.write_csv(text, source)
-    score_csv(spark, source, work_path(spark, "job-out"), _champion_boundary(require_complete=True), store_path)
-    return store.read_store(spark, store_path).select(td.ID, "score", "decision")
+
+@register(
+    "s4_csv_rejects",
+    f"""WITH {SLICED_CTE}, r AS (
+  SELECT concat_ws('; ', CASE WHEN TransactionID % 83 = 0 THEN 'bad id' WHEN TransactionID % 79 = 0 OR TransactionID % 73 = 0 THEN 'missing id' END,
+         {', '.join(f"""CASE WHEN TransactionID % 97 = 0 THEN 'not numeric: amount' WHEN TransactionID % 89 = 0 THEN 'null: amount' WHEN {c} IS NULL THEN 'null: {c}' END"""
+                     if c == 'amount' else f"CASE WHEN {c} IS NULL THEN 'null: {c}' END" for c in td.CONTRACT_FEATURES)}) AS reasons
+  FROM sliced WHERE slice = 'stream')
+SELECT reasons, count(*) AS n_rows FROM r WHERE reasons <> '' GROUP BY reasons""",
+)
+def q_csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows the score job turns away, by reasons: broken values, missing and unusable ids."""
+    return _score_job(spark, sf)[1].groupBy("reasons").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register(
+    "s5_manifest_log",
+    f"""WITH {SLICED_CTE}, rows AS (
+  SELECT *, CASE WHEN TransactionID % 2 = 0 THEN 'even' ELSE 'odd' END AS w, TransactionID % 3 AS b FROM sliced WHERE slice = 'stream'
+), appends AS (
+  SELECT TransactionID, {CHAMPION_SQL} AS score, 0 AS later FROM rows
+  UNION ALL SELECT TransactionID, {CHALLENGER_SQL}, 1 FROM rows WHERE cat_a = 'error'
+)
+SELECT TransactionID, arg_max(score, later) AS score, count(*) AS n_appends,
+       (SELECT count(*) FROM appends) AS log_total, (SELECT count(*) FROM appends WHERE later = 0) AS first_total,
+       9 AS n_versions
+FROM appends GROUP BY TransactionID""",
+)
+def q_manifest_log(spark: SparkSession, sf: str) -> DataFrame:
+    """Two writers, a crash between write and commit, replays and compactions in one store."""
+    rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(
+        td.ID, td.champion_score().alias("score"), td.challenger_score().alias("again"), F.lit("allow").alias("decision"), "cat_a"
+    )
+    path = work_path(spark, "log-store")
+    parity = {"even": 0, "odd": 1}
+    for b in range(3):
+        for writer, odd in parity.items():
+            part = rows.filter((F.col(td.ID) % 2 == odd) & (F.col(td.ID) % 3 == b))
+            if b == 1:  # written, and lost before the commit; then the same micro-batch again
+                store.stage_scores(part, path)
+            for _ in range(2):  # the second is a replay after the commit
+                store.append_scores(part, path, writer=writer, micro_batch=b)
+        if b == 1:
+            store.compact(spark, path)
+    before = Manifest(spark, path).latest()
+    errors = rows.filter("cat_a = 'error'").select(td.ID, F.col("again").alias("score"), "decision")
+    store.append_scores(errors, path)
+    store.compact(spark, path)
+    log = Manifest(spark, path).latest()
+    first_total = store.read_store(spark, path, version=before.version).count()  # the older snapshot is as it was
+    st = store.read_store(spark, path)
+    latest = store.latest_scores(st).select(td.ID, "score")
+    return latest.join(st.groupBy(td.ID).agg(F.count(F.lit(1)).alias("n_appends")), td.ID).withColumns(
+        {"log_total": F.lit(log.total), "first_total": F.lit(first_total), "n_versions": F.lit(log.version + 1)}
+    )
 
 
 @register(
     "st3_shared_store",
     f"""WITH {SLICED_CTE}
-SELECT TransactionID, {CHAMPION_SQL} AS score, 2 AS n_appends, 2 AS n_batches FROM sliced WHERE slice = 'stream'""",
+SELECT TransactionID, {CHAMPION_SQL} AS score, 3 AS n_appends, 3 AS n_batches FROM sliced WHERE slice = 'stream'""",
 )
 def q_shared_store(spark: SparkSession, sf: str) -> DataFrame:
-    """A batch append, then the same rows by a stream, and its last micro-batch replayed, in one store."""
+    """A batch append, then the same rows by a stream's sink whose micro-batches are replayed, in one store.
+
+    The first micro-batch is staged and not committed, then comes again; the
+    second comes again after its commit; then a stream over the same rows finds
+    its own micro-batches committed when its checkpoint is lost.
+    """
     from vigil.streaming import scoring as st_scoring
 
     boundary = _champion_boundary()
     rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, *td.CONTRACT_FEATURES)
     source, path = work_path(spark, "shared-in"), work_path(spark, "shared-store")
     rows.write.parquet(source)
-    store.append_scores(boundary.score(rows, keep=[td.ID], validate_rows=False), path)
-    for _ in range(2):  # the second start finds nothing new
+    scored = boundary.score(rows, keep=[td.ID], validate_rows=False)
+    store.append_scores(scored, path)
+    store.stage_scores(scored, path)  # a micro-batch that died before its commit
+    sink = st_scoring.scoring_batch_sink(boundary, path, writer="replayed")
+    batch = spark.read.schema(rows.schema).parquet(source)
+    for micro_batch in (0, 0, 1, 1):
+        sink(batch.filter(F.col(td.ID) % 2 == micro_batch), micro_batch)
+    for checkpoint in ("first", "lost"):
         st_scoring.run_scoring_stream(
-            spark, source, rows.schema, boundary, path, f"{path}-checkpoint", max_files_per_trigger=1000
+            spark, source, rows.schema, boundary, path, f"{path}-{checkpoint}", max_files_per_trigger=1000, writer="stream"
         )
     appends = store.read_store(spark, path)
     counts = appends.groupBy(td.ID).agg(F.count(F.lit(1)).alias("n_appends"), F.count_distinct("batch_id").alias("n_batches"))

@@ -4,9 +4,9 @@ A file source feeds the production slice (``maxFilesPerTrigger`` sets the
 chunk size); each micro-batch is quarantined (V10), scored (stateless) and
 appended to the score store in the store's own append order. The query
 checkpoint replaces the batch-mode anti-join (J3): a file is processed once.
-The sink is idempotent: a micro-batch replayed after a failure takes the same
-place in the store and replaces its rows, and one that was committed is not
-written again.
+The sink is idempotent: the store's commit log knows each query's newest
+micro-batch, so one that was committed is not written again, and the rows of
+one that wasn't are in no snapshot. A batch reads one log entry, not the store.
 """
 
 from __future__ import annotations
@@ -14,43 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.operators import contract as contract_ops
 from vigil.operators import store, trigger
-from vigil.session import path_exists
-
-
-class _BatchLog:
-    """Which store batch a query's micro-batch got, and whether it is whole.
-
-    Micro-batch numbers start at 0 for every query, so a note is kept per query
-    id and micro-batch. The place in the store's append order is noted before
-    the rows are written and the commit after them; a replay before the commit
-    takes the same place and replaces what was there. One writer at a time.
-    """
-
-    def __init__(self, spark: SparkSession, store_path: str, batch_id: int) -> None:
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
-        self.spark, self.store_path = spark, store_path
-        self.query = query
-        self.note = f"{store_path}/{store.LOG}/query={query}/micro_batch={batch_id}"
-        self.done = f"{store_path}/_commits/query={query}/micro_batch={batch_id}"
-
-    def committed(self) -> bool:
-        return path_exists(self.spark, f"{self.done}/_SUCCESS")
-
-    def place(self) -> int:
-        if path_exists(self.spark, f"{self.note}/_SUCCESS"):
-            return int(self.spark.read.parquet(self.note).first()["store_batch"])
-        number = store.next_batch_id(self.spark, self.store_path)
-        self.spark.createDataFrame([(number,)], "store_batch long").write.mode("overwrite").parquet(self.note)
-        return number
-
-    def commit(self, rows: int) -> None:
-        self.spark.createDataFrame([(rows,)], "n_rows long").write.mode("overwrite").parquet(self.done)
+from vigil.operators.manifest import Manifest
 
 
 def scoring_batch_sink(
@@ -62,16 +31,17 @@ def scoring_batch_sink(
     state_path: str | None = None,
     volume_threshold: int = trigger.DEFAULT_VOLUME_THRESHOLD,
     triggers_path: str | None = None,
+    writer: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: quarantine, score, append, volume check."""
+    """The ``foreachBatch`` function: quarantine, score, append, volume check.
+
+    Micro-batch numbers start at 0 for every query, so commits are kept by
+    query; a sink that is called outside a streaming query needs a ``writer``
+    name of its own.
+    """
     features = list(boundary.contract.feature_columns)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        log = _BatchLog(spark, store_path, batch_id)
-        if log.committed():
-            return
-        place = log.place()
+    def score_batch(batch: DataFrame, batch_id: int, name: str) -> None:
         batch = batch.persist()
         try:
             rows = batch.select(id_col, *features)
@@ -79,21 +49,26 @@ def scoring_batch_sink(
                 rows, boundary.contract, require_complete=boundary.require_complete
             )
             if quarantine_path is not None:
-                rejected.write.mode("overwrite").parquet(f"{quarantine_path}/query={log.query}/batch_id={batch_id}")
+                rejected.write.mode("overwrite").parquet(f"{quarantine_path}/query={name}/batch_id={batch_id}")
             scored = boundary.score(accepted, keep=[id_col], validate_rows=False)
-            appended = store.append_scores(scored, store_path, batch_id=place)
+            store.append_scores(scored, store_path, writer=name, micro_batch=batch_id)
         finally:
             batch.unpersist()
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        name = writer or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not name:
+            raise ValueError("outside a streaming query the sink has to be given a writer name")
+        if not Manifest(spark, store_path).committed(name, batch_id):
+            score_batch(batch, batch_id, name)
         if state_path is not None and triggers_path is not None:
             # ST5: volume since the last retrain checkpoint, after this batch
-            volume = store.read_store(spark, store_path).count() - trigger.last_store_row_count(
-                trigger.read_state(spark, state_path)
-            )
+            volume = store.row_count(spark, store_path) - trigger.last_store_row_count(trigger.read_state(spark, state_path))
             if volume >= volume_threshold:
                 spark.createDataFrame([(int(volume),)], "volume long").write.mode("overwrite").parquet(
-                    f"{triggers_path}/query={log.query}/batch_id={batch_id}"
+                    f"{triggers_path}/query={name}/batch_id={batch_id}"
                 )
-        log.commit(appended)
 
     return sink
 
