@@ -26,6 +26,7 @@ from vigil.operators import (
     trigger,
     window,
 )
+from vigil.operators.drift_log import DriftLog
 from vigil.operators.manifest import Manifest
 from vigil.plans.sql import CHALLENGER_SQL, CHAMPION_SQL, NORMAL_TAIL, SLICED_CTE, STORE_CTE, TX_CTE, ks_tail
 from vigil.sources import testdata as td
@@ -654,6 +655,25 @@ def q_drift_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_metrics(drift.compute_drift(ref, cur, feature_columns=td.CONTRACT_FEATURES))
 
 
+@register(
+    "st6_incremental_drift",
+    _METRICS_SQL
+    + " SELECT feature, kind, n_ref, n_cur, round(statistic, 9) AS statistic, dof, round(p_value, 9) AS p_value FROM metrics",
+)
+def q_incremental_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """M8's metrics from batch summaries: four batches, a replay, then re-scored rows that replace others."""
+    rows = sliced(spark, sf)
+    features = list(td.CONTRACT_FEATURES)
+    log = DriftLog(spark, work_path(spark, "drift-log"), _NUMERIC_CONTRACT, td.CATEGORICAL_FEATURES)
+    log.set_reference(reference_frame(spark, sf))
+    stream = rows.filter("slice = 'stream'").select(td.ID, *features, td.champion_score().alias("score"), td.challenger_score().alias("again"))
+    for batch in (0, 1, 2, 2, 3):  # the second 2 is a replay
+        log.append(stream.filter(F.col(td.ID) % 4 == batch), batch)
+    errors = stream.filter("cat_a = 'error'")
+    log.append(errors.withColumn("score", F.col("again")), 4, replaced=errors)
+    return _rounded_metrics(log.metrics())
+
+
 _DECISION_SQL = """
 SELECT CAST(count(*) FILTER (WHERE kind <> 'score') AS BIGINT) AS n_features,
        CAST(count(*) FILTER (WHERE kind <> 'score' AND p_value < 0.05) AS BIGINT) AS n_drifted,
