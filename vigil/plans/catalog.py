@@ -1209,6 +1209,102 @@ def q_label_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
+# --------------------------------------------------------------------------- #
+# ST4 reveal timers, ST3 exact replays
+# --------------------------------------------------------------------------- #
+
+_PATIENCE = 43200.0  # half a day more for labels that are late
+
+
+@register(
+    "st4_reveal_timers",
+    f"""WITH {SLICED_CTE}, r AS (
+  SELECT TransactionID, {CHAMPION_SQL} AS score, TransactionDT AS t, CASE WHEN k % 5 <> 0 THEN isFraud END AS label,
+         max(greatest(TransactionDT, CASE WHEN k % 5 <> 0 THEN TransactionDT + k * 60 ELSE 0 END)) OVER () AS now
+  FROM sliced WHERE slice = 'stream'
+)
+SELECT TransactionID, score, label AS isFraud, CASE WHEN label IS NULL THEN 'unlabelled' ELSE 'revealed' END AS outcome
+FROM r WHERE t + CASE WHEN label IS NULL THEN {_LAG + _PATIENCE} ELSE {_LAG} END <= now""",
+)
+def q_reveal_timers(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored rows and labels as one stream: labels leave once the lag has passed, rows without one on the side."""
+    from vigil.streaming import labels, reveal
+
+    rows = sliced(spark, sf).filter(F.col("slice") == "stream")
+    at = F.timestamp_seconds(td.TIME)
+    none = lambda kind: F.lit(None).cast(kind)
+    column = lambda c, name: c.alias(name)
+    scored = rows.select(
+        column(F.col(td.ID), "id"), column(F.lit(0).cast("long"), "seq"), column(td.champion_score(), "score"),
+        column(none("int"), "label"), column(at, "event_ts"), column(at, "at"),
+    )
+    told = rows.filter("k % 5 <> 0").select(
+        column(F.col(td.ID), "id"), column(F.lit(0).cast("long"), "seq"), column(none("double"), "score"),
+        column(F.col(td.LABEL).cast("int"), "label"), column(none("timestamp"), "event_ts"),
+        column(F.timestamp_seconds(F.col(td.TIME) + F.col("k") * 60), "at"),
+    )
+    source, target = work_path(spark, "records"), work_path(spark, "outcomes")
+    records = scored.unionByName(told)
+    records.write.parquet(source)
+    stream = spark.readStream.schema(records.schema).parquet(source)
+    with reveal.rocksdb_state(spark), labels.state_partitions(spark, spark.sparkContext.defaultParallelism):
+        out = reveal.reveal(stream, lag_seconds=_LAG, patience_seconds=_PATIENCE)
+        query = (
+            out.writeStream.format("parquet")
+            .option("path", target)
+            .option("checkpointLocation", work_path(spark, "outcomes-ckpt"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    return spark.read.schema(out.schema).parquet(target).select(
+        F.col("id").alias(td.ID), "score", F.col("label").alias(td.LABEL), "outcome"
+    )
+
+
+@register(
+    "st3_exact_replays",
+    f"""WITH {SLICED_CTE}, r AS (SELECT TransactionID, {CHAMPION_SQL} AS score, cat_a, k FROM sliced WHERE slice = 'stream'),
+passed AS (
+  SELECT TransactionID, score FROM r
+  UNION ALL SELECT TransactionID, score + 1 FROM r WHERE cat_a = 'error'
+  UNION ALL SELECT TransactionID, score FROM r WHERE k < 10
+)
+SELECT TransactionID, CAST(count(*) AS BIGINT) AS n_passed, max(score) AS score FROM passed GROUP BY TransactionID""",
+)
+def q_exact_replays(spark: SparkSession, sf: str) -> DataFrame:
+    """Replays inside the delay are dropped; other payloads pass, and so do replays long after."""
+    from vigil.streaming import labels, replays, reveal
+
+    rows = sliced(spark, sf).filter(F.col("slice") == "stream").select(td.ID, td.champion_score().alias("score"), "cat_a", "k")
+    source, target = work_path(spark, "replayed"), work_path(spark, "passed")
+    told = lambda df, minute: df.select(td.ID, "score", F.timestamp_seconds(F.lit(minute * 60)).alias("at"))
+    errors = rows.filter("cat_a = 'error'").withColumn("score", F.col("score") + 1)
+    ahead = spark.range(1).select(F.lit(-1).cast("long").alias(td.ID), F.lit(0.0).alias("score"))
+    parts = [
+        told(rows, 0).unionByName(told(rows.filter("k % 3 = 0"), 0)),  # repeated within a micro-batch
+        told(rows, 20).unionByName(told(errors, 20)),  # and in the next one
+        told(ahead, 600),  # the delay has passed
+        told(ahead.withColumn("score", F.lit(1.0)), 605),
+        told(rows.filter("k < 10"), 610),
+    ]
+    for part in parts:  # a file each, one micro-batch each
+        part.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(parts[0].schema).option("maxFilesPerTrigger", 1).parquet(source)
+    with reveal.rocksdb_state(spark), labels.state_partitions(spark, spark.sparkContext.defaultParallelism):
+        out = replays.without_replays(stream, id_col=td.ID, time_col="at", payload=["score"], delay="1 hour")
+        query = (
+            out.writeStream.format("parquet")
+            .option("path", target)
+            .option("checkpointLocation", work_path(spark, "passed-ckpt"))
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    passed = spark.read.schema(out.schema).parquet(target).filter(F.col(td.ID) >= 0)
+    return passed.groupBy(td.ID).agg(F.count(F.lit(1)).alias("n_passed"), F.max("score").alias("score"))
+
+
 # --------------------------------------------------------------------------- #
 # M12 monitoring pass: next unseen chunk -> store -> drift -> decision
 # --------------------------------------------------------------------------- #
