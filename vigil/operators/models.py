@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.ordered import prefix_sums, rows_at_ranks
 from vigil.operators.contract import Contract
+from vigil.operators.discriminant import LinearDiscriminant
 from vigil.session import path_exists
 
 MISSING_LEVEL = "missing"
@@ -159,7 +160,7 @@ def with_model_inputs(df: DataFrame, numeric: Sequence[str], categorical: Sequen
 
 
 def classifier(kind: str = "gbt", *, label_col: str = "isFraud", seed: int = 7, **params):
-    """A Spark ML classifier by name (gbt, rf, logreg, svc)."""
+    """A classifier by name (gbt, rf, logreg, svc, lda)."""
     common = {"labelCol": "_label", "featuresCol": "_features"}
     if kind == "gbt":
         return GBTClassifier(seed=seed, maxIter=params.pop("maxIter", 40), maxDepth=params.pop("maxDepth", 4), **common, **params)
@@ -169,6 +170,8 @@ def classifier(kind: str = "gbt", *, label_col: str = "isFraud", seed: int = 7,
         return LogisticRegression(maxIter=params.pop("maxIter", 50), **common, **params)
     if kind == "svc":
         return LinearSVC(maxIter=params.pop("maxIter", 50), **common, **params)
+    if kind == "lda":
+        return LinearDiscriminant(**common, **params)
     raise ValueError(f"unknown classifier kind {kind!r}")
 
 
@@ -183,7 +186,7 @@ def fit(
 ) -> PipelineModel:
     """M1: fit ``prep + assembler + classifier`` on ``train``."""
     numeric = [c for c in contract_features if c not in set(categorical)]
-    one_hot = kind in ("logreg", "svc")
+    one_hot = kind in ("logreg", "svc", "lda")
     medians = {r["column_name"]: r["median"] for r in exact_medians(train, numeric).collect()}
     stages, inputs = preprocessing_stages(numeric, categorical, medians=medians, one_hot=one_hot)
     if kind in ("gbt", "rf") and categorical:
@@ -230,11 +233,26 @@ def baseline_aucs(
     categorical: Sequence[str],
     *,
     label_col: str = "isFraud",
-    kinds: Sequence[str] = ("logreg", "svc", "rf", "gbt"),
+    kinds: Sequence[str] = ("logreg", "svc", "lda", "rf", "gbt"),
 ) -> DataFrame:
     """Validation AUC per model kind (exact AUC from the shared primitive)."""
     from vigil.operators.evaluate import auc_frame
 
+    scored = baseline_scores(train, valid, contract_features, categorical, label_col=label_col, kinds=kinds)
+    return auc_frame(scored, label_col=label_col, by=["model"])
+
+
+def baseline_scores(
+    train: DataFrame,
+    valid: DataFrame,
+    contract_features: Sequence[str],
+    categorical: Sequence[str],
+    *,
+    label_col: str = "isFraud",
+    kinds: Sequence[str] = ("logreg", "svc", "lda", "rf", "gbt"),
+) -> DataFrame:
+    """``model, label, score`` of every validation row under every kind of model."""
+
     numeric = [c for c in contract_features if c not in set(categorical)]
     scored = None
     for kind in kinds:
@@ -242,7 +260,7 @@ def baseline_aucs(
         s = score_frame(model, valid.select(label_col, *contract_features), numeric, categorical)
         s = s.select(F.lit(kind).alias("model"), label_col, "score")
         scored = s if scored is None else scored.unionByName(s)
-    return auc_frame(scored, label_col=label_col, by=["model"])
+    return scored
 
 
 # --------------------------------------------------------------------------- #

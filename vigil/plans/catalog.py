@@ -1064,45 +1064,6 @@ def q_impute_rows(spark: SparkSession, sf: str) -> DataFrame:
     return imputed.select(td.ID, "f_partial", "f_partial_missing", "cat_b")
 
 
-def _trained_summary(spark: SparkSession, trained) -> DataFrame:
-    return spark.createDataFrame(
-        [(trained.n_train, trained.n_test, trained.n_stream, trained.test_auc, trained.threshold, trained.expected_cost)],
-        "n_train long, n_test long, n_stream long, test_auc double, threshold double, expected_cost double",
-    )
-
-
-@register("m3_seed_champion")
-def q_seed(spark: SparkSession, sf: str) -> DataFrame:
-    from vigil.plans import training
-
-    t = tx(spark, sf)
-    trained = training.seed_champion(
-        t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, model_path=work_path(spark, "seed")
-    )
-    return _trained_summary(spark, trained)
-
-
-@register("m4_challenger")
-def q_challenger(spark: SparkSession, sf: str) -> DataFrame:
-    from vigil.plans import training
-
-    c, _test, _stream = _corpus(spark, sf)
-    trained = training.train_challenger(
-        c, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES
-    )
-    return _trained_summary(spark, trained)
-
-
-@register("m11_baselines")
-def q_baselines(spark: SparkSession, sf: str) -> DataFrame:
-    from vigil.operators import models
-
-    s = sliced(spark, sf)
-    train = s.filter(F.col("slice") == "train")
-    valid = s.filter(F.col("slice") == "test")
-    return models.baseline_aucs(train, valid, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES)
-
-
 # --------------------------------------------------------------------------- #
 # P8/P9 complete rows, V9 score range, W5 placement values
 # --------------------------------------------------------------------------- #
@@ -1352,41 +1313,6 @@ def q_monitoring_pass(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-# --------------------------------------------------------------------------- #
-# M13 retraining pass: trigger -> corpus -> challenger -> DeLong gate -> state
-# --------------------------------------------------------------------------- #
-
-
-@register("m13_retraining_pass")
-def q_retraining_pass(spark: SparkSession, sf: str) -> DataFrame:
-    from vigil.plans import training
-
-    t = tx(spark, sf)
-    seed = training.seed_champion(t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES)
-    store_path = work_path(spark, "retrain-store")
-    store.append_scores(scored_store(spark, sf), store_path)
-    out = training.retraining_pass(
-        t,
-        seed.model,
-        seed.contract,
-        store_path,
-        work_path(spark, "retrain-state"),
-        served_path=work_path(spark, "served"),
-        volume_threshold=200,
-        reveal_lag=_LAG,
-    )
-    d = out.decision
-    row = [(
-        out.trigger.retrain, out.trigger.volume_since_last, out.corpus_size, out.shared_test_size,
-        d.auc_champion if d else None, d.auc_challenger if d else None, d.p_value if d else None, out.promoted,
-    )]
-    return spark.createDataFrame(
-        row,
-        "retrain boolean, volume_since_last long, corpus_size long, shared_test_size long, "
-        "auc_champion double, auc_challenger double, p_value double, promoted boolean",
-    )
-
-
 # --------------------------------------------------------------------------- #
 # V3 on raw text input: CSV read as text, numeric checks row by row
 # --------------------------------------------------------------------------- #
@@ -1596,3 +1522,7 @@ def q_features_and_label(spark: SparkSession, sf: str) -> DataFrame:
     """Features and label stay on their rows; absent columns to drop don't matter."""
     features, label = profile.prepare_data(profile.drop_present(tx(spark, sf), [td.TIME, "not there"]))
     return features.groupBy(label).agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("amount"), 2).alias("amount"))
+
+
+# queries of the model operators register themselves
+from vigil.plans import model_queries  # noqa: E402, F401

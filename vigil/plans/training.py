@@ -13,14 +13,17 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import timedelta
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from vigil.functions.ordered import at_or_before, rows_at_ranks
 from vigil.operators import corpus, evaluate, leaderboard, models, promote, split, store, trigger
 from vigil.operators.contract import Contract, ScoringBoundary
-from vigil.session import written
+from vigil.session import work_path, written
 
 
 @dataclass(frozen=True)
@@ -33,6 +36,8 @@ class TrainedModel:
     n_train: int
     n_test: int
     n_stream: int
+    #: The test slice's labels and scores, as written.
+    scored: DataFrame | None = None
 
 
 def _fit_and_evaluate(
@@ -49,24 +54,21 @@ def _fit_and_evaluate(
     model = models.fit(train, features, categorical, label_col=label_col, kind=kind, **params)
     numeric = [c for c in features if c not in set(categorical)]
     scored = models.score_frame(model, test.select(label_col, *features), numeric, categorical)
-    scored = scored.select(label_col, "score").persist()
-    try:
-        auc = evaluate.auc(scored, label_col=label_col)
-        threshold = evaluate.operating_threshold(scored, cost_ratio=cost_ratio, label_col=label_col)
-        cost = evaluate.expected_cost(scored, threshold, cost_ratio=cost_ratio, label_col=label_col)
-        sizes = (
-            train.select(F.lit("train").alias("p"))
-            .unionByName(test.select(F.lit("test").alias("p")))
-            .unionByName(stream.select(F.lit("stream").alias("p")))
-            .groupBy("p")
-            .count()
-            .collect()
-        )
-    finally:
-        scored.unpersist()
+    scored = written(scored.select(label_col, "score"), "test-scores")
+    auc = evaluate.auc(scored, label_col=label_col)
+    threshold = evaluate.operating_threshold(scored, cost_ratio=cost_ratio, label_col=label_col)
+    cost = evaluate.expected_cost(scored, threshold, cost_ratio=cost_ratio, label_col=label_col)
+    sizes = (
+        train.select(F.lit("train").alias("p"))
+        .unionByName(test.select(F.lit("test").alias("p")))
+        .unionByName(stream.select(F.lit("stream").alias("p")))
+        .groupBy("p")
+        .count()
+        .collect()
+    )
     n = {r["p"]: r["count"] for r in sizes}
     contract = Contract(tuple(features), tuple(categorical), float(threshold))
-    return TrainedModel(model, contract, auc, threshold, cost, n.get("train", 0), n.get("test", 0), n.get("stream", 0))
+    return TrainedModel(model, contract, auc, threshold, cost, n.get("train", 0), n.get("test", 0), n.get("stream", 0), scored)
 
 
 def seed_champion(
@@ -115,8 +117,10 @@ class RetrainingOutcome:
     trigger: Row
     corpus_size: int
     shared_test_size: int
-    decision: promote.PromotionDecision | None
+    decision: Row | None
     promoted: bool
+    #: The shared test slice's labels and both models' scores, as written.
+    paired: DataFrame | None = None
 
 
 def retraining_pass(
@@ -141,7 +145,7 @@ def retraining_pass(
     """Trigger -> corpus -> challenger -> DeLong gate -> publish -> state."""
     spark = transactions.sparkSession
     st = store.read_store(spark, store_path)
-    store_rows = st.count()
+    store_rows = store.row_count(spark, store_path)
     last = trigger.last_store_row_count(trigger.read_state(spark, state_path))
     trig = trigger.retrain_decision(
         spark, max(store_rows - last, 0), volume_threshold=volume_threshold, drift_alarm=drift_alarm
@@ -163,15 +167,26 @@ def retraining_pass(
     # both scores are appended to the same shared-test rows (no join back)
     a = models.score_frame(champion, test, numeric, categorical).withColumnRenamed("score", "champion")
     paired = models.score_frame(challenger.model, a, numeric, categorical).withColumnRenamed("score", "challenger")
+    paired = written(paired.select(label_col, "champion", "challenger"), "paired-scores")
     decision = promote.decide_promotion(paired, label_col=label_col, alpha=alpha)
     if decision.promote and served_path:
         models.save_model(spark, challenger.model, challenger.contract, served_path)
     sizes = corpus_df.count(), shared_test.count()
     trigger.write_state(spark, state_path, store_row_count=store_rows)
-    return RetrainingOutcome(trig, sizes[0], sizes[1], decision, decision.promote)
+    return RetrainingOutcome(trig, sizes[0], sizes[1], decision, decision.promote, paired)
 
 
-def time_series_cv(
+@dataclass(frozen=True)
+class CrossValidation:
+    """Per draw the mean fold AUC and whether it is the best; ``draw, fold, label, score`` of all test rows."""
+
+    per_draw: DataFrame
+    scored: DataFrame
+    #: Rows that each fold's models were fitted and stopped on.
+    folds: DataFrame
+
+
+def cross_validate(
     frame: DataFrame,
     features: Sequence[str],
     categorical: Sequence[str],
@@ -180,59 +195,93 @@ def time_series_cv(
     n_draws: int = 4,
     n_splits: int = 5,
     label_col: str = "isFraud",
+    time_col: str = "TransactionDT",
+    id_col: str = "TransactionID",
     kind: str = "gbt",
     seed: int = 0,
-) -> DataFrame:
-    """M9: random parameter draws x expanding folds; mean fold AUC per draw.
+    side_by_side: int = 4,
+    stop_share: float = 0.2,
+) -> CrossValidation:
+    """M9: random parameter draws x expanding folds, as one job over cached features.
 
-    Fold membership is a range predicate on the global ``(time, id)`` rank,
-    so each fit reads its rows straight from ``frame``.
+    Rows carry the first fold they are tested in (``_fold``, ranks of (time,
+    id), NULL times last); fold f is fitted on the rows before it. Boosted
+    trees stop early on the newest ``stop_share`` of these. All fits of all
+    folds and draws run side by side, ``side_by_side`` at a time, from one
+    cached frame; every fit writes its test scores, and one pass over them
+    gives all fold AUCs.
     """
     rng = random.Random(seed)
     draws = [{k: rng.choice(list(v)) for k, v in param_space.items()} for _ in range(n_draws)]
-    keys = frame.select("TransactionDT", "TransactionID")
+    order = [time_col, id_col]
 
-    def boundaries(n: int) -> list[int]:
-        size = n // (n_splits + 1)
-        return [n - (n_splits - f) * size for f in range(n_splits)] + [
-            n - (n_splits - f) * size + size for f in range(n_splits)
-        ]
+    def cut(n: int, f: int) -> int:
+        return n - (n_splits - f) * (n // (n_splits + 1))
 
-    from vigil.functions.ordered import rows_at_ranks
+    def stop(n: int, f: int) -> int:
+        return max(1, cut(n, f) - int(cut(n, f) * stop_share))
 
-    n, found = rows_at_ranks(keys, ["TransactionDT", "TransactionID"], boundaries)
-    size = n // (n_splits + 1)
+    keys = frame.select(*order)
+    n, found = rows_at_ranks(keys, order, lambda n: [r for f in range(n_splits) for r in (cut(n, f), stop(n, f))])
+    if n < n_splits + 1:
+        raise ValueError(f"{n} rows are too few for {n_splits} folds")
+    upto = lambda rank: at_or_before(order, [found[rank][c] for c in order])
+    fold = F.lit(n_splits - 1)
+    for f in reversed(range(n_splits)):
+        fold = F.when(upto(cut(n, f)), f - 1).otherwise(fold)
+    spark = frame.sparkSession
+    numeric = [c for c in features if c not in set(categorical)]
+    cached = frame.select(label_col, *dict.fromkeys([*order, *features]), fold.alias("_fold")).persist(StorageLevel.MEMORY_AND_DISK)
+    path = work_path(spark, "cv-scores")
 
-    def upto(rank: int):
-        row = found[rank]
-        t, i = row["TransactionDT"], row["TransactionID"]
-        return (F.col("TransactionDT") < t) | ((F.col("TransactionDT") == t) & (F.col("TransactionID") <= i))
+    def run(job: tuple[int, int]) -> None:
+        d, f = job
+        params = dict(draws[d])
+        train = cached.filter(F.col("_fold") < f)
+        if kind == "gbt":
+            train = train.withColumn("_late", ~upto(stop(n, f)))
+            params["validationIndicatorCol"] = "_late"
+        model = models.fit(train, features, categorical, label_col=label_col, kind=kind, **params)
+        test = cached.filter(F.col("_fold") == f).select(label_col, *features)
+        models.score_frame(model, test, numeric, categorical).select(label_col, "score").write.parquet(f"{path}/draw={d}/fold={f}")
 
-    numeric = [c for c in features if c not in set(categorical)]
-    results = []
-    spark = frame.sparkSession
-    for d, params in enumerate(draws):
-        for f in range(n_splits):
-            s = n - (n_splits - f) * size
-            train = frame.filter(upto(s))
-            test = frame.filter(~upto(s) & upto(s + size))
-            model = models.fit(train, features, categorical, label_col=label_col, kind=kind, **params)
-            scored = models.score_frame(model, test.select(label_col, *features), numeric, categorical)
-            results.append((d, str(params), f, evaluate.auc(scored, label_col=label_col)))
-    table = spark.createDataFrame(results, "draw int, params string, fold int, auc double")
-    per_draw = table.groupBy("draw", "params").agg(F.avg("auc").alias("mean_auc"), F.count(F.lit(1)).alias("folds"))
+    try:
+        with ThreadPool(side_by_side) as pool:
+            pool.map(inheritable_thread_target(run), [(d, f) for d in range(n_draws) for f in range(n_splits)], chunksize=1)
+        counts = cached.groupBy("_fold").agg(F.count(F.lit(1)).alias("n")).collect()
+    finally:
+        cached.unpersist()
+    scored = spark.read.parquet(path)
+    sizes = {r["_fold"]: r["n"] for r in counts}
+    folds = spark.createDataFrame(
+        [(f, sum(c for g, c in sizes.items() if g < f), stop(n, f), sizes.get(f, 0)) for f in range(n_splits)],
+        "fold int, n_train long, n_fitted long, n_test long",
+    )
+    table = written(evaluate.auc_frame(scored, label_col=label_col, by=["draw", "fold"]), "cv-aucs")
+    named = spark.createDataFrame([(d, str(p)) for d, p in enumerate(draws)], "draw int, params string")
+    per_draw = written(
+        table.groupBy("draw").agg(F.avg("auc").alias("mean_auc"), F.count(F.lit(1)).alias("folds")).join(named, "draw"), "cv-draws"
+    )
     # The best draw by mean AUC (NaN-safe, ties -> earliest draw)
     best = leaderboard.best_per_group(
         per_draw.withColumn("_all", F.lit(1)), group_cols=["_all"], metric_col="mean_auc", seq_col="draw", payload=["draw"]
     ).select(F.col("draw").alias("_best"))
-    return per_draw.join(best, how="left", on=per_draw["draw"] == best["_best"]).select(
+    told = per_draw.join(best, how="left", on=per_draw["draw"] == best["_best"]).select(
         "draw", "params", "mean_auc", "folds", F.col("_best").isNotNull().alias("best")
     )
+    return CrossValidation(told, scored, folds)
+
+
+def time_series_cv(frame: DataFrame, features: Sequence[str], categorical: Sequence[str], **how) -> DataFrame:
+    """M9's table: ``draw, params, mean_auc, folds, best``; see ``cross_validate``."""
+    return cross_validate(frame, features, categorical, **how).per_draw
 
 
 __all__ = [
+    "CrossValidation",
     "RetrainingOutcome",
     "TrainedModel",
+    "cross_validate",
     "model_boundary",
     "retraining_pass",
     "seed_champion",

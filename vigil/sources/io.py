@@ -106,6 +106,43 @@ def parse_json_payloads(
     )
 
 
+def json_findings(df: DataFrame, json_col: str, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
+    """S7 with one parse: typed columns and what is wrong with each payload.
+
+    The text becomes a VARIANT once; fields, keys and findings are read from it.
+    ``malformed``: text that is no JSON object; ``missing_keys``: fields of the
+    schema that are absent or null; ``unknown_keys``: keys beyond the schema;
+    ``bad_values``: fields whose value isn't of the type. Lists are in order and
+    ``; ``-joined. A NULL payload has no findings but its missing keys.
+    """
+    names = [f.name for f in schema.fields]
+    parsed = df.select(*keep, F.col(json_col).isNotNull().alias("_given"), F.try_parse_json(json_col).alias("_v"))
+    fields = F.expr("try_variant_get(_v, '$', 'map<string, variant>')")
+    parsed = parsed.withColumn("_m", fields)
+
+    def at(name: str, kind: str):
+        path = "$['" + name.replace("\\", "\\\\").replace("'", "\\'") + "']"
+        return F.try_variant_get(F.when(F.col("_m").isNotNull(), F.col("_v")), path, kind)
+
+    value = {f.name: at(f.name, f.dataType.simpleString()) for f in schema.fields}
+    present = {n: at(n, "string").isNotNull() | at(n, "variant").isNotNull() & ~F.coalesce(F.is_variant_null(at(n, "variant")), F.lit(True)) for n in names}
+    keys = F.coalesce(F.map_keys("_m"), F.array().cast("array<string>"))
+    listed = lambda cond: F.concat_ws("; ", F.array_compact(F.array(*[F.when(cond(n), F.lit(n)) for n in sorted(names)])))
+    return parsed.select(
+        *keep,
+        *[value[n].alias(n) for n in names],
+        (F.col("_given") & F.col("_m").isNull()).alias("malformed"),
+        listed(lambda n: ~present[n]).alias("missing_keys"),
+        F.concat_ws("; ", F.array_sort(F.array_except(keys, F.array(*[F.lit(n) for n in names])))).alias("unknown_keys"),
+        listed(lambda n: present[n] & value[n].isNull()).alias("bad_values"),
+    )
+
+
+def payload_schema(df: DataFrame, json_col: str) -> str:
+    """The schema that all parsable payloads share, to compare between windows: drift of the key set."""
+    return df.select(F.schema_of_variant_agg(F.try_parse_json(json_col))).first()[0]
+
+
 def write_report_json(metrics: DataFrame, path: str) -> None:
     """The drift metrics table as JSON lines (one small file)."""
     metrics.coalesce(1).write.mode("overwrite").json(path)
