@@ -203,7 +203,7 @@ def passages(seed, short=True):
 @pytest.mark.parametrize("short", [True, False])
 def test_decontamination_matches_brute_force(spark, size, short):
     docs, items = passages(int(short), short)
-    frame = spark.createDataFrame([(i, t, "s", 1) for i, t in docs], "doc_id long, text string, spans string, _row int")
+    frame = spark.createDataFrame([(i, t, "s", 1) for i, t in docs], "doc_id long, text string, `spans: a, b` string, _row int")
     tests = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, n_words int")
     got = decontaminate.scan(frame, tests, automaton_bytes=size).select(
         "_doc.doc_id", "n_words", decontaminate.n_hit(), F.size("items"), F.sha2(F.concat_ws(",", "items"), 256), F.size("spans") > 0

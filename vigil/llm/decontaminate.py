@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vigil.llm import textkit
 from vigil.llm.common import every, located, materialize, small_batches
@@ -270,7 +271,8 @@ def scan(
     if second is None:
         source = docs.select(whole, text)
         carried = pa.schema([("_doc", pa.null())])
-        out = f"_doc {source.schema['_doc'].dataType.simpleString()}, n_words long, spans {SPANS}, items array<string>"
+        found = spark.createDataFrame([], f"n_words long, spans {SPANS}, items array<string>").schema
+        out = T.StructType([source.schema["_doc"], *found])
         return source.mapInArrow(_scan(spark.sparkContext.broadcast(held), carried, False), out)
     # several automata: their findings are joined by the documents' places
     placed = located(docs.select(whole), "documents")
