@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import textkit
-from vigil.llm.common import drop_tables, every, located, materialize, small_batches
+from vigil.llm.common import drop_tables, every, located, materialize, release, small_batches
 from vigil.llm.graph import components
 from vigil.session import ship_package
 
@@ -38,6 +38,8 @@ MISS = 1e-5
 SKETCH_BITS = 1024
 #: How far below a threshold of 0.85 the sketch's estimate may lie: five standard errors.
 SLACK = 0.15
+#: Keys of the hash that candidates are found by, and of the one that links are checked with.
+RETRIEVE, VERIFY = 0, 1
 #: Classes on either side of a block of exact comparisons.
 BLOCK = 128
 
@@ -87,8 +89,15 @@ def sketch_limit(similarity: float) -> int:
     return math.ceil(SKETCH_BITS / 2 * (1 - math.exp(-4 * ROWS * BANDS * (1 - similarity) / SKETCH_BITS)))
 
 
-def _fingerprint(values: np.ndarray) -> bytes:
-    return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
+def _fingerprint(retrieved: np.ndarray, verified: np.ndarray) -> bytes:
+    """Of a set as two independent hashes see it."""
+    return hashlib.blake2b(retrieved.tobytes() + verified.tobytes(), digest_size=16).digest()
+
+
+def _both_sets(part: pa.RecordBatch, size: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Shingle sets under the retrieving and under the verifying hash."""
+    data, bounds = textkit.text_bytes(part.column("text"))
+    return textkit.shingles(data, bounds, size, RETRIEVE), textkit.shingles(data, bounds, size, VERIFY)
 
 
 def _signatures(size: int, percent: int):
@@ -96,7 +105,7 @@ def _signatures(size: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in textkit.slices(batches, "text"):
-            sets = textkit.shingles(*textkit.text_bytes(part.column("text")), size)
+            sets, verified = _both_sets(part, size)
             lengths = np.array([len(s) for s in sets], dtype=np.int64)
             full = np.flatnonzero(lengths)
             bands: list = [None] * len(sets)
@@ -107,7 +116,7 @@ def _signatures(size: int, percent: int):
                 samples = minhash(np.concatenate([sets[i] for i in full]), firsts, ROWS * BANDS)
                 keys, odd = band_keys(samples, *shape), odd_sketch(samples)
                 for j, i in enumerate(full):
-                    bands[i], sketches[i], prints[i] = keys[j], odd[j], _fingerprint(sets[i])
+                    bands[i], sketches[i], prints[i] = keys[j], odd[j], _fingerprint(sets[i], verified[i])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
@@ -127,11 +136,11 @@ def _signatures(size: int, percent: int):
 def _full_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in textkit.slices(batches, "text"):
-            sets = textkit.shingles(*textkit.text_bytes(part.column("text")), size)
+            sets, verified = _both_sets(part, size)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_fingerprint(s) for s in sets], pa.binary()),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([_fingerprint(s, v) for s, v in zip(sets, verified, strict=True)], pa.binary()),
+                    pa.array([v.view(np.int64) for v in verified], pa.list_(pa.int64())),
                 ],
                 names=["fp", "items"],
             )
@@ -282,7 +291,9 @@ def near_dedup(
         "star",
     )
     links = verify.links(star)
+    release(spark)
     found = components(links)
+    release(spark)
 
     # what the pivots left apart: in a group of classes that share buckets,
     # those outside its largest component against the other components' classes
@@ -346,11 +357,12 @@ def keep_rows(docs: DataFrame, *, percent: int = 80, **options) -> DataFrame:
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return near_dedup(docs, percent=85).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+    kept = F.col("id").eqNullSafe(F.col("component_id"))
+    return near_dedup(docs, percent=85).select(F.col("id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
 
 
-#: A brute-force join over all shingles: for small tables only.
-BRUTE_FORCE_SQL = r"""
+#: A join over all shingles and a walk over the links: for small tables.
+ORACLE_SQL = r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
   FROM documents
@@ -359,8 +371,15 @@ WITH w AS (
   FROM w, LATERAL (SELECT unnest(range(1, greatest(len(ws) - 3, 2))) AS i) WHERE len(ws) > 0
 ), n AS (
   SELECT doc_id, count(*) AS n FROM sh GROUP BY 1
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 85 * (any_value(na.n) + any_value(nb.n) - count(*))
+), walk AS (
+  WITH RECURSIVE r AS (
+    SELECT a AS doc_id, a AS seen FROM links UNION SELECT r.doc_id, l.b FROM r JOIN links l ON r.seen = l.a
+  ) SELECT doc_id, min(seen) AS component_id FROM r GROUP BY 1
 )
-SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common, any_value(na.n) AS na, any_value(nb.n) AS nb
-FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
-GROUP BY 1, 2 HAVING 100 * count(*) >= 85 * (any_value(na.n) + any_value(nb.n) - count(*))
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN walk USING (doc_id)
 """

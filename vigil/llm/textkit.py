@@ -86,8 +86,29 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * _pow(_UNBASE, len(data) + 1)[starts])
 
 
-def shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray]:
-    """Per text the sorted distinct hashes of its ``size``-word shingles.
+def keyed_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int) -> np.ndarray:
+    """A 64-bit hash of each byte span that is no polynomial of its bytes.
+
+    Every run of eight bytes is mixed before it enters the sum, so texts made
+    to cancel in a polynomial don't. Spans of fewer bytes are mixed whole.
+    Different keys give independent hashes.
+    """
+    n = len(data)
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray(n + 1, dtype="<u8", buffer=padded, strides=(1,)).astype(np.uint64)
+    salt = mix(np.array([key + 1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[0]
+    total = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(mix(eight[:n] ^ salt) * _pow(_BASE, n), out=total[1:])
+    size = ends - starts
+    last = np.maximum(ends - 7, starts)
+    long = (total[last] - total[starts]) * _pow(_UNBASE, n + 1)[starts]
+    kept = np.minimum(size, 7).astype(np.uint64) * np.uint64(8)
+    short = mix((eight[starts] & ((np.uint64(1) << kept) - np.uint64(1))) ^ salt)
+    return mix(np.where(size >= 8, long, short) + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + salt)
+
+
+def shingles(data: np.ndarray, bounds: np.ndarray, size: int, key: int = 0) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes, by ``key``, of its ``size``-word shingles.
 
     A text with fewer words has its whole word sequence as one shingle; one
     without words has none.
@@ -95,7 +116,7 @@ def shingles(data: np.ndarray, bounds: np.ndarray, size: int) -> list[np.ndarray
     data = LOWER[data]
     starts, ends, owner = words(data, bounds)
     n = len(bounds) - 1
-    hashes = span_hashes(data, starts, ends)
+    hashes = keyed_hashes(data, starts, ends, key)
     count = np.bincount(owner, minlength=n)
     first = np.concatenate([[0], np.cumsum(count)])
     out: list[np.ndarray] = [np.zeros(0, dtype=np.uint64)] * n
