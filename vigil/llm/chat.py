@@ -16,7 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.llm.common import small_batches
@@ -80,8 +80,8 @@ def _text(value) -> str:
     return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
-def canonical_turns(record: str | None, registry: dict[str, Mapping]) -> tuple[str | None, str | None, list[tuple[str, str]]]:
-    """(fingerprint, mapping name, turns); no mapping and no turns where none fits."""
+def canonical_turns(record: str | None, registry: dict[str, Mapping]) -> tuple[str | None, str | None, list[tuple[str, str, str]]]:
+    """(fingerprint, mapping name, turns of canonical role, own role and text); no mapping and no turns where none fits."""
     try:
         value = json.loads(record) if record is not None else None
     except ValueError:
@@ -93,11 +93,11 @@ def canonical_turns(record: str | None, registry: dict[str, Mapping]) -> tuple[s
     if mapping is None:
         return print_, None, []
     if mapping.turns is None:
-        return print_, mapping.name, [(role, _text(_at(value, path))) for path, role in mapping.fields]
+        return print_, mapping.name, [(role, role, _text(_at(value, path))) for path, role in mapping.fields]
     turns = []
     for item in _at(value, mapping.turns):
         role = _text(_at(item, mapping.role))
-        turns.append((mapping.roles.get(role.lower(), role), _text(_at(item, mapping.text))))
+        turns.append((mapping.roles.get(role.lower(), role), role, _text(_at(item, mapping.text))))
     return print_, mapping.name, turns
 
 
@@ -107,20 +107,22 @@ def _map_records(registry: dict[str, Mapping]):
             out: list[tuple] = []
             for id_, base, record in zip(*(batch.column(c).to_pylist() for c in ("id", "base", "record")), strict=True):
                 print_, name, turns = canonical_turns(record, registry)
-                rows = [(id_, base + i, role, text, print_, name) for i, (role, text) in enumerate(turns)]
-                out += rows or [(id_, base, None, None, print_, name)]
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
+                rows = [(id_, base + i, *turn, print_, name) for i, turn in enumerate(turns)]
+                out += rows or [(id_, base, None, None, None, print_, name)]
+            columns = list(zip(*out, strict=True)) or [[]] * 7
+            types = [pa.int64(), pa.int64(), *[pa.string()] * 5]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                names=["id", "turn", "role", "text", "fingerprint", "mapping"],
+                names=["id", "turn", "role", "own_role", "text", "fingerprint", "mapping"],
             )
 
     return run
 
 
 def map_records(records: DataFrame, *, registry: dict[str, Mapping] = REGISTRY) -> DataFrame:
-    """Canonical turns ``id, turn, role, text, fingerprint, mapping`` of ``records (id, base, record)``.
+    """Canonical turns ``id, turn, role, own_role, text, fingerprint, mapping`` of ``records (id, base, record)``.
+
+    ``role`` is what the mapping makes of the record's ``own_role``.
 
     ``base`` orders a record's turns after those of the records before it, so
     a long conversation may come in several records. Null, malformed and unknown
@@ -129,7 +131,7 @@ def map_records(records: DataFrame, *, registry: dict[str, Mapping] = REGISTRY)
     ship_package(records.sparkSession)
     small_batches(records.sparkSession)
     return records.select("id", "base", "record").mapInArrow(
-        _map_records(registry), "id long, turn long, role string, text string, fingerprint string, mapping string"
+        _map_records(registry), "id long, turn long, role string, own_role string, text string, fingerprint string, mapping string"
     )
 
 
@@ -187,8 +189,8 @@ def _format(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def format_chats(turns: DataFrame) -> DataFrame:
-    """``turns`` formatted: ``id, turn, seq, formatted, loss_start, loss_end``, one row per turn.
+def format_chats(turns: DataFrame, *, role_col: str = "role") -> DataFrame:
+    """``turns`` formatted with the roles of ``role_col``: ``id, turn, seq, formatted, loss_start, loss_end``, one row per turn.
 
     A conversation's formatted text is its rows' end to end by ``turn, seq``;
     the mask bounds are code points within the row. Null texts and roles are
@@ -197,7 +199,7 @@ def format_chats(turns: DataFrame) -> DataFrame:
     """
     ship_package(turns.sparkSession)
     rows = turns.filter("role is not null or text is not null").withColumn("seq", F.monotonically_increasing_id())
-    return rows.select("id", "turn", "seq", "role", "text").mapInArrow(
+    return rows.select("id", "turn", "seq", F.col(role_col).alias("role"), "text").mapInArrow(
         _format, "id long, turn long, seq long, formatted string, loss_start long, loss_end long"
     )
 
@@ -263,16 +265,21 @@ def as_records(conversations: DataFrame) -> DataFrame:
 
     Conversations of a prompt and a response take the prompt layout, those of
     system, user and assistant the instruction layout; the rest is dealt to the
-    message layouts by id. A record holds ``RECORD_TURNS`` turns at most, so no
-    conversation gathers whole.
+    message layouts by id. Turns come by number, null first; those of one number
+    by role and text. A record holds ``RECORD_TURNS`` turns at most, whatever
+    their numbers, so no conversation gathers whole. Null roles and texts read
+    back empty; rows with a null ``conv_id`` are one conversation.
     """
     rows = conversations.select(
         F.col("conv_id").alias("id"), "turn", F.col("role").alias("r"), F.coalesce("text", F.lit("")).alias("x")
     ).withColumn("part", F.coalesce(F.floor(F.col("turn") / RECORD_TURNS), F.lit(0)))
-    parts = rows.groupBy("id", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "r", "x"))).alias("t"))
+    # numbers may repeat: a window streams the rows of a part and cuts it into records
+    place = F.row_number().over(Window.partitionBy("id", "part").orderBy("turn", "r", "x")) - 1
+    rows = rows.withColumn("cut", F.floor(place / RECORD_TURNS))
+    parts = rows.groupBy("id", "part", "cut").agg(F.array_sort(F.collect_list(F.struct("turn", "r", "x"))).alias("t"))
     role = F.transform("t", lambda t: t["r"])
     one = lambda i: F.element_at("t", i)["x"]
-    short = F.col("t")[0]["turn"] == 0
+    short = (F.col("part") == 0) & (F.col("cut") == 0)
     pick = F.pmod(F.col("id"), F.lit(3))
 
     def listed(name: str, who: str, what) -> Column:
@@ -288,7 +295,8 @@ def as_records(conversations: DataFrame) -> DataFrame:
         .when(pick == 1, listed("conversations", "from", lambda t: t["x"].alias("value")))
         .otherwise(listed("dialog", "speaker", lambda t: F.struct(t["x"].alias("text")).alias("utterance")))
     )
-    return parts.select("id", F.shiftleft(F.col("part").cast("long"), 32).alias("base"), record.alias("record"))
+    base = F.shiftleft(F.col("part").cast("long"), 32) + F.col("cut") * RECORD_TURNS
+    return parts.select("id", base.alias("base"), record.alias("record"))
 
 
 def query(spark: SparkSession, conversations: DataFrame) -> DataFrame:
@@ -297,4 +305,19 @@ def query(spark: SparkSession, conversations: DataFrame) -> DataFrame:
         [(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string"
     )
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    return chat_digests(format_chats(map_records(as_records(rows.unionByName(probe)))))
+    turns = map_records(as_records(rows.unionByName(probe)))
+    return chat_digests(format_chats(turns, role_col="own_role"))
+
+
+_ESCAPED = "(length(replace(replace(replace({x}, '\\', '\\\\'), '### ', '\\### '), '</turn>', '\\</turn>')))"
+ORACLE_SQL = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(4 + {_ESCAPED.format(x="role")} + length(role) - length(replace(role, chr(10), '')) + 1 + {_ESCAPED.format(x="text")} + 8)::BIGINT AS formatted_chars
+FROM c GROUP BY conv_id
+"""
