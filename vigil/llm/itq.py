@@ -30,6 +30,7 @@ from vigil.llm.graph import components
 from vigil.session import ship_package
 
 TABLES, CHUNKS, CHUNK_BITS = 2, 4, 16
+BITS = CHUNKS * CHUNK_BITS
 #: Most tables, and the share of pairs at the threshold that they must find.
 MOST_TABLES, RECALL = 48, 0.98
 #: Least number of sampled vectors of a length that rotations are learned from.
@@ -42,28 +43,28 @@ def learn(sample: np.ndarray, seed: int, rounds: int = 40) -> tuple[np.ndarray,
     """(mean, projection): signs of (x - mean) @ projection are the code's bits."""
     mean = sample.mean(axis=0)
     _, axes = np.linalg.eigh((sample - mean).T @ (sample - mean))  # by rising variance
-    bits = min(CHUNKS * CHUNK_BITS, sample.shape[1])
-    axes = axes[:, ::-1][:, :bits]
+    axes = axes[:, ::-1][:, :BITS]
     low = (sample - mean) @ axes
-    turn = np.linalg.qr(np.random.default_rng(seed).standard_normal((bits, bits)))[0]
-    for _ in range(rounds):
-        u, _, v = np.linalg.svd(low.T @ np.where(low @ turn >= 0, 1.0, -1.0))
-        turn = u @ v
-    return mean, axes @ turn
+    turns = []
+    for part in range(-(-BITS // low.shape[1])):  # vectors of few components get several rotations: all bits are learned
+        turn = np.linalg.qr(np.random.default_rng([seed, part]).standard_normal((low.shape[1], low.shape[1])))[0]
+        for _ in range(rounds):
+            u, _, v = np.linalg.svd(low.T @ np.where(low @ turn >= 0, 1.0, -1.0))
+            turn = u @ v
+        turns.append(axes @ turn)
+    return mean, np.concatenate(turns, axis=1)[:, :BITS]
 
 
 def codes(unit: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     mean, projection = model
     bits = (unit - mean) @ projection >= 0
-    full = np.zeros((len(unit), CHUNKS * CHUNK_BITS), dtype=np.uint8)
-    full[:, : bits.shape[1]] = bits
-    return np.packbits(full, axis=1, bitorder="little").view("<i8")[:, 0]
+    return np.packbits(bits, axis=1, bitorder="little").view("<i8")[:, 0]
 
 
 def about_origin(dim: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """A model that needs no sample: signs of a random rotation."""
-    turn = np.linalg.qr(np.random.default_rng([dim, seed]).standard_normal((dim, dim)))[0]
-    return np.zeros(dim), turn[:, : min(CHUNKS * CHUNK_BITS, dim)]
+    """A model that needs no sample: signs of random rotations, as many as fill a code."""
+    turns = [np.linalg.qr(np.random.default_rng([dim, seed, part]).standard_normal((dim, dim)))[0] for part in range(-(-BITS // dim))]
+    return np.zeros(dim), np.concatenate(turns, axis=1)[:, :BITS]
 
 
 def tables_about_origin(least: float) -> int:
@@ -112,6 +113,7 @@ def _encode(learned: dict[int, list], tables: int):
             vectors = batch.column("v").to_pylist()
             labels = batch.column("label").to_pylist()
             keys: list = [None] * len(vectors)
+            scaled: list = [None] * len(vectors)
             out: list = [None] * len(vectors)
             good: dict[int, list[int]] = {}
             for i, v in enumerate(vectors):
@@ -127,11 +129,14 @@ def _encode(learned: dict[int, list], tables: int):
                 unit = x / np.abs(x).max(axis=1, keepdims=True)
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
                 each = np.stack([codes(unit, m) for m in own], axis=1)
+                # by a power of two, which is exact, so that no square overflows or vanishes
+                near_one = np.ldexp(x, -np.clip(np.frexp(np.abs(x).max(axis=1))[1], -1000, 1000)[:, None])
                 for j, i in enumerate(rows):
+                    scaled[i] = near_one[j].tolist()
                     keys[i] = hashlib.blake2b(repr(labels[i]).encode() + x[j].tobytes(), digest_size=16).digest()
                     out[i] = each[j].tolist()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("label"), batch.column("v"), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64()))],
+                [batch.column("id"), batch.column("label"), pa.array(scaled, pa.list_(pa.float64())), pa.array(keys, pa.binary()), pa.array(out, pa.list_(pa.int64()))],
                 names=["id", "label", "v", "key", "codes"],
             )
 
