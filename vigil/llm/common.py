@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -55,6 +57,16 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def trim_memory(spark: SparkSession) -> None:
+    """Give memory that a job on the driver has freed back to the system, Python's and the JVM's."""
+    release(spark)
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)  # glibc keeps freed pages otherwise
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
 def drop_tables(*tables: DataFrame) -> None:
     """Delete the files behind tables made by ``materialize`` that nothing reads any more."""
     for df in tables:

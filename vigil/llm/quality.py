@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm import textkit
-from vigil.llm.common import every, materialize, small_batches
+from vigil.llm.common import every, materialize, small_batches, trim_memory
 from vigil.session import ship_package
 
 #: Hashed feature space; its weights are all that is sent to the executors.
@@ -206,7 +206,10 @@ def fit(docs: DataFrame, graded: DataFrame, *, grades: int = 3, sample_rows: int
         return None
     examples = _examples(got)
     del got
-    return fit_ordinal(examples, grades)
+    model = fit_ordinal(examples, grades)
+    del examples
+    trim_memory(spark)
+    return model
 
 
 def _examples(sample: pa.Table) -> list[tuple[np.ndarray, np.ndarray, int]]:

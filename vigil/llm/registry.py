@@ -31,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_url_ratio": urls.ORACLE_SQL,
+    "op3_minhash_near_dedup": minhash.ORACLE_SQL,
+    "op5_chat_format": chat.ORACLE_SQL,
     "op6_exact_dedup": exact_dedup.ORACLE_SQL,
     "op7_itq_near_dedup": itq.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
