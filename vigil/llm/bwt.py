@@ -39,6 +39,8 @@ from vigil.session import ship_package
 LENGTH, SEED = 100, 32
 #: Distinct snippets of a core that one task merges; beyond, they are split further.
 GROUP = 256
+#: Bytes of texts searched for seeds at once (a longer text is searched whole).
+ANCHOR_BYTES = 1 << 17
 #: Bytes of snippets merged at once, and bytes of one shard.
 MERGE_BYTES, SHARD_BYTES = 1 << 16, 1 << 13
 
@@ -51,39 +53,37 @@ def rolling(data: np.ndarray, size: int) -> np.ndarray:
     return textkit.span_hashes(data, starts, starts + size)
 
 
-def seed_spans(data: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(seed position, first window, last window) of every seed of one text."""
-    hashes = rolling(data, seed)
-    span = length - seed + 1
+def seed_spans(data: np.ndarray, bounds: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, ...]:
+    """(text, seed position, first window, last window) of every seed of texts laid end to end."""
     n = len(data) - length + 1
     if n <= 0:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    # sliding minimum by doubling; ties go to the leftmost place
-    best = np.arange(len(hashes))
-    width = 1
+        return tuple(np.zeros(0, np.int64) for _ in range(4))
+    # a window's least seed: hash above, place below, so that ties go to the leftmost place
+    low = np.uint64(32)
+    best = (rolling(data, seed) >> low << low) | np.arange(len(data) - seed + 1, dtype=np.uint64)
+    width, span = 1, length - seed + 1
     while width < span:
         step = min(width, span - width)
-        a, b = best[: len(best) - step], best[step:]
-        best = np.where(hashes[a] <= hashes[b], a, b)
+        best = np.minimum(best[: len(best) - step], best[step:])
         width += step
-    first = np.flatnonzero(np.concatenate([[True], best[1:] != best[:-1]]))
-    last = np.concatenate([first[1:], [n]]) - 1
-    return best[first], first, last
+    spot = (best & np.uint64((1 << 32) - 1)).astype(np.int64)
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:n]
+    whole = np.arange(n) + length <= bounds[text + 1]
+    same = np.zeros(n, bool)  # the window before has the same seed
+    same[1:] = (spot[1:] == spot[:-1]) & whole[:-1]
+    first = np.flatnonzero(whole & ~same)
+    more = np.ones(n + 1, bool)
+    more[:n] = ~(same & whole)
+    last = np.flatnonzero(more)
+    last = last[np.searchsorted(last, first, side="right")] - 1
+    return text[first], spot[first], first, last
 
 
 def _anchors(length: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in textkit.slices(batches, "text"):
+        for part in textkit.slices(batches, "text", ANCHOR_BYTES):
             data, bounds = textkit.text_bytes(part.column("text"))
-            rows, spots, firsts, lasts = [], [], [], []
-            for i in range(part.num_rows):
-                at, first, last = seed_spans(data[bounds[i] : bounds[i + 1]], length, seed)
-                rows.append(np.full(len(at), i))
-                spots.append(at + bounds[i])
-                firsts.append(first + bounds[i])
-                lasts.append(last + bounds[i])
-            row, spot, first, last = (np.concatenate(x).astype(np.int64) for x in (rows, spots, firsts, lasts))
+            row, spot, first, last = seed_spans(data, bounds, length, seed)
             # a snippet is its bytes and where its seed lies in them
             content = textkit.span_hashes(data, first, last + length)
             snippet = textkit.mix(content ^ textkit.mix((spot - first).astype(np.uint64) + np.uint64(77)))
@@ -174,6 +174,14 @@ def _split(length: int, width: int):
     return run
 
 
+def stable_order(keys: np.ndarray, top: int) -> np.ndarray:
+    """``np.argsort(keys, kind="stable")`` of integers up to ``top``, 16 bits at a time."""
+    order = np.argsort(keys.astype(np.uint16), kind="stable")
+    if top >= 1 << 16:
+        order = order[np.argsort((keys >> 16).astype(np.uint16)[order], kind="stable")]
+    return order
+
+
 def shard_bwt(symbols: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(suffix order, BWT) of one shard: strings of ``symbols`` closed by 0, string numbers break ties.
 
@@ -182,19 +190,18 @@ def shard_bwt(symbols: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.nda
     """
     n = len(symbols)
     here = np.arange(n)
-    rank = symbols.astype(np.int64)
+    rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
     width = 1
-    while width < depth:
+    while width < depth and rank.max(initial=0) < n - 1:
         ahead = here + width
-        inside = ahead <= ends
-        second = np.where(inside, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        key = rank * (n + 258) + second
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
+        second = np.where(ahead <= ends, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        order = stable_order(second, n)
+        order = order[stable_order(rank[order], n)]
+        one, two = rank[order], second[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+        rank[order] = np.concatenate([[0], np.cumsum((one[1:] != one[:-1]) | (two[1:] != two[:-1]))])
         width *= 2
-    order = np.argsort(rank, kind="stable")
+    order = stable_order(rank, n)
     before = np.where(order > 0, symbols[order - 1], 0)
     return order, before
 
@@ -204,31 +211,52 @@ def merge_bwts(bwts: list[np.ndarray], strings: list[int], depth: int) -> tuple[
 
     ``interleave[p]`` is the shard of the suffix at merged rank p, and
     ``lcp[p]`` the common prefix with the suffix before it, at most ``depth``.
+
+    A round sorts by one symbol more: the suffixes one symbol longer than those
+    of a block that parted in the round before are dealt again to their ranks,
+    in the interleave's order. Where no block parted, nothing can change, so
+    the work follows the blocks that do and ends when none does.
     """
-    _, dense = np.unique(np.concatenate([[0], *bwts]), return_inverse=True)
-    small = np.uint8 if dense.max() < 256 else np.uint16
-    joined = dense[1:].astype(small)
-    numbers = np.arange(len(bwts), dtype=np.uint8 if len(bwts) <= 256 else np.uint16)
-    z = np.repeat(numbers, [len(b) for b in bwts])
-    closing = np.repeat(numbers, strings)
-    total = len(closing)
-    block = np.zeros(len(z), np.int32)
-    lcp = np.full(len(z), depth, np.int16)
-    symbol = np.empty(len(z), small)
-    for h in range(depth):
-        # the symbol before every suffix, in interleave order
-        symbol[np.argsort(z, kind="stable")] = joined
-        order = np.argsort(symbol, kind="stable")
-        s, b = symbol[order], block[order]
-        z = z[order]
-        part = np.empty(len(z), bool)
-        part[1:] = (s[1:] != s[:-1]) | (b[1:] != b[:-1])
-        # suffixes that start at a closing 0 are ordered by string and differ from each other
-        z[:total] = closing
-        part[: total + 1] = True
-        lcp[part & (lcp == depth)] = h
-        block = np.cumsum(part, dtype=np.int32)
-    return z, lcp.astype(np.int64)
+    sizes = np.array([len(b) for b in bwts])
+    base = np.concatenate([[0], np.cumsum(sizes)])
+    symbols = np.concatenate(bwts).astype(np.uint16)
+    n, closers = len(symbols), int(sum(strings))
+    # the place of the suffix one symbol longer, in the same shard
+    longer = np.empty(n, np.int64)
+    for b, at in zip(bwts, base, strict=False):
+        longer[np.argsort(b.astype(np.uint16), kind="stable") + at] = np.arange(at, at + len(b))
+    # round 0: sorted by the first symbol; suffixes at a closing 0 differ from each other
+    first = np.concatenate([np.sort(b.astype(np.uint16)) for b in bwts])
+    rank = np.argsort(first, kind="stable")  # of each rank, the suffix's place in the shards' orders laid end to end
+    part = np.concatenate([[True], np.diff(first[rank]) != 0])
+    part[: min(closers + 1, n)] = True
+    lcp = np.where(part, 0, depth).astype(np.int64)
+    head = np.maximum.accumulate(np.where(part, np.arange(n), 0))  # of each rank, where its block begins
+    block = np.empty(n, np.int64)  # the same, of each suffix
+    block[rank] = head
+    active = np.arange(n)
+    for h in range(1, depth):
+        members = rank[active]
+        members, origin = members[symbols[members] > 0], head[active][symbols[members] > 0]
+        moved = longer[members]
+        order = stable_order(block[moved], n)
+        moved, origin = moved[order], origin[order]
+        start = block[moved]
+        new = np.concatenate([[True], start[1:] != start[:-1]])[: len(start)]
+        within = np.arange(len(start)) - np.maximum.accumulate(np.where(new, np.arange(len(start)), 0))
+        place = start + within
+        rank[place] = moved
+        parts = np.concatenate([[False], origin[1:] != origin[:-1]])[: len(start)] & ~new
+        if not parts.any():
+            break
+        lcp[place[parts]] = h
+        begins = np.maximum.accumulate(np.where(new | parts, place, 0))
+        head[place] = begins
+        block[moved] = begins
+        # blocks that parted, whole
+        number = np.cumsum(new) - 1
+        active = place[np.bincount(number, parts)[number] > 0]
+    return np.searchsorted(base, rank, side="right") - 1, lcp
 
 
 def repeats(strings: list[bytes], depth: int) -> np.ndarray:
@@ -244,7 +272,7 @@ def repeats(strings: list[bytes], depth: int) -> np.ndarray:
             held = 0
         shards[-1].append(i)
         held += len(s) + 1
-    offsets, bwts, orders, base = [], [], [], 0
+    bwts, orders, base = [], [], 0
     for members in shards:
         parts = [np.frombuffer(strings[i] + b"\0", np.uint8).astype(np.uint16) + 1 for i in members]
         for p in parts:
@@ -255,55 +283,48 @@ def repeats(strings: list[bytes], depth: int) -> np.ndarray:
         orders.append(order + base)
         bwts.append(before)
         base += int(lengths.sum())
-    z, lcp = merge_bwts(bwts, [len(m) for m in shards], depth)
-    place = np.empty(len(z), np.int64)
-    place[np.argsort(z, kind="stable")] = np.concatenate(orders)
-    same = lcp >= depth
-    group = np.cumsum(~same)
+    interleave, lcp = merge_bwts(bwts, [len(m) for m in shards], depth)
+    place = np.empty(len(interleave), np.int64)
+    place[np.argsort(interleave, kind="stable")] = np.concatenate(orders)
+    group = np.cumsum(lcp < depth)
     sizes = np.bincount(group)
-    out = np.zeros(len(z), np.int64)
+    out = np.zeros(len(group), np.int64)
     out[place] = np.where(sizes[group] > 1, group, 0)
     return out
 
 
-def _runs(marks: list[tuple]) -> list[tuple]:
-    """(id, rid, start, end) of repeated windows, neighbours joined."""
-    out: list[tuple] = []
-    for id_, rid, at, length in marks:
-        if out and out[-1][:2] == (id_, rid) and out[-1][2] <= at <= out[-1][3]:
-            out[-1] = (id_, rid, out[-1][2], max(out[-1][3], at + length))
-        else:
-            out.append((id_, rid, at, at + length))
-    return out
-
-
-def _spans(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) or [[]] * 4
+def _runs(known: np.ndarray, id_: np.ndarray, rid: np.ndarray, at: np.ndarray, length: int) -> pa.RecordBatch:
+    """``id, rid, start, end`` of windows of ``length``, those that touch joined; ids not ``known`` are null."""
+    order = np.lexsort((at, rid, id_, known))
+    known, id_, rid, at = (x[order] for x in (known, id_, rid, at))
+    new = np.ones(len(at), bool)
+    new[1:] = (known[1:] != known[:-1]) | (id_[1:] != id_[:-1]) | (rid[1:] != rid[:-1]) | (at[1:] > at[:-1] + length)
+    starts = np.flatnonzero(new)
+    ends = np.concatenate([starts[1:], [len(at)]])[: len(starts)] - 1
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.int64()) for c in columns], names=["id", "rid", "start", "end"]
+        [pa.array(id_[starts], mask=~known[starts]), pa.array(rid[starts]), pa.array(at[starts]), pa.array(at[ends] + length)],
+        names=["id", "rid", "start", "end"],
     )
 
 
 def _merged(length: int):
     """Repeated windows of whole groups (rows come ordered by key)."""
 
-    def solve(rows: list[tuple]) -> list[tuple]:
+    def solve(rows: list[tuple]) -> pa.RecordBatch:
         group = repeats([r[4] for r in rows], length)
-        sizes = np.array([len(r[4]) + 1 for r in rows])
-        first = np.concatenate([[0], np.cumsum(sizes)])
+        first = np.concatenate([[0], np.cumsum([len(r[4]) + 1 for r in rows])])
         spots = np.flatnonzero(group)
         owner = np.searchsorted(first, spots, side="right") - 1
-        offset = spots - first[owner]
-        keys = [
-            (int(group[s]), rows[o][1] is not None, rows[o][1] or 0, rows[o][2], (rows[o][3] >> 16) + int(d))
-            for s, o, d in zip(spots, owner, offset, strict=True)
-        ]
-        earliest: dict[int, tuple] = {}
-        for key in keys:
-            if key[0] not in earliest or key[1:] < earliest[key[0]]:
-                earliest[key[0]] = key[1:]
-        later = [(rows[o][1], rows[o][2], k[4], length) for k, o in zip(keys, owner, strict=True) if earliest[k[0]] != k[1:]]
-        return _runs(sorted(later, key=lambda m: (m[1], m[0] is not None, m[0] or 0, m[2])))
+        known = np.array([r[1] is not None for r in rows])[owner]
+        id_ = np.array([r[1] or 0 for r in rows], np.int64)[owner]
+        rid = np.array([r[2] for r in rows], np.int64)[owner]
+        at = np.array([r[3] >> 16 for r in rows], np.int64)[owner] + spots - first[owner]
+        group = group[spots]
+        order = np.lexsort((at, rid, id_, known, group))
+        known, id_, rid, at, group = (x[order] for x in (known, id_, rid, at, group))
+        head = np.searchsorted(group, group)  # the earliest of each group
+        later = (known != known[head]) | (id_ != id_[head]) | (rid != rid[head]) | (at != at[head])
+        return _runs(*(x[later] for x in (known, id_, rid, at)), length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -311,12 +332,12 @@ def _merged(length: int):
         for part in textkit.slices(batches, "bytes", MERGE_BYTES):
             for row in zip(*(part.column(c).to_pylist() for c in ("key", "id", "rid", "at", "bytes")), strict=True):
                 if size > MERGE_BYTES and row[0] != held[-1][0]:
-                    yield _spans(solve(held))
+                    yield solve(held)
                     held, size = [], 0
                 held.append(row)
                 size += len(row[4])
         if held:
-            yield _spans(solve(held))
+            yield solve(held)
 
     return run
 
@@ -393,13 +414,7 @@ def remove_repeats(
         "id", "text", F.xxhash64("_file", "_row").alias("rid")
     )
     anchors = materialize(source.mapInArrow(_anchors(length, seed), ANCHOR), "anchors")
-    repeated = materialize(
-        anchors.groupBy("seed")
-        .agg(F.count(F.lit(1)).alias("c"), (F.min("snippet") != F.max("snippet")).alias("varied"))
-        .filter("c > 1")
-        .select("seed", "varied"),
-        "repeated-seeds",
-    )
+    repeated = materialize(anchors.groupBy("seed").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("seed"), "repeated-seeds")
     release(spark)
     hits = materialize(anchors.join(repeated, "seed"), "repeated-anchors")
     drop_tables(anchors, repeated)
@@ -412,10 +427,14 @@ def remove_repeats(
         return rows.select("id", "rid", start.alias("start"), (start + more + length).alias("end"))
 
     first = materialize(hits.groupBy("seed", "snippet").agg(F.min(place).alias("first")), "first-snippets")
-    marked = hits.join(first, ["seed", "snippet"]).withColumn("own", F.col("first") == place)
-    found = [materialize(span(marked.filter(~F.col("own"))), "repeat-spans")]
+    later = hits.join(first, ["seed", "snippet"]).filter(F.col("first") != place)
+    found = [materialize(span(later), "repeat-spans")]
+    varied = first.groupBy("seed").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     wanted = (
-        marked.filter("own and varied").groupBy("id", "rid").agg(F.collect_list(F.struct("seed", "at")).alias("wanted"))  # bounded by the document
+        first.join(varied, "seed", "left_semi")
+        .select("seed", "first.*")
+        .groupBy("id", "rid")
+        .agg(F.collect_list(F.struct("seed", "at")).alias("wanted"))  # bounded by the document
     )
     width = -(-(length - seed + 1) // 2)
     parts = materialize(
