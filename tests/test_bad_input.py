@@ -84,3 +84,22 @@ def test_window_over_a_store_without_append_order(spark):
     scores = spark.createDataFrame([(1, 0.5), (2, 0.6)], "TransactionID long, score double")
     rows = spark.createDataFrame([(1, 10, 1.0), (2, 20, 2.0), (3, 30, 3.0)], "TransactionID long, TransactionDT long, amount double")
     assert sorted(map(tuple, window.current_window(scores, rows, ["amount"]).collect())) == [(1.0, 0.5), (2.0, 0.6)]
+
+
+def test_windows_refuse_what_they_cannot_cut(spark):
+    rows = spark.createDataFrame([(1, 10.0, 0.5, 1)], "TransactionID long, TransactionDT double, score double, isFraud int")
+    for call in (
+        lambda: window.last_rows(rows, 0),
+        lambda: window.trailing_window(rows, -1),
+        lambda: window.deterministic_sample(rows, 0),
+        lambda: window.current_window(rows, rows, ["TransactionDT"], window_rows=0),
+        lambda: window.current_window(rows, rows, ["TransactionDT"], window_days=-1),
+        lambda: evaluate.cost_curve(rows, cost_ratio=0),
+        lambda: evaluate.cost_curve(rows, cost_ratio=float("nan")),
+    ):
+        with pytest.raises(ValueError):
+            call()
+    with pytest.raises(ValueError, match="scores lack score"):
+        window.current_window(rows.drop("score"), rows, ["TransactionDT"])
+    with pytest.raises(ValueError, match="features lack TransactionDT"):
+        window.current_window(rows, rows.drop("TransactionDT"), ["score"])

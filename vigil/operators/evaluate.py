@@ -148,8 +148,8 @@ def cost_curve(
     by: Sequence[str] = (),
 ) -> DataFrame:
     """Cost at every distinct observed score (the threshold candidates)."""
-    if cost_ratio <= 0:
-        raise ValueError("cost_ratio must be positive")
+    if not cost_ratio > 0:
+        raise ValueError(f"a missed positive costs more than nothing: cost_ratio {cost_ratio!r}")
     curve = ordered_score_curve(df, label_col, score_col, by)
     missed = F.col("cum_pos") - F.col("pos")  # fraud strictly below t
     blocked = F.col("tot_neg") - (F.col("cum_neg") - F.col("neg"))  # good at or above t
@@ -186,8 +186,6 @@ def operating_threshold(
     score_col: str = "score",
 ) -> float:
     """The cost-optimal threshold as a float; raises on empty input."""
-    if cost_ratio <= 0:
-        raise ValueError("cost_ratio must be positive")
     rows = operating_threshold_frame(
         df, cost_ratio=cost_ratio, label_col=label_col, score_col=score_col
     ).collect()
