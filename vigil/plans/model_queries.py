@@ -223,11 +223,15 @@ _FLOW_CTE = catalog._CORPUS_CTE + """, n AS (
 @register(
     "m13_retraining_pass",
     f"""WITH {_FLOW_CTE}
-SELECT true AS retrain, store_rows AS volume_since_last, corpus_size, test_size AS shared_test_size, test_size AS n_paired,
-       true AS aucs_agree, true AS gate_agrees, false AS again_retrain, 0 AS again_volume FROM n""",
+SELECT store_rows >= 200 AS retrain, store_rows AS volume_since_last, if(store_rows >= 200, corpus_size, 0) AS corpus_size,
+       if(store_rows >= 200, test_size, 0) AS shared_test_size, if(store_rows >= 200, test_size, 0) AS n_paired,
+       true AS aucs_agree, true AS gate_agrees, false AS again_retrain, if(store_rows >= 200, 0, store_rows) AS again_volume FROM n""",
 )
 def q_retraining_pass(spark: SparkSession, sf: str) -> DataFrame:
-    """Trigger to checkpoint, then the same pass again: nothing new, nothing done."""
+    """Trigger to checkpoint, then the same pass again: nothing new, nothing done.
+
+    A store too small to trigger gives the no-op pass twice, and its volume stays.
+    """
     t = catalog.tx(spark, sf)
     seed = training.seed_champion(t, td.CONTRACT_FEATURES, td.CATEGORICAL_FEATURES, params=SMALL)
     store_path, state, served = (work_path(spark, n) for n in ("retrain-store", "retrain-state", "served"))
@@ -235,11 +239,14 @@ def q_retraining_pass(spark: SparkSession, sf: str) -> DataFrame:
     how = {"served_path": served, "volume_threshold": 200, "reveal_lag": catalog._LAG, "params": SMALL}
     out = training.retraining_pass(t, seed.model, seed.contract, store_path, state, **how)
     again = training.retraining_pass(t, seed.model, seed.contract, store_path, state, **how)
-    d = out.decision
-    aucs = abs(area(out.paired, "champion") - d["auc_champion"]) < 1e-9 and abs(area(out.paired, "challenger") - d["auc_challenger"]) < 1e-9
-    gate = out.promoted == (d["p_value"] <= promote.DEFAULT_ALPHA) == bool(models._pointers(spark, served))
+    d, published = out.decision, bool(models._pointers(spark, served))
+    aucs, gate, n_paired = True, out.promoted == published, 0
+    if d:
+        aucs = all(abs(area(out.paired, m) - d[f"auc_{m}"]) < 1e-9 for m in ("champion", "challenger"))
+        gate = out.promoted == (d["p_value"] <= promote.DEFAULT_ALPHA) == published
+        n_paired = out.paired.count()
     row = (
-        out.trigger.retrain, out.trigger.volume_since_last, out.corpus_size, out.shared_test_size, out.paired.count(), aucs, gate,
+        out.trigger.retrain, out.trigger.volume_since_last, out.corpus_size, out.shared_test_size, n_paired, aucs, gate,
         again.trigger.retrain, again.trigger.volume_since_last,
     )
     return spark.createDataFrame(
@@ -273,10 +280,13 @@ def q_alarm_to_retraining(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     out = monitoring.monitoring_pass(t, catalog._champion_boundary(), store_path, on_alarm=retrain, cuts=catalog.cuts(spark, sf))
-    trig = done[0].trigger
+    # without an alarm no retraining pass runs, and its columns are null
+    retrained = [None] * 6
+    for p in done:
+        trig = p.trigger
+        retrained = [trig.retrain, trig.drift_triggered, trig.volume_triggered, trig.volume_since_last, p.corpus_size, p.paired.count()]
     row = (
-        out.decision["alarm"], out.triggered_retraining, trig.retrain, trig.drift_triggered, trig.volume_triggered, trig.volume_since_last,
-        done[0].corpus_size, done[0].paired.count(), trigger.last_store_row_count(trigger.read_state(spark, state)),
+        out.decision["alarm"], out.triggered_retraining, *retrained, trigger.last_store_row_count(trigger.read_state(spark, state)),
     )
     return spark.createDataFrame(
         [row],
