@@ -346,10 +346,12 @@ def q_relaxed_mode(spark: SparkSession, sf: str) -> DataFrame:
     scored = relaxed.score(frame, keep=list(td.CONTRACT_FEATURES))
     hole = F.lit(False)
     for c in td.CONTRACT_FEATURES:
-        hole = hole | contract.is_missing(frame, c)
-    counts = frame.agg(F.count_if(hole).alias("n_incomplete"), F.count_if(hole & F.col("k").isNotNull()).alias("with_k"))
-    return scored.agg(F.count(F.lit(1)).alias("n_scored")).join(counts).select(
-        "n_scored", "n_incomplete", (F.col("with_k") > 0).alias("holes_scored"),
+        hole = hole | contract.is_missing(scored, c)
+    counts = scored.agg(
+        F.count(F.lit(1)).alias("n_scored"), F.count_if(hole).alias("n_incomplete"), F.count_if(hole & F.col("score").isNotNull()).alias("with_score")
+    )
+    return counts.select(
+        "n_scored", "n_incomplete", (F.col("with_score") > 0).alias("holes_scored"),
         F.lit(refuses(strict, frame)).alias("strict_refuses"),
         F.lit(refuses(relaxed, frame.withColumn("amount", F.col("amount").cast("string")))).alias("text_refused"),
         F.lit(refuses(relaxed, frame.withColumn("surplus", F.lit(1)))).alias("surplus_refused"),
