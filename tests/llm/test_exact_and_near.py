@@ -203,3 +203,48 @@ def test_merged_interleave_gives_sorted_suffixes_and_prefixes():
         a, b = merged[p - 1], merged[p]
         common = next((i for i in range(min(len(a), len(b))) if a[i] != b[i]), min(len(a), len(b)))
         assert lcp[p] == min(common, 12)
+
+
+def test_component_rounds_carry_fewer_edges(spark, monkeypatch):
+    sizes = []
+    own = graph.materialize
+
+    def counted(df, name):
+        kept = own(df, name)
+        if name == "edges":
+            sizes.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(graph, "materialize", counted)
+    clique = [(a, b) for a in range(40) for b in range(a)]
+    chain = [(a, a + 1) for a in range(100, 160)]
+    edges = spark.createDataFrame(clique + chain + [(7, 7), (500, 500), (None, 3)], "a long, b long")
+    got = {r.v: r.root for r in graph.components(edges).collect()}
+    assert got == {**{a: 0 for a in range(40)}, **{a: 100 for a in range(100, 161)}}
+    assert len(sizes) == 2 and sum(sizes) < len(clique) + 2 * len(chain)
+
+
+def test_a_block_returns_a_tree_of_components():
+    import pyarrow as pa
+
+    names = [bytes([i]) for i in range(60)]
+    block = pa.table(
+        {
+            "out": [True] * 30 + [False] * 30,
+            "root": pa.array(names, pa.binary()),
+            "fp": pa.array(names, pa.binary()),
+            "items": pa.array([[*range(100), 1000 + i] for i in range(60)], pa.list_(pa.int64())),
+        }
+    )
+    found = minhash._compare(85)(block).to_pylist()
+    assert len(found) == 59  # of 900 links
+    parent = {n: n for n in names}
+
+    def top(x):
+        return x if parent[x] == x else top(parent[x])
+
+    for r in found:
+        parent[top(r["a"])] = top(r["b"])
+    assert len({top(n) for n in names}) == 1
+    far = block.set_column(3, "items", pa.array([[i] for i in range(60)], pa.list_(pa.int64())))
+    assert minhash._compare(85)(far).num_rows == 0

@@ -10,8 +10,8 @@ A band bucket is never expanded into all its pairs. First every member is
 compared with one pivot. Members that this joins need no further comparison
 among themselves. After that, in every group of classes connected by buckets,
 those outside the group's largest component are compared exactly with the
-members of other components, in blocks of bounded size that return links only,
-so no link between components is lost.
+members of other components, in blocks of bounded size. A block returns a tree
+of links for the components that it joins, not all of its links.
 """
 
 from __future__ import annotations
@@ -156,8 +156,28 @@ def _incidence(values: np.ndarray, owner: np.ndarray, n: int, vocabulary: np.nda
     return out
 
 
+def _forest(ends: np.ndarray) -> list[tuple[int, int]]:
+    """Of the pairs of nodes those that join what no pair before has joined."""
+    top: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := top.get(x, x)) != x:
+            top[x] = x = top.get(up, up)
+        return x
+
+    out = []
+    for a, b in ends.tolist():
+        if (x := find(a)) != (y := find(b)):
+            top[x] = y
+            out.append((a, b))
+    return out
+
+
 def _compare(percent: int):
-    """Exact links between the outsiders and the members of one block; two blocks' rows at most."""
+    """Components that exact links join, between the outsiders and the members of one block.
+
+    Returned are pairs of the components' roots, fewer than the block has rows.
+    """
 
     def run(block: pa.Table) -> pa.Table:
         sides = [block.filter(block.column("out")), block.filter(pc.invert(block.column("out")))]
@@ -173,11 +193,11 @@ def _compare(percent: int):
             part = shared[at : at + (1 << 14)]
             common += _incidence(values[0], owners[0], len(sizes[0]), part) @ _incidence(values[1], owners[1], len(sizes[1]), part).T
         union = sizes[0][:, None] + sizes[1][None, :] - common
-        roots = [np.array(s.column("root").to_pylist(), dtype=object) for s in sides]
-        linked = (common * 100 >= union * percent) & (roots[0][:, None] != roots[1][None, :])
-        names = [s.column("fp").to_pylist() for s in sides]
-        pairs = [tuple(sorted((names[0][i], names[1][j]))) for i, j in zip(*np.nonzero(linked), strict=True)]
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.binary()), "b": pa.array([p[1] for p in pairs], pa.binary())})
+        names, flat = np.unique(np.array([r for s in sides for r in s.column("root").to_pylist()], dtype=object), return_inverse=True)
+        roots = flat[: len(sizes[0])], flat[len(sizes[0]) :]
+        i, j = np.nonzero((common * 100 >= union * percent) & (roots[0][:, None] != roots[1][None, :]))
+        pairs = _forest(np.unique(np.stack([roots[0][i], roots[1][j]], axis=1), axis=0))
+        return pa.table({"a": pa.array([names[x] for x, _ in pairs], pa.binary()), "b": pa.array([names[y] for _, y in pairs], pa.binary())})
 
     return run
 
@@ -202,7 +222,7 @@ class _Verifier:
         return materialize(texts.mapInArrow(_full_sets(self.size), "fp binary, items array<bigint>"), "near-sets")
 
     def blocks(self, split: DataFrame) -> DataFrame:
-        """Links between components within groups: blocks of outsiders against blocks of all members."""
+        """Linked components' roots within groups: blocks of outsiders against blocks of all members."""
         wanted = materialize(split.join(self.reps.select("fp", "at"), "fp").select("at").distinct(), "split-texts")
         sets = self.sets(wanted)
         rows = split.join(sets, "fp")
@@ -314,7 +334,10 @@ def near_dedup(
     if not split.isEmpty():
         more = verify.blocks(split)
         if not more.isEmpty():
-            found = components(links.union(more))
+            higher = components(more).select(F.col("v").alias("root"), F.col("root").alias("higher"))
+            found = materialize(
+                placed.join(higher, "root", "left").select(F.col("fp").alias("v"), F.coalesce("higher", "root").alias("root")), "found"
+            )
 
     drop_tables(reps, buckets, star, placed, groups, split)
     rooted = materialize(
