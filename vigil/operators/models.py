@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from vigil.functions.ordered import prefix_sums, rows_at_ranks
 from vigil.operators.contract import Contract
 from vigil.operators.discriminant import LinearDiscriminant
-from vigil.session import path_exists
+from vigil.session import path_exists, written
 
 MISSING_LEVEL = "missing"
 
@@ -97,12 +97,17 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return listed.join(picked.select("column_name", median.alias("median")), "column_name", "left")
 
 
+def column_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
+    """Exact medians by column, for fits that share their rows."""
+    return {r["column_name"]: r["median"] for r in exact_medians(df, columns).collect()}
+
+
 def impute_exact(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()
 ) -> tuple[DataFrame, dict[str, float | None]]:
     """Median-impute numeric columns (exact medians) with ``<c>_missing``
     indicators; categorical NULLs become the ``missing`` level."""
-    medians = {r["column_name"]: r["median"] for r in exact_medians(df, numeric).collect()}
+    medians = column_medians(df, numeric)
     out = df
     for c in numeric:
         col = F.col(f"`{c}`")
@@ -182,12 +187,14 @@ def fit(
     *,
     label_col: str = "isFraud",
     kind: str = "gbt",
+    medians: dict[str, float | None] | None = None,
     **params,
 ) -> PipelineModel:
-    """M1: fit ``prep + assembler + classifier`` on ``train``."""
+    """M1: fit ``prep + assembler + classifier`` on ``train``; ``medians`` as ``column_medians`` gives them, if known."""
     numeric = [c for c in contract_features if c not in set(categorical)]
     one_hot = kind in ("logreg", "svc", "lda")
-    medians = {r["column_name"]: r["median"] for r in exact_medians(train, numeric).collect()}
+    if medians is None:
+        medians = column_medians(train, numeric)
     stages, inputs = preprocessing_stages(numeric, categorical, medians=medians, one_hot=one_hot)
     if kind in ("gbt", "rf") and categorical:
         # trees need a bin per level: count the levels, plus the missing and the unseen one
@@ -251,12 +258,19 @@ def baseline_scores(
     label_col: str = "isFraud",
     kinds: Sequence[str] = ("logreg", "svc", "lda", "rf", "gbt"),
 ) -> DataFrame:
-    """``model, label, score`` of every validation row under every kind of model."""
+    """``model, label, score`` of every validation row under every kind of model.
 
+    All kinds read the same rows: both slices are written and the medians taken once.
+    """
     numeric = [c for c in contract_features if c not in set(categorical)]
+    train, valid = (
+        written(df.select(*dict.fromkeys([label_col, *contract_features])), name)
+        for df, name in ((train, "baseline-train"), (valid, "baseline-valid"))
+    )
+    medians = column_medians(train, numeric)
     scored = None
     for kind in kinds:
-        model = fit(train, contract_features, categorical, label_col=label_col, kind=kind)
+        model = fit(train, contract_features, categorical, label_col=label_col, kind=kind, medians=medians)
         s = score_frame(model, valid.select(label_col, *contract_features), numeric, categorical)
         s = s.select(F.lit(kind).alias("model"), label_col, "score")
         scored = s if scored is None else scored.unionByName(s)
