@@ -76,3 +76,16 @@ def test_time_series_cv(spark):
     assert all(0.0 <= r["mean_auc"] <= 1.0 for r in out)
     assert sum(r["best"] for r in out) == 1
     assert max(out, key=lambda r: (r["mean_auc"], -r["draw"]))["best"]
+
+
+def test_fits_of_the_same_rows_share_their_medians(spark, monkeypatch):
+    df = data(spark, 120)
+    calls = []
+    own = models.exact_medians
+    monkeypatch.setattr(models, "exact_medians", lambda d, columns: calls.append(list(columns)) or own(d, columns))
+    scored = models.baseline_scores(df.filter("TransactionID < 80"), df.filter("TransactionID >= 80"), ["amount", "cat_a"], ["cat_a"], kinds=("logreg", "lda"))
+    assert {(r["model"], r["count"]) for r in scored.groupBy("model").count().collect()} == {("logreg", 40), ("lda", 40)}
+    assert calls == [["amount"]]
+    calls.clear()
+    training.cross_validate(df, ["amount", "cat_a"], ["cat_a"], param_space={"regParam": [0.1]}, n_draws=2, n_splits=2, kind="logreg")
+    assert calls == [["amount"]] * 2

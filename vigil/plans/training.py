@@ -234,6 +234,9 @@ def cross_validate(
     cached = frame.select(label_col, *dict.fromkeys([*order, *features]), fold.alias("_fold")).persist(StorageLevel.MEMORY_AND_DISK)
     path = work_path(spark, "cv-scores")
 
+    def middle(f: int) -> dict[str, float | None]:
+        return models.column_medians(cached.filter(F.col("_fold") < f), numeric)
+
     def run(job: tuple[int, int]) -> None:
         d, f = job
         params = dict(draws[d])
@@ -241,12 +244,13 @@ def cross_validate(
         if kind == "gbt":
             train = train.withColumn("_late", ~upto(stop(n, f)))
             params["validationIndicatorCol"] = "_late"
-        model = models.fit(train, features, categorical, label_col=label_col, kind=kind, **params)
+        model = models.fit(train, features, categorical, label_col=label_col, kind=kind, medians=medians[f], **params)
         test = cached.filter(F.col("_fold") == f).select(label_col, *features)
         models.score_frame(model, test, numeric, categorical).select(label_col, "score").write.parquet(f"{path}/draw={d}/fold={f}")
 
     try:
         with ThreadPool(side_by_side) as pool:
+            medians = pool.map(inheritable_thread_target(middle), range(n_splits), chunksize=1)  # a fold's draws share them
             pool.map(inheritable_thread_target(run), [(d, f) for d in range(n_draws) for f in range(n_splits)], chunksize=1)
         counts = cached.groupBy("_fold").agg(F.count(F.lit(1)).alias("n")).collect()
     finally:
