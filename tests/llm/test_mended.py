@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from vigil.llm import chat, common, itq, minhash, textkit
+from vigil.llm import chat, common, itq, minhash, packing, textkit
 
 from .conftest import prose
 
@@ -106,3 +107,45 @@ def test_components_of_any_size_compare(spark):
 
 def test_memory_can_be_trimmed(spark):
     common.trim_memory(spark)
+
+
+def test_signs_and_line_breaks_make_no_new_pieces():
+    words, signs = sorted(set(prose(5, 40).split())), [",", ".", "!", "?", ";", ":", "12", ").", "\n", "\nNext"]
+    encoder = packing.Encoder(None, 1)
+    texts = [f"{b} {a}{s}" for s in signs for a, b in zip(words, reversed(words), strict=True)]
+    want = [t.ids + [1] for t in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(b, encoder.type).tolist() for b in encoder.encode(texts)] == want
+    assert len(encoder.seen) <= 2 * len(words) + 2 * len(signs)
+
+
+def test_ids_of_any_text_are_the_tokenizers():
+    rng = random.Random(11)
+    signs = [*"abZ01.,!'\n\t\r\x00\x1c\x7f", *"\x85\xa0\xd7\xf7\xdf\xe9\xaa\u02b0\u0416\u4e2d\u2014\u2009\u3000\u0301\u0663\U0001f600", "'s", "'re", "<|endoftext|>"]
+    texts = ["".join(rng.choices([*signs, *" " * 9, "\n"], k=rng.randint(0, 25))) for _ in range(5000)]
+    texts += [None, "", " ", "\n", "x" * 300]
+    encoder = packing.Encoder(None, 1)
+    want = [t.ids + [1] for t in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for _ in range(2):  # pieces new, then remembered
+        assert [np.frombuffer(b, encoder.type).tolist() for b in encoder.encode(texts)] == want
+    assert encoder.encode([]) == [] and encoder.encode([None, ""]) == [encoder.end] * 2
+
+
+def test_tokenizers_that_split_otherwise_get_whole_texts(tmp_path):
+    from tokenizers import AddedToken, Tokenizer, normalizers, pre_tokenizers
+
+    texts = ["one, two\nthree", "a.b c", "", "x  y\n\nz!", "it's 12ab, and more"]
+    plain = packing.Encoder(None, 1)
+    for change in (
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=True)),
+        lambda t: setattr(t, "pre_tokenizer", pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)),
+        lambda t: setattr(t, "normalizer", normalizers.Replace("two\n", "2 ")),
+        lambda t: t.add_tokens([AddedToken("o, t", normalized=False)]),
+    ):
+        other = Tokenizer.from_str(plain.tokenizer.to_str())
+        change(other)
+        path = str(tmp_path / "other.json")
+        other.save(path)
+        encoder = packing.Encoder(path, 1)
+        want = [t.ids + [1] for t in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert plain.splits and not encoder.splits
+        assert [np.frombuffer(b, encoder.type).tolist() for b in encoder.encode(texts)] == want

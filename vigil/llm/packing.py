@@ -11,7 +11,9 @@ padding.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,23 +34,79 @@ WIDTH, DIMENSIONS, BITS = 512, 4, 10
 PARTITION_TOKENS = 16_000_000
 #: Word pieces whose ids a worker remembers at once.
 CACHE_PIECES = 800_000
+#: Longest piece remembered, in bytes.
+CACHE_BYTES = 64
+#: Text taken apart at a time, where one document isn't longer.
+SLICE_BYTES = 4 << 20
 #: New pieces the tokenizer gets as one text.
 GROUP_WORDS = 512
 
 
+#: What a byte belongs to for the tokenizer's pre-splitting: a letter, a digit,
+#: any other sign, one of these three but not known which, or white space (of
+#: control characters, also those that only some engines count as such).
+LETTER, DIGIT, SIGN, SOLID, WHITE = range(5)
+KIND = np.full(256, SIGN, np.uint8)
+KIND[[*range(0x30, 0x3A)]] = DIGIT
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = LETTER
+KIND[[*range(0x09, 0x0E), *range(0x1C, 0x21)]] = WHITE
+KIND[0x80:] = SOLID
+#: First bytes of U+00C0 to U+02BF and of U+0400 to U+047F, letters but for U+00D7 and U+00F7.
+KIND[[*range(0xC3, 0xCB), 0xD0, 0xD1]] = LETTER
+#: White space beyond ASCII, in UTF-8.
+WIDE_SPACES = [chr(c).encode() for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+WIDE_CODES = np.array([int.from_bytes(s.ljust(3, b"\0"), "big") for s in WIDE_SPACES])
+
+
+def kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of the character each byte of a UTF-8 text belongs to."""
+    kind = KIND[data]
+    first = np.flatnonzero(((data >= 0xC3) & (data < 0xCB)) | (data == 0xD0) | (data == 0xD1))
+    if len(first):
+        sign = (data[first] == 0xC3) & ((data[first + 1] == 0x97) | (data[first + 1] == 0xB7))
+        kind[first[sign]] = SOLID
+        kind[first[~sign] + 1] = LETTER
+    first = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+    if len(first):
+        size = np.where(data[first] == 0xC2, 2, 3)
+        code = data[first].astype(np.int64) << 16 | data[first + 1].astype(np.int64) << 8
+        code[size == 3] |= data[first[size == 3] + 2]
+        white = np.isin(code, WIDE_CODES)
+        kind[first[white]] = kind[first[white] + size[white] - 1] = WHITE
+    return kind
+
+
+def piece_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the pieces of UTF-8 texts begin, which lie end to end between ``bounds``.
+
+    Texts are cut before a space and around a line break that have no white
+    space beside them, and between letters, digits and signs, but not between
+    an apostrophe and a letter. A byte-level tokenizer's own pre-splitting cuts
+    at all these places too, so the ids of the pieces end to end are the ids of
+    the text.
+    """
+    kind = kinds(data)
+    cut = np.zeros(len(data) + 1, bool)
+    plain = kind < SOLID
+    cut[1:-1] = (kind[1:] != kind[:-1]) & plain[1:] & plain[:-1] & ((data[:-1] != 0x27) | (kind[1:] != LETTER))
+    solid = kind != WHITE
+    gap = np.flatnonzero((data[1:-1] == 0x20) | (data[1:-1] == 0x0A)) + 1
+    gap = gap[solid[gap - 1] & solid[gap + 1]]
+    cut[gap] = True
+    cut[gap[data[gap] == 0x0A] + 1] = True
+    cut[bounds] = True
+    return np.flatnonzero(cut[:-1])
+
+
 class Encoder:
     """Token ids of whole texts, piece by piece.
 
-    A text is cut before a single space between two non-space characters. The
-    tokenizer's own pre-splitting always cuts there too, so the ids of the
-    pieces end to end are the ids of the text; pieces recur, and their ids are
-    remembered up to a fixed number of pieces.
+    Pieces (see ``piece_starts``) recur, and the ids of the shorter ones are
+    remembered, up to a fixed number of pieces.
     """
 
     def __init__(self, path: str | None, end_id: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import re
-
         from tokenizers import Tokenizer
 
         if path is None:
@@ -57,15 +115,23 @@ class Encoder:
             path = public_tokenizers.path("byte_bpe_50k.json")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.type = "H" if max(self.tokenizer.get_vocab_size(), end_id) < 1 << 16 else "I"
+        size = max(end_id, *self.tokenizer.get_vocab().values()) + 1
+        self.type = "H" if size <= 1 << 16 else "I"
         self.end = array(self.type, [end_id]).tobytes()
-        self.cut = re.compile(r"(?<=\S) (?=\S)")
-        self.runs = re.compile(r"\s\s")
-        #: Ids of a space and a piece, by the piece.
-        self.seen: dict[str, bytes] = {}
-        self.space = re.compile(r"\s")
-        # pieces may only be encoded apart where splitting is byte-level
-        self.splits = type(self.tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+        #: Bin of the hashed count vector, by id.
+        self.bins = bins(np.arange(size))
+        #: Ids of a piece, by the piece.
+        self.seen: dict[bytes, bytes] = {}
+        self.plain = re.compile(r" ?\S+")
+        # pieces may only be encoded apart where splitting is byte-level and comes first
+        split = self.tokenizer.pre_tokenizer
+        self.splits = (
+            type(split).__name__ == "ByteLevel"
+            and split.use_regex
+            and not split.add_prefix_space
+            and self.tokenizer.normalizer is None
+            and all(t.special for t in self.tokenizer.get_added_tokens_decoder().values())
+        )
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.line = line[0] if len(line) == 1 else None
 
@@ -73,40 +139,64 @@ class Encoder:
         return [array(self.type, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def pieces(self, words: list[str]) -> list[bytes]:
-        """Ids of a space and each word.
+        """Ids of each of the pieces.
 
-        Words without white space are encoded in one go, a line break between
-        them: it is a token of its own there, and none of the words has one.
+        Pieces without white space but a space before them are encoded in one
+        go, a line break between them: it is a token of its own there, and
+        none of the pieces has one.
         """
-        plain = [w for w in words if w and not self.space.search(w)] if self.line is not None else []
+        out: list[bytes | None] = [None] * len(words)
+        plain = [i for i, w in enumerate(words) if self.plain.fullmatch(w)] if self.line is not None else []
         groups = [plain[i : i + GROUP_WORDS] for i in range(0, len(plain), GROUP_WORDS)]
-        joined = ["\n".join(" " + w for w in g) for g in groups]
-        known: dict[str, bytes] = {}
+        joined = ["\n".join([words[i] for i in g]) for g in groups]
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, self.type)
             breaks = np.flatnonzero(ids == self.line) * ids.itemsize
             if len(breaks) == len(group) - 1:
                 raw, size = ids.tobytes(), ids.itemsize
                 starts, ends = [0, *(breaks + size).tolist()], [*breaks.tolist(), len(raw)]
-                known.update((w, raw[x:y]) for w, x, y in zip(group, starts, ends, strict=True))
-        rest = [w for w in words if w not in known]
-        known.update(zip(rest, self.ids([" " + w for w in rest]), strict=True))
-        return [known[w] for w in words]
+                for i, x, y in zip(group, starts, ends, strict=True):
+                    out[i] = raw[x:y]
+        rest = [i for i, o in enumerate(out) if o is None]
+        for i, o in zip(rest, self.ids([words[i] for i in rest]), strict=True):
+            out[i] = o
+        return out
+
+    def lookup(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces, remembered or encoded now."""
+        found = list(map(self.seen.get, pieces))
+        new = [i for i, f in enumerate(found) if f is None]
+        if len(self.seen) + len(new) > CACHE_PIECES:
+            self.seen.clear()
+        for i, ids in zip(new, self.pieces([pieces[i].decode() for i in new]), strict=True):
+            found[i] = ids
+            if len(pieces[i]) <= CACHE_BYTES:
+                self.seen[pieces[i]] = ids
+        return found
+
+    def flat(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, each with the end id, and the n + 1 bounds between them."""
+        if not self.splits:
+            blobs = [i + self.end for i in self.ids([t or "" for t in column.to_pylist()])]
+            bounds = np.cumsum([0, *map(len, blobs)])
+            return np.frombuffer(b"".join(blobs), self.type), bounds // len(self.end)
+        data, bounds = textkit.text_bytes(column)
+        starts = piece_starts(data, bounds)
+        first = np.searchsorted(starts, bounds)
+        offsets = np.append(starts, len(data))
+        spans = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]
+        ).dictionary_encode()
+        distinct = self.lookup(spans.dictionary.to_numpy(zero_copy_only=False).tolist())
+        order = np.insert(spans.indices.to_numpy(), first[1:], len(distinct))
+        taken = pa.array([*distinct, self.end], pa.large_binary()).take(pa.array(order))
+        raw, at = textkit.text_bytes(taken)
+        return raw.view(self.type), at[first + np.arange(len(first))] // len(self.end)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Per text its ids and the end id, in native unsigned integers."""
-        texts = [t or "" for t in texts]
-        if not self.splits:
-            return [i + self.end for i in self.ids(texts)]
-        split = [self.cut.split(t) if self.runs.search(t) else t.split(" ") for t in texts]
-        heads = self.ids([p[0] for p in split])
-        rest = [p[1:] for p in split]
-        if len(self.seen) > CACHE_PIECES:
-            self.seen.clear()
-        new = list(set().union(*rest).difference(self.seen))
-        self.seen.update(zip(new, self.pieces(new), strict=True))
-        get = self.seen.__getitem__
-        return [h + b"".join(map(get, p)) + self.end for h, p in zip(heads, rest, strict=True)]
+        ids, bounds = self.flat(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in itertools.pairwise(bounds.tolist())]
 
 
 @functools.cache
@@ -142,13 +232,16 @@ def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
-    """Hilbert keys of documents from their token ids."""
-    lengths = np.array([len(i) for i in ids])
-    tokens = np.concatenate(ids).astype(np.uint64)
-    place = (textkit.mix(tokens + np.uint64(1)) >> np.uint64(40)).astype(np.int64) % WIDTH
-    flat = np.repeat(np.arange(len(ids)) * WIDTH, lengths) + place
-    vector = np.log1p(np.bincount(flat, minlength=len(ids) * WIDTH).reshape(len(ids), WIDTH))
+def bins(tokens: np.ndarray) -> np.ndarray:
+    """The place of each token id in the hashed count vector."""
+    return (textkit.mix(tokens.astype(np.uint64) + np.uint64(1)) >> np.uint64(40)).astype(np.int64) % WIDTH
+
+
+def curve_keys(place: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Hilbert keys of documents from the bins of their token ids, which lie end to end between ``bounds``."""
+    n = len(bounds) - 1
+    flat = np.repeat(np.arange(n) * WIDTH, np.diff(bounds)) + place
+    vector = np.log1p(np.bincount(flat, minlength=n * WIDTH).reshape(n, WIDTH))
     vector /= np.maximum(np.linalg.norm(vector, axis=1, keepdims=True), 1e-9)
     # the mean direction says nothing of a document, so the projection leaves it out
     ray = np.random.default_rng(8).standard_normal((WIDTH, DIMENSIONS))
@@ -160,15 +253,15 @@ def curve_keys(ids: list[np.ndarray]) -> np.ndarray:
 def _tokenise(path: str | None, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, end_id)
-        for part in textkit.slices(batches, "text"):
-            blobs = own.encode(part.column("text").to_pylist())
-            ids = [np.frombuffer(b, own.type) for b in blobs]
+        for part in textkit.slices(batches, "text", SLICE_BYTES):
+            ids, bounds = own.flat(part.column("text"))
+            offsets = pa.py_buffer((bounds * ids.itemsize).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
-                    pa.array([len(i) for i in ids], pa.int64()),
-                    pa.array(curve_keys(ids)),
-                    pa.array(blobs, pa.binary()),
+                    pa.array(np.diff(bounds)),
+                    pa.array(curve_keys(own.bins[ids], bounds)),
+                    pa.Array.from_buffers(pa.binary(), part.num_rows, [None, offsets, pa.py_buffer(ids)]),
                 ],
                 names=["id", "n", "key", "ids"],
             )
